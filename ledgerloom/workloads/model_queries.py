@@ -55,13 +55,13 @@ POOL = ("master_customer_id:s profitability_month:d total_direct_cost_gbp:f6 "
         "shared_engineering_cost_customer_month_gbp:f6 shared_engineering_pool_gbp:f4")
 BASIS = ("master_customer_id:s profitability_month:d gaap_recognized_revenue_gbp:f6 total_revenue_in_month_gbp:f4")
 LTV = ("master_customer_id:s customer_name:s gaap_total_revenue_gbp:f4 gaap_total_recognized_revenue_gbp:f4 "
-       "gaap_total_deferred_revenue_gbp:f4 commercial_current_mrr_gbp:f4 commercial_avg_monthly_mrr_gbp:f4 "
+       "gaap_total_deferred_revenue_gbp:f4 commercial_current_mrr_gbp:f4 commercial_avg_monthly_mrr_gbp:f8 "
        "total_direct_cost_gbp:f6 total_delivery_cost_gbp:f4 total_support_cost_gbp:f6 "
        "total_engineering_direct_cost_gbp:f4 total_engineering_shared_cost_gbp:f4 total_hours:f6 "
        "allocated_shared_engineering_cost_gbp:f6 total_cost_including_allocated_shared_engineering_gbp:f6 "
        "gross_margin_direct_cost_gbp:f6 margin_percent_direct_cost:f4 "
        "gross_margin_with_allocated_shared_engineering_gbp:f6 customer_tenure_months:f0 customer_since:d "
-       "avg_monthly_revenue_gbp:f6 avg_monthly_cost_gbp:f6 avg_monthly_margin_gbp:f6 "
+       "avg_monthly_revenue_gbp:f8 avg_monthly_cost_gbp:f8 avg_monthly_margin_gbp:f8 "
        "projected_commercial_ltv_gbp:f4 projected_gaap_ltv_gbp:f4 estimated_cac_gbp:i acquisition_date:d "
        "first_revenue_date:d last_revenue_date:d gaap_months_with_revenue:f0 ltv_to_cac_ratio:f6 "
        "cac_payback_months:f6 profitability_tier:s customer_status:s")

@@ -21,6 +21,19 @@ AMOUNT = "decimal(18,2)"
 # Customers of these market segments are in the ground-truth seed.
 KNOWN_SEGMENTS = ["BUILDING", "MACHINERY"]
 
+# Staged table -> attribute of its stand-in.
+FEEDS = {
+    "harvest_clients": "harvest_clients", "harvest_projects": "projects", "harvest_time_entries": "delivery_time",
+    "intacct_customers": "ledger", "intacct_gl_entries": "gl_entries", "intacct_revenue_recognition": "revrec",
+    "jira_issues": "issues", "mixpanel_events": "product_events", "sf_accounts": "accounts",
+    "sf_opportunities": "opportunities", "sf_users": "sf_users",
+    "stripe_balance_transactions": "balance_transactions", "stripe_charges": "charges",
+    "stripe_customers": "billing", "stripe_disputes": "disputes", "stripe_invoice_line_items": "invoice_lines",
+    "stripe_invoices": "invoices", "stripe_refunds": "refunds", "stripe_subscriptions": "subscriptions",
+    "zendesk_organizations": "orgs", "zendesk_ticket_events": "ticket_events", "zendesk_tickets": "tickets",
+    "zendesk_time_entries": "support_time",
+}
+
 
 def _id(prefix: str, column: str) -> Column:
     return F.concat(F.lit(prefix), F.col(column).cast("string"))
@@ -271,6 +284,51 @@ class StandIns:
             _id("u", "user_id").alias("distinct_id"), company.alias("company_id"), F.col("value").alias("event_value"),
             F.col("ts").alias("timestamp"), F.col("props"))
 
+    # --- feeds no model reads ----------------------------------------------------
+
+    @cached_property
+    def harvest_clients(self) -> DataFrame:
+        return self.table("customer").select(_id("HV_", "c_custkey").alias("client_id"), F.col("c_name").alias("name"))
+
+    @cached_property
+    def gl_entries(self) -> DataFrame:
+        return self.table("lineitem").select(
+            _line_id("GL_").alias("entry_id"), _id("INTACCT_S", "l_suppkey").alias("customer_id"),
+            F.col("l_returnflag").alias("account"), _amount(F.col("l_extendedprice")).alias("amount_gbp"),
+            F.col("l_linestatus").alias("department"), _day("l_shipdate").alias("date"))
+
+    @cached_property
+    def sf_users(self) -> DataFrame:
+        return self.table("supplier").select(
+            _id("USR_", "s_suppkey").alias("user_id"), F.col("s_name").alias("full_name"),
+            F.concat(_id("s", "s_suppkey"), F.lit("@example.com")).alias("email"), F.lit("Owner").alias("role"))
+
+    @cached_property
+    def balance_transactions(self) -> DataFrame:
+        gross = _amount(F.col("o_totalprice"))
+        fee = (gross * F.lit("0.02").cast("decimal(4,2)")).cast("decimal(18,4)")
+        return self.table("orders").select(
+            _id("txn_", "o_orderkey").alias("balance_txn_id"), _id("ch_", "o_orderkey").alias("source_charge_id"),
+            _at("o_orderdate").alias("created_at"), gross.alias("gross_gbp"), fee.alias("fee_gbp"),
+            (gross - fee).alias("net_gbp"))
+
+    # --- landing documents -------------------------------------------------------
+
+    def feed(self, table: str) -> DataFrame:
+        """The stand-in of a staged table, by the staged name."""
+        return getattr(self, FEEDS[table])
+
+    def documents(self, table: str) -> DataFrame:
+        """The stand-in as JSON texts, one document per row, as the source systems write them."""
+        df = self.feed(table)
+        columns = [F.from_json("props", "k int").alias("properties") if f.name == "props"
+                   else F.col(f.name).cast("string").alias(f.name)
+                   if f.dataType.simpleString() in ("date", "timestamp_ntz") else F.col(f.name) for f in df.schema]
+        return df.select(F.to_json(F.struct(*columns)).alias("value"))
+
+    def landing(self, table: str) -> DataFrame:
+        return self.documents(table).select(F.parse_json("value").alias("record_content"))
+
     # --- shared results ----------------------------------------------------------
 
     @cached_property
