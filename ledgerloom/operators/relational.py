@@ -38,9 +38,14 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, spread_by: str
     ``dim`` rows with a null key are ignored. ``spread_by`` names a column with many
     values and is given when ``key`` is often null.
     """
-    right = dim.filter(F.col(dim_key).isNotNull()).withColumnRenamed(dim_key, "__dim_key")
     on = spread_nulls(key, spread_by) if spread_by else F.col(key)
-    return df.join(right, on == F.col("__dim_key"), "left").drop("__dim_key")
+    return df.join(_dimension(dim, dim_key), on == F.col("__dim_key"), "left").drop("__dim_key")
+
+
+def _dimension(dim: DataFrame, dim_key: str) -> DataFrame:
+    """Keyed rows of a dimension, with the key under a name no other column has."""
+    return dim.filter(F.col(dim_key).isNotNull()).select(
+        F.col(dim_key).alias("__dim_key"), *[c for c in dim.columns if c != dim_key])
 
 
 def attribute(df: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFrame:
@@ -48,9 +53,8 @@ def attribute(df: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFram
 
     Null keys never match, so they are filtered before the shuffle.
     """
-    right = dim.filter(F.col(dim_key).isNotNull()).withColumnRenamed(dim_key, "__dim_key")
     left = df.filter(F.col(key).isNotNull())
-    return left.join(right, F.col(key) == F.col("__dim_key"), "inner").drop("__dim_key")
+    return left.join(_dimension(dim, dim_key), F.col(key) == F.col("__dim_key"), "inner").drop("__dim_key")
 
 
 def unmatched(df: DataFrame, other: DataFrame, key: str, other_key: str) -> DataFrame:

@@ -37,13 +37,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder and continue from there.
+    """Write the rows as Parquet below the shared checkpoint folder and continue from there.
 
-    Used where a small result (the identity map, the user map) feeds many models:
-    it is computed once, and lost executors re-read files instead of recomputing.
+    Used where one result (the identity map, the user map) feeds many models: it is
+    computed once, later joins read only the columns they need and know its size, and
+    lost executors re-read files instead of recomputing.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -51,12 +51,12 @@ def expand_months(contracts: DataFrame, thresholds: Thresholds = THRESHOLDS) ->
     The generator of the model is defined over at most ``contract_months_cap`` months,
     which is part of its meaning.
     """
-    last = F.least(F.col("end_month"), F.add_months("start_month", thresholds.contract_months_cap - 1))
-    months = F.when(last >= F.col("start_month"),
-                    F.sequence("start_month", F.greatest(last, F.col("start_month")),
-                               F.expr("INTERVAL 1 MONTH")))
-    return contracts.select(CUSTOMER, "opportunity_id", F.explode(months).alias("revenue_month"),
-                            money(money("arr_booked_gbp") / F.lit(12)).alias("expected_monthly_booked_gbp"))
+    last = F.least(month_diff("start_month", "end_month"), F.lit(thresholds.contract_months_cap - 1))
+    offsets = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0))))
+    monthly = money(money("arr_booked_gbp") / F.lit(12)).alias("expected_monthly_booked_gbp")
+    rows = contracts.select(CUSTOMER, "opportunity_id", "start_month", monthly, F.explode(offsets).alias("__n"))
+    return rows.select(CUSTOMER, "opportunity_id", F.add_months("start_month", F.col("__n")).alias("revenue_month"),
+                       "expected_monthly_booked_gbp")
 
 
 def booked_monthly(months: DataFrame) -> DataFrame:
@@ -298,12 +298,12 @@ def ltv_calculation(idmap: DataFrame, revenue: DataFrame, cost: DataFrame, snaps
     mrr = mrr_metrics(commercial_mrr_monthly(snapshots), as_of)
     joined = (customers.join(lifetime_revenue(revenue), CUSTOMER, "left").join(mrr, CUSTOMER, "left")
               .join(costs, CUSTOMER, "left").join(acquisition(opportunities, idmap), CUSTOMER, "left"))
-    filled = joined.withColumn("__has_revenue", F.col("gaap_total_revenue_gbp") > 0)
-    for name in ("gaap_total_revenue_gbp", "gaap_total_recognized_revenue_gbp", "gaap_total_deferred_revenue_gbp",
-                 "commercial_current_mrr_gbp", "commercial_avg_monthly_mrr_gbp", "total_direct_cost_gbp",
-                 "total_delivery_cost_gbp", "total_support_cost_gbp", "total_engineering_direct_cost_gbp",
-                 "total_engineering_shared_cost_gbp", "total_hours"):
-        filled = filled.withColumn(name, zero_if_null(name))
+    amounts = ["gaap_total_revenue_gbp", "gaap_total_recognized_revenue_gbp", "gaap_total_deferred_revenue_gbp",
+               "commercial_current_mrr_gbp", "commercial_avg_monthly_mrr_gbp", "total_direct_cost_gbp",
+               "total_delivery_cost_gbp", "total_support_cost_gbp", "total_engineering_direct_cost_gbp",
+               "total_engineering_shared_cost_gbp", "total_hours"]
+    filled = joined.withColumns({"__has_revenue": F.col("gaap_total_revenue_gbp") > 0,
+                                 **{a: zero_if_null(a) for a in amounts}})
     # The pool comes straight from the ledger: one row with partial sums, not a second pass over the joins.
     totals = shared_pool(cost).crossJoin(F.broadcast(
         mrr.agg(F.sum("commercial_current_mrr_gbp").alias("__all_mrr"))))
@@ -318,19 +318,20 @@ def ltv_calculation(idmap: DataFrame, revenue: DataFrame, cost: DataFrame, snaps
 
     allocated = F.col("allocated_shared_engineering_cost_gbp")
     margin = F.col("gross_margin_direct_cost_gbp")
-    return (rows.withColumn("allocated_shared_engineering_cost_gbp", share)
-            .withColumn("total_cost_including_allocated_shared_engineering_gbp", direct + allocated)
-            .withColumn("gross_margin_direct_cost_gbp", revenue_total - direct)
-            .withColumn("margin_percent_direct_cost",
-                        F.when(F.col("__has_revenue"), ratio(margin, revenue_total) * 100).otherwise(F.lit(0.0)))
-            .withColumn("gross_margin_with_allocated_shared_engineering_gbp",
-                        revenue_total - F.col("total_cost_including_allocated_shared_engineering_gbp"))
-            .withColumn("avg_monthly_revenue_gbp", monthly(revenue_total))
-            .withColumn("avg_monthly_cost_gbp", monthly(direct))
-            .withColumn("avg_monthly_margin_gbp", monthly(margin))
-            .withColumn("projected_commercial_ltv_gbp", mrr * thresholds.projection_months)
-            .withColumn("projected_gaap_ltv_gbp", F.lit(None).cast("decimal(38,0)"))
-            .withColumn("estimated_cac_gbp", F.lit(thresholds.estimated_cac_gbp)))
+    with_share = rows.withColumns({"allocated_shared_engineering_cost_gbp": share,
+                                   "gross_margin_direct_cost_gbp": revenue_total - direct})
+    return with_share.withColumns({
+        "total_cost_including_allocated_shared_engineering_gbp": direct + allocated,
+        "margin_percent_direct_cost": F.when(F.col("__has_revenue"), ratio(margin, revenue_total) * 100).otherwise(
+            F.lit(0.0)),
+        "gross_margin_with_allocated_shared_engineering_gbp": revenue_total - (direct + allocated),
+        "avg_monthly_revenue_gbp": monthly(revenue_total),
+        "avg_monthly_cost_gbp": monthly(direct),
+        "avg_monthly_margin_gbp": monthly(margin),
+        "projected_commercial_ltv_gbp": mrr * thresholds.projection_months,
+        "projected_gaap_ltv_gbp": F.lit(None).cast("decimal(38,0)"),
+        "estimated_cac_gbp": F.lit(thresholds.estimated_cac_gbp),
+    })
 
 
 LTV_COLUMNS = [
@@ -363,14 +364,13 @@ def customer_ltv(idmap: DataFrame, revenue: DataFrame, cost: DataFrame, snapshot
     rows = ltv_calculation(idmap, revenue, cost, snapshots, opportunities, as_of, thresholds)
     cac, margin = F.col("estimated_cac_gbp"), F.col("avg_monthly_margin_gbp")
     recent = F.add_months(date_lit(as_of), -3)
-    return (rows.withColumn("ltv_to_cac_ratio",
-                            F.when(cac > 0, ratio("projected_commercial_ltv_gbp", cac)))
-            .withColumn("cac_payback_months", F.when(margin > 0, ratio(cac, margin)))
-            .withColumn("profitability_tier", _tier(F.col("gross_margin_direct_cost_gbp")))
-            .withColumn("customer_status",
-                        F.when(F.col("commercial_current_mrr_gbp") > 0, "ACTIVE")
-                        .when(F.col("last_revenue_date") >= recent, "RECENTLY_CHURNED").otherwise("CHURNED"))
-            .select(*LTV_COLUMNS))
+    return rows.withColumns({
+        "ltv_to_cac_ratio": F.when(cac > 0, ratio("projected_commercial_ltv_gbp", cac)),
+        "cac_payback_months": F.when(margin > 0, ratio(cac, margin)),
+        "profitability_tier": _tier(F.col("gross_margin_direct_cost_gbp")),
+        "customer_status": F.when(F.col("commercial_current_mrr_gbp") > 0, "ACTIVE")
+        .when(F.col("last_revenue_date") >= recent, "RECENTLY_CHURNED").otherwise("CHURNED"),
+    }).select(*LTV_COLUMNS)
 
 
 # --- project performance ---------------------------------------------------------

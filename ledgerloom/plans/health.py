@@ -252,17 +252,17 @@ def fact_customer_health(idmap: DataFrame, usage: DataFrame, events: DataFrame,
             .join(last_login(events, users, thresholds), CUSTOMER, "left")
             .join(open_critical(tickets, idmap), CUSTOMER, "left")
             .join(dso(invoices, idmap, as_of, thresholds), CUSTOMER, "left"))
-    for name in ("active_days_30d", "monthly_active_users_30d", "open_critical_tickets_count",
-                 "days_sales_outstanding", "open_invoices_30d_plus_count", "avg_days_to_pay_90d",
-                 "usage_trend_pct_30d"):
-        rows = rows.withColumn(name, zero_if_null(name))
-    scored = (rows.withColumn("usage_score", clamp(F.col("active_days_30d") / 30.0 * 100, 0.0, 100.0))
-              .withColumn("tickets_score", clamp(F.col("open_critical_tickets_count") * 25, 0, 100))
-              .withColumn("late_payment_score", clamp(F.col("days_sales_outstanding") / 60.0 * 100, 0.0, 100.0))
-              .withColumn("health_score", clamp(
-                  F.col("usage_score") * 0.5 - F.col("tickets_score") * 0.3 - F.col("late_payment_score") * 0.2,
-                  0.0, 100.0)))
-    return scored.withColumn("as_of_date", date_lit(as_of)).select(
+    rows = rows.withColumns({name: zero_if_null(name) for name in (
+        "active_days_30d", "monthly_active_users_30d", "open_critical_tickets_count", "days_sales_outstanding",
+        "open_invoices_30d_plus_count", "avg_days_to_pay_90d", "usage_trend_pct_30d")})
+    scored = rows.withColumns({
+        "as_of_date": date_lit(as_of),
+        "usage_score": clamp(F.col("active_days_30d") / 30.0 * 100, 0.0, 100.0),
+        "tickets_score": clamp(F.col("open_critical_tickets_count") * 25, 0, 100),
+        "late_payment_score": clamp(F.col("days_sales_outstanding") / 60.0 * 100, 0.0, 100.0),
+    }).withColumn("health_score", clamp(
+        F.col("usage_score") * 0.5 - F.col("tickets_score") * 0.3 - F.col("late_payment_score") * 0.2, 0.0, 100.0))
+    return scored.select(
         surrogate_key(CUSTOMER, "as_of_date").alias("customer_health_id"), CUSTOMER, "customer_name", "as_of_date",
         F.coalesce("last_login_date", "last_activity_date").alias("last_login_date"),
         F.col("monthly_active_users_30d").alias("active_users_l30d"), "open_critical_tickets_count",
@@ -311,9 +311,9 @@ def revenue_at_risk(idmap: DataFrame, opportunities: DataFrame, usage: DataFrame
             .join(current, CUSTOMER, "left")
             .join(usage_baseline(usage, as_of), CUSTOMER, "left")
             .join(support_hours(cost, as_of), CUSTOMER, "left"))
-    for name in ("booked_arr_gbp", "active_days_30d_current", "active_days_30d_prev_3mo_avg",
-                 "support_hours_30d", "support_hours_prev_30d"):
-        rows = rows.withColumn(name, zero_if_null(name))
+    rows = rows.withColumns({name: zero_if_null(name) for name in (
+        "booked_arr_gbp", "active_days_30d_current", "active_days_30d_prev_3mo_avg", "support_hours_30d",
+        "support_hours_prev_30d")})
     base, change = F.col("active_days_30d_prev_3mo_avg"), F.col("active_days_change_ratio")
     before = F.col("support_hours_prev_30d")
     flagged = rows.withColumns({

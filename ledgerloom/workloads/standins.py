@@ -57,9 +57,13 @@ class StandIns:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune(spark)
         self.sf_dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A test table; its footer is read once per instance."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     # --- customers ---------------------------------------------------------------
 
