@@ -147,9 +147,17 @@ def load_raw(spark: SparkSession, path: str, on_error: str = "skip_file",
 
 
 def listing(spark: SparkSession, base: str) -> DataFrame:
-    """All files below a folder, markers included, without reading their content."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
-            .select("path", "length", "modificationTime"))
+    """Paths of all data files and batch markers below a folder, without reading content.
+
+    File sources hide names that start with an underscore, so the markers, one per
+    batch, come from a glob over the batch folders.
+    """
+    data = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base).select("path")
+    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{base.rstrip('/')}/clients/*/*/*/run_date=*/{SUCCESS_MARKER}")
+    found = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(glob)
+    markers = [(status.getPath().toString(),) for status in found or []]
+    return data.unionByName(spark.createDataFrame(markers, "path string"))
 
 
 def promote_complete_batches(files: DataFrame, markers: DataFrame | None = None) -> DataFrame:

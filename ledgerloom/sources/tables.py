@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +33,7 @@ def write_table(df: DataFrame, name: str, cluster_by: Sequence[str] | None = Non
         writer = writer.option("path", path)
     try:
         writer.saveAsTable(name)
-    except AnalysisException as error:
+    except Exception as error:  # the missing source surfaces as a JVM error
         if "DATA_SOURCE_NOT_FOUND" in str(error):
             raise ValueError(f"table format {fmt!r} needs its data source on the class path") from error
         raise
