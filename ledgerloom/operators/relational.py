@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 NULL_SPREAD = 1024
 
 
-def spread_nulls(key: str | Column, by: str | Column) -> Column:
+def spread_nulls(key: str, by: str) -> Column:
     """A text join key whose nulls are replaced by many never-matching values.
 
     Null keys of an outer join all hash to one shuffle partition. The replacement
@@ -26,10 +26,8 @@ def spread_nulls(key: str | Column, by: str | Column) -> Column:
     the rows spread evenly and still match nothing. The hash is deterministic, so a
     retried task sends each row to the same partition.
     """
-    k = F.col(key) if isinstance(key, str) else key
-    b = F.col(by) if isinstance(by, str) else by
-    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(b), F.lit(NULL_SPREAD)).cast("string"))
-    return F.coalesce(k.cast("string"), filler)
+    filler = f"concat(char(1), cast(pmod(xxhash64(`{by}`), {NULL_SPREAD}) as string))"
+    return F.expr(f"coalesce(cast(`{key}` as string), {filler})")
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, spread_by: str | None = None) -> DataFrame:

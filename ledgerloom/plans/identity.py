@@ -32,7 +32,8 @@ def ground_truth(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
 
 def _identity(df: DataFrame, master: Column, name: Column, source: Column, **ids: Column) -> DataFrame:
     """Project a source to the identity layout; identifiers it lacks are null."""
-    columns = [ids.get(c, F.lit(None)).cast("string").alias(c) for c in IDENTIFIERS]
+    missing = F.lit(None).cast("string")
+    columns = [ids.get(c, missing).alias(c) for c in IDENTIFIERS]
     return df.select(master.alias("master_customer_id"), name.alias("customer_name"), *columns,
                      source.alias("identity_source"))
 
@@ -78,19 +79,18 @@ def all_identities(seed: DataFrame, accounts: DataFrame, billing: DataFrame, led
         residual_orgs(orgs, truth))
 
 
-def populated(columns: Sequence[Column]) -> Column:
+def populated(columns: Sequence[str]) -> Column:
     """How many of the columns are not null."""
-    return sum((flag(c.isNotNull()) for c in columns[1:]), flag(columns[0].isNotNull()))
+    return F.expr(" + ".join(f"int({c} is not null)" for c in columns))
 
 
 def score_identities(df: DataFrame) -> DataFrame:
     """Add the source priority and the number of populated identifiers."""
-    priority = F.lit(UNKNOWN_PRIORITY)
-    for source, rank in SOURCE_PRIORITY.items():
-        priority = F.when(F.col("identity_source") == source, F.lit(rank)).otherwise(priority)
+    ranks = " ".join(f"when '{source}' then {rank}" for source, rank in SOURCE_PRIORITY.items())
+    priority = F.expr(f"case identity_source {ranks} else {UNKNOWN_PRIORITY} end")
     return df.withColumns({
         "identity_source_priority": priority,
-        "identifiers_populated": populated([F.col(c) for c in IDENTIFIERS]),
+        "identifiers_populated": populated(IDENTIFIERS),
     })
 
 
@@ -125,12 +125,10 @@ def collapse_identities(scored: DataFrame) -> DataFrame:
         *[F.min(c).alias(f"__min_{c}") for c in IDENTIFIERS],
         F.bool_or(F.col("identity_source") == "GROUND_TRUTH").alias("has_ground_truth"),
         _canonical("customer_name", "identity_source").alias("best"))
-    conflict = F.lit(False)
-    for c in IDENTIFIERS:
-        conflict = conflict | F.coalesce(F.col(c) != F.col(f"__min_{c}"), F.lit(False))
+    conflict = F.expr(" or ".join(f"coalesce({c} != __min_{c}, false)" for c in IDENTIFIERS))
     return merged.select(
         "master_customer_id", *IDENTIFIERS, "best.customer_name", "best.identity_source",
-        populated([F.col(c) for c in IDENTIFIERS]).alias("source_system_count"),
+        populated(IDENTIFIERS).alias("source_system_count"),
         "has_ground_truth", conflict.alias("has_conflicts"))
 
 

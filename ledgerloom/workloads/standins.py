@@ -36,11 +36,11 @@ FEEDS = {
 
 
 def _id(prefix: str, column: str) -> Column:
-    return F.concat(F.lit(prefix), F.col(column).cast("string"))
+    return F.expr(f"concat('{prefix}', cast({column} as string))")
 
 
 def _day(column: str) -> Column:
-    return F.date_add(F.col(column).cast("date"), SHIFT_DAYS)
+    return F.expr(f"date_add(cast({column} as date), {SHIFT_DAYS})")
 
 
 def _at(column: str) -> Column:
@@ -376,5 +376,5 @@ class StandIns:
 
 
 def _line_id(prefix: str) -> Column:
-    return F.concat(F.lit(prefix), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    return F.expr(f"concat('{prefix}', concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey))")
 

@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[4]").appName("tests")
                .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
                .config("spark.driver.memory", "4g").config("spark.sql.session.timeZone", "UTC")
+               .config("spark.python.sql.dataFrameDebugging.enabled", "false")
                .config("spark.sql.warehouse.dir", str(warehouse)).getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session

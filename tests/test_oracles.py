@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_DIR
+from ledgerloom.workloads import data_queries, model_queries
+from ledgerloom.workloads.standins import StandIns
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
@@ -32,6 +34,21 @@ def canonical(columns, rows):
     return sorted(tuple(text(r[i]) for i in order) for r in rows)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_standins():
+    """One set of stand-ins for the module, so that shared maps are built once."""
+    made = {}
+
+    def shared(spark, sf_dir):
+        return made.setdefault(sf_dir, StandIns(spark, sf_dir))
+
+    patch = pytest.MonkeyPatch()
+    patch.setattr(model_queries, "StandIns", shared)
+    patch.setattr(data_queries, "StandIns", shared)
+    yield
+    patch.undo()
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_its_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_DIR)
