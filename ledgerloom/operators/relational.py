@@ -115,28 +115,34 @@ def with_distinct_over(df: DataFrame, keys: Sequence[str], distinct: dict[str, C
     return df.join(counts, condition, "left").drop(*[f"__{k}" for k in keys])
 
 
-def rolling_distinct(events: DataFrame, grid: DataFrame, key: str, member: str, day: str, days: int,
-                     name: str) -> DataFrame:
-    """Distinct members seen in the trailing ``days`` days, per (key, day) of ``grid``.
+def distinct_deltas(events: DataFrame, key: str, member: str, day: str, days: int, name: str) -> DataFrame:
+    """Daily change of the number of members seen in the trailing ``days`` days, per key.
 
     A member seen on day d counts on [d, d + days - 1], cut short at its next sighting.
     Those intervals never overlap for one member, so +1 at the start and -1 past the
     end, summed per day and accumulated, is the exact distinct count. The work is
     linear in the distinct (key, member, day) rows; a range join would repeat each
-    row ``days`` times.
+    row ``days`` times. The sums combine on the map side, so a key with very many
+    members leaves one small row per day.
     """
     seen = events.select(key, member, day).filter(
         F.col(key).isNotNull() & F.col(member).isNotNull() & F.col(day).isNotNull()).distinct()
     per_member = Window.partitionBy(key, member).orderBy(day)
-    spans = seen.withColumn("__next", F.lead(day).over(per_member)).withColumn(
-        "__stop", F.least(F.date_add(day, days), F.col("__next")))
-    deltas = spans.select(key, F.explode(F.array(
-        F.struct(F.col(day).alias(day), F.lit(1).alias("__delta")),
-        F.struct(F.col("__stop").alias(day), F.lit(-1).alias("__delta")))).alias("d")).select(
-        key, f"d.{day}", "d.__delta")
-    daily = (deltas.select(key, day, "__delta", F.lit(False).alias("__on_grid"))
-             .unionByName(grid.select(key, day, F.lit(0).alias("__delta"), F.lit(True).alias("__on_grid")))
-             .groupBy(key, day).agg(F.sum("__delta").alias("__delta"), F.bool_or("__on_grid").alias("__on_grid")))
+    stop = F.least(F.date_add(day, days), F.lead(day).over(per_member))
+    deltas = F.explode(F.array(F.struct(F.col(day).alias(day), F.lit(1).alias("n")),
+                               F.struct(F.col("__stop").alias(day), F.lit(-1).alias("n"))))
+    return (seen.select(key, day, stop.alias("__stop")).select(key, deltas.alias("d"))
+            .groupBy(key, F.col(f"d.{day}").alias(day)).agg(F.sum("d.n").alias(name)))
+
+
+def rolling_distinct(events: DataFrame, grid: DataFrame, key: str, member: str, day: str, days: int,
+                     name: str) -> DataFrame:
+    """Distinct members seen in the trailing ``days`` days, per (key, day) of ``grid``."""
+    deltas = distinct_deltas(events, key, member, day, days, "__delta").withColumn("__on_grid", F.lit(False))
+    rows = grid.select(key, day, F.lit(0).cast("bigint").alias("__delta"), F.lit(True).alias("__on_grid"))
+    # One shuffle by key serves the sum per day and the running sum: a key has few days left.
+    daily = (deltas.unionByName(rows).repartition(F.col(key)).groupBy(key, day)
+             .agg(F.sum("__delta").alias("__delta"), F.bool_or("__on_grid").alias("__on_grid")))
     running = Window.partitionBy(key).orderBy(day).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (daily.withColumn(name, F.sum("__delta").over(running))
             .filter("__on_grid").select(key, day, name))

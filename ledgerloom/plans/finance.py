@@ -281,7 +281,7 @@ def acquisition(opportunities: DataFrame, idmap: DataFrame) -> DataFrame:
 def tenure(idmap: DataFrame, as_of: str | dt.date) -> DataFrame:
     """Calendar months since a customer was first seen, and the same with a floor of 1."""
     months = month_diff("first_seen_at", date_lit(as_of))
-    return idmap.select(CUSTOMER, F.col("first_seen_at").alias("customer_since"),
+    return idmap.select(CUSTOMER, "customer_name", F.col("first_seen_at").alias("customer_since"),
                         months.alias("customer_tenure_months"),
                         F.when(months <= 0, F.lit(1)).otherwise(months).alias("tenure_months_safe"))
 
@@ -293,7 +293,7 @@ def ltv_calculation(idmap: DataFrame, revenue: DataFrame, cost: DataFrame, snaps
 
     All inputs are aggregated by customer first, so the joins reuse that partitioning.
     """
-    customers = tenure(idmap, as_of).join(idmap.select(CUSTOMER, "customer_name"), CUSTOMER)
+    customers = tenure(idmap, as_of)
     costs = lifetime_cost(cost)
     mrr = mrr_metrics(commercial_mrr_monthly(snapshots), as_of)
     joined = (customers.join(lifetime_revenue(revenue), CUSTOMER, "left").join(mrr, CUSTOMER, "left")

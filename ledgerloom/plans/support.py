@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.dates import date_lit, day_diff
 from ..functions.keys import surrogate_key
 from ..functions.scalars import flag, least_or_null, money, zero_if_null
-from ..operators.relational import lookup
-from .ledgers import rate_lit, support_hours_of, support_rate, ticket_customer
+from ..operators.relational import attribute, lookup
+from .ledgers import rate_lit, support_hours_of, support_rate
 from .params import RATES, Rates
 
 # Severity -> points; days within the bound -> speed class.
@@ -33,8 +33,8 @@ def ticket_lifecycle(events: DataFrame) -> DataFrame:
 
 def tickets_enriched(tickets: DataFrame, events: DataFrame, idmap: DataFrame) -> DataFrame:
     """Attributed tickets with response and solved times inferred from their status."""
-    owners = ticket_customer(tickets, idmap).select(F.col("ticket_id").alias("__t"), "master_customer_id")
-    owned = tickets.join(owners, F.col("ticket_id") == F.col("__t")).drop("__t")
+    owned = attribute(tickets, idmap.select("zendesk_organization_id", "master_customer_id"), "organization_id",
+                      "zendesk_organization_id")
     rows = lookup(owned, ticket_lifecycle(events).withColumnRenamed("ticket_id", "__t"), "ticket_id", "__t")
     last, status = F.col("ticket_last_agent_status_change_at"), F.col("status")
     return rows.select(

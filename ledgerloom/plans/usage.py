@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -12,7 +12,7 @@ from ..functions.aggregates import count_distinct_where
 from ..functions.dates import as_date, trailing_days
 from ..functions.keys import surrogate_key
 from ..functions.scalars import contains_any_ci, flag, ratio, zero_if_null
-from ..operators.relational import attribute, rolling_distinct
+from ..operators.relational import attribute, distinct_deltas, rolling_distinct
 from .finance import CUSTOMER, with_customer_name
 from .params import THRESHOLDS, Thresholds
 
@@ -51,8 +51,17 @@ def daily_totals(mapped: DataFrame, thresholds: Thresholds = THRESHOLDS) -> Data
         F.count_distinct("user_identifier").alias("daily_active_users"))
 
 
-def active_user_days(mapped: DataFrame) -> DataFrame:
-    return mapped.select(CUSTOMER, DAY, "user_identifier").distinct()
+def active_user_days(events: DataFrame, users: DataFrame, start: str | dt.date) -> DataFrame:
+    """Distinct (customer, user, day) from ``start`` on.
+
+    Events are reduced to user-days before the user map is joined; a user has one
+    customer, so the rows stay distinct.
+    """
+    first = F.lit(as_date(start)).cast("timestamp_ntz")
+    days = events.filter(F.col("timestamp") >= first).select(
+        F.col("distinct_id").alias("user_identifier"), F.col("timestamp").cast("date").alias(DAY)).distinct()
+    owners = users.select(F.col("user_identifier").alias("__user"), CUSTOMER)
+    return attribute(days, owners, "user_identifier", "__user").select(CUSTOMER, DAY, "user_identifier")
 
 
 def densify(grid: DataFrame, totals: DataFrame) -> DataFrame:
@@ -63,34 +72,54 @@ def densify(grid: DataFrame, totals: DataFrame) -> DataFrame:
 
 def rolling_metrics(dense: DataFrame, thresholds: Thresholds = THRESHOLDS) -> DataFrame:
     """Trailing and previous window sums; a customer has a fixed number of grid days."""
-    days = thresholds.rolling_days
+    return dense.withColumns(_rolling(thresholds.rolling_days))
+
+
+def _rolling(days: int) -> dict[str, Column]:
     ordered = Window.partitionBy(CUSTOMER).orderBy(DAY)
     current, previous = ordered.rowsBetween(1 - days, 0), ordered.rowsBetween(1 - 2 * days, -days)
-    return dense.withColumns({
+    return {
         "total_events_30d": F.sum("daily_events").over(current),
         "key_actions_30d": F.sum("daily_key_actions").over(current),
         "active_days_30d": F.sum(flag(F.col("daily_events") > 0)).over(current),
         "total_events_prev_30d": F.sum("daily_events").over(previous),
-    })
+    }
 
 
-def rolling_mau(mapped: DataFrame, grid: DataFrame, thresholds: Thresholds = THRESHOLDS) -> DataFrame:
-    """Distinct users of the trailing window per customer and grid day."""
-    return rolling_distinct(active_user_days(mapped), grid, CUSTOMER, "user_identifier", DAY,
-                            thresholds.rolling_days, "monthly_active_users_30d")
+def rolling_mau(active: DataFrame, grid: DataFrame, thresholds: Thresholds = THRESHOLDS) -> DataFrame:
+    """Distinct users of the trailing window per customer and grid day, from active user-days."""
+    return rolling_distinct(active, grid, CUSTOMER, "user_identifier", DAY, thresholds.rolling_days,
+                            "monthly_active_users_30d")
+
+
+def usage_windows(grid: DataFrame, totals: DataFrame, active: DataFrame,
+                  thresholds: Thresholds = THRESHOLDS) -> DataFrame:
+    """Daily totals, window sums and rolling users on every grid day.
+
+    Totals and user changes are reduced to one row per customer and day, united with
+    the grid and shuffled once by customer: that one partitioning serves the sum per
+    day, both kinds of window and later joins by customer. Days after the grid sort
+    behind it and so are outside every frame of a grid day.
+    """
+    deltas = distinct_deltas(active, CUSTOMER, "user_identifier", DAY, thresholds.rolling_days, "__delta")
+    measures = [*TOTALS, "__delta"]
+    rows = (grid.withColumn("__on_grid", F.lit(True))
+            .unionByName(totals, allowMissingColumns=True).unionByName(deltas, allowMissingColumns=True))
+    daily = rows.repartition(F.col(CUSTOMER)).groupBy(CUSTOMER, DAY).agg(
+        F.bool_or("__on_grid").alias("__on_grid"), *[zero_if_null(F.sum(m)).alias(m) for m in measures])
+    running = Window.partitionBy(CUSTOMER).orderBy(DAY).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    windows = _rolling(thresholds.rolling_days) | {"monthly_active_users_30d": F.sum("__delta").over(running)}
+    return daily.withColumns(windows).filter("__on_grid").drop("__on_grid", "__delta")
 
 
 def product_usage(events: DataFrame, users: DataFrame, idmap: DataFrame, as_of: str | dt.date,
                   thresholds: Thresholds = THRESHOLDS) -> DataFrame:
     """Daily usage metrics per customer over the trailing spine."""
-    spark = events.sparkSession
     last = as_date(as_of)
-    spine = trailing_days(spark, last, thresholds.usage_spine_days, DAY)
-    grid = customer_dates(users, spine)
-    mapped = mapped_events(events, users, last - dt.timedelta(days=thresholds.usage_spine_days - 1))
-    dense = rolling_metrics(densify(grid, daily_totals(mapped, thresholds)), thresholds)
-    rows = dense.join(rolling_mau(mapped, grid, thresholds), [CUSTOMER, DAY], "left").withColumn(
-        "monthly_active_users_30d", zero_if_null("monthly_active_users_30d"))
+    start = last - dt.timedelta(days=thresholds.usage_spine_days - 1)
+    grid = customer_dates(users, trailing_days(events.sparkSession, last, thresholds.usage_spine_days, DAY))
+    rows = usage_windows(grid, daily_totals(mapped_events(events, users, start), thresholds),
+                         active_user_days(events, users, start), thresholds)
     dau, mau = F.col("daily_active_users"), F.col("monthly_active_users_30d")
     before, now = F.col("total_events_prev_30d"), F.col("total_events_30d")
     stickiness = F.when(mau > 0, ratio(dau, mau)).otherwise(F.lit(0.0))

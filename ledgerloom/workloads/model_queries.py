@@ -127,6 +127,10 @@ def mapped(s: StandIns) -> DataFrame:
     return usage.mapped_events(s.product_events, s.users, "2023-10-23")
 
 
+def active(s: StandIns) -> DataFrame:
+    return usage.active_user_days(s.product_events, s.users, "2023-10-23")
+
+
 def company_or_account(s: StandIns) -> DataFrame:
     activity = identity.user_company_activity(s.product_events)
     return relational.or_join(activity, s.idmap, "company_id", [("mixpanel_company_id", 2), ("account_id", 1)],
@@ -178,7 +182,7 @@ MODEL_QUERIES: dict[str, Query] = {
         table("project_perf"), PROJECT),
     "daily_event_totals": paired(lambda s: usage.daily_totals(mapped(s)), table("daily"), DAILY),
     "rolling_mau": paired(
-        lambda s: usage.rolling_mau(mapped(s), usage.customer_dates(s.users, trailing_days(s.spark, AS_OF, 121))), table("mau"),
+        lambda s: usage.rolling_mau(active(s), usage.customer_dates(s.users, trailing_days(s.spark, AS_OF, 121))), table("mau"),
         "master_customer_id:s event_date:d monthly_active_users_30d:i"),
     "rolling_week_users": paired(
         members_per_day,
@@ -186,6 +190,11 @@ MODEL_QUERIES: dict[str, Query] = {
         "AS DATE) AS day FROM events) b LEFT JOIN (SELECT DISTINCT event_type, CAST(ts AS DATE) AS day, user_id FROM "
         "events) a ON a.event_type = b.event_type AND a.day BETWEEN b.day - 6 AND b.day GROUP BY 1, 2",
         "event_type:s day:d users_7d:i"),
+    "usage_windows": paired(
+        lambda s: usage.rolling_metrics(usage.densify(usage.customer_dates(s.users, trailing_days(s.spark, AS_OF, 121)),
+                                                      usage.daily_totals(mapped(s)))),
+        "SELECT *, prev AS total_events_prev_30d FROM rolling",
+        f"{DAILY} total_events_30d:i key_actions_30d:i active_days_30d:i total_events_prev_30d:f0"),
     "product_usage": paired(lambda s: s.usage, table("usage"), USAGE),
     "issue_resolution": paired(lambda s: s.chain, table("chain"), CHAIN),
     "customer_health_score": paired(lambda s: health_score(s, False), oracle.health_score_sql("no_usage"), HEALTH),
