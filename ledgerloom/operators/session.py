@@ -48,6 +48,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread_few_splits(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan with fewer splits than cores over all cores; other scans stay as they are.
+
+    A file with one row group is decoded by one task, and everything up to the next
+    shuffle with it. Large tables have more splits than cores and are not shuffled.
+    ``keys`` identify a row, so that hashing them spreads evenly and is repeatable.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared checkpoint folder, for tables and stream state of one run."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
