@@ -226,7 +226,7 @@ def top_n_listing(s: StandIns) -> DataFrame:
         F.col("o_totalprice").desc_nulls_first(), F.col("o_orderkey")).limit(100)
 
 
-def top1_per_group(s: StandIns) -> DataFrame:
+def best_per_group(s: StandIns) -> DataFrame:
     """Largest order per customer."""
     return relational.top1(s.table("orders"), ["o_custkey"],
                            [F.col("o_totalprice").desc_nulls_first(), F.col("o_orderkey").asc_nulls_last()])
@@ -736,8 +736,8 @@ DATA_QUERIES: dict[str, Query] = {
         "o_orderpriority:s o_orderstatus:s n:i total:f2 label:s"),
     "top_n_listing": paired(top_n_listing, "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS "
                             "FIRST, o_orderkey LIMIT 100", "o_orderkey:i o_totalprice:f2"),
-    "top1_per_group": paired(
-        top1_per_group, "SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY ROW_NUMBER() OVER (PARTITION BY "
+    "best_per_group": paired(
+        best_per_group, "SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY ROW_NUMBER() OVER (PARTITION BY "
         "o_custkey ORDER BY o_totalprice DESC NULLS FIRST, o_orderkey) = 1", "o_custkey:i o_orderkey:i o_totalprice:f2"),
     "totals_over": paired(
         totals_over, "SELECT *, SUM(spent) OVER (PARTITION BY month) AS month_total, SUM(spent) OVER () AS grand_total FROM "

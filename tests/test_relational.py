@@ -49,7 +49,7 @@ def test_or_join_keeps_best_score_once(spark, rows):
         [("x", "m1", 2), ("x", "m2", 1), ("y", None, 0), (None, None, 0)], key=repr)
 
 
-def test_top1_and_distinct_over(spark, rows):
+def test_best_row_and_distinct_over(spark, rows):
     df = spark.createDataFrame([("a", 1, "p"), ("a", 3, "q"), ("a", 3, "p"), ("b", None, "p")], "k string, v int, t string")
     best = relational.top1(df, ["k"], [F.col("v").desc_nulls_first(), F.col("t").asc_nulls_last()])
     assert rows(best) == [("a", 3, "p"), ("b", None, "p")]
