@@ -9,9 +9,8 @@ similarity 0.8 share none of the 32 bands with probability (1 - 0.8^4)^32 < 5e-8
 Texts with equal sets are one class, which enters once, by its smallest doc_id. Texts that
 share a band are candidates. A bucket (the texts of one band value) is not paired all with
 all: its smallest member is compared with the others, which joins most of a group at once.
-Then only members of a bucket that are still in different components are compared, until
-no bucket has two components between which a pair is untested. So every candidate pair is
-either confirmed, refused, or within one component already.
+Then members of a bucket that are still in different components are compared, in blocks.
+So every candidate pair is confirmed, refused, or within one component already.
 
 Confirmation compares full shingle sets. For each hub the members' texts are sent to its
 task, salted, so a hub with very many members is spread; the sets are built there.
@@ -43,6 +42,8 @@ HASHES = 64
 ROWS = 4
 # A hub's members are spread over so many tasks.
 SALTS = 32
+# Members of a bucket that are compared with another at once.
+BLOCK = 64
 # Hash evaluations and bytes of words held at once.
 CELLS = 1 << 20
 CHUNK = 1 << 20
@@ -201,33 +202,76 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     wanted = pairs.select("id").unionByName(pairs.select(F.col("hub").alias("id"))).distinct()
     bodies = scratch(byte_texts(docs.where("doc_id is not null"), "doc_id").withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi"), "bodies")
     links = scratch(confirm(pairs, bodies, size, percent), "links")
-    while True:
-        found = scratch(components(links.select(F.col("hub").alias("a"), F.col("id").alias("b"))), "components")
-        pairs = scratch(_untested(shared, found, pairs), "pairs")
-        fresh = pairs.where("fresh")
-        if fresh.isEmpty():
-            break
-        links = scratch(links.unionByName(confirm(fresh.select("hub", "id"), bodies, size, percent)).distinct(), "links")
+    pair = (F.col("hub").alias("a"), F.col("id").alias("b"))
+    found = scratch(components(links.select(*pair)), "components")
+    more = scratch(_across(shared, found, bodies, size, percent), "links")
+    if not more.isEmpty():
+        found = scratch(components(links.unionByName(more).select(*pair)), "components")
     roots = first.join(found, F.col("id") == F.col("node"), "left").select(F.col("set_id").alias("_set"), F.coalesce("root", "id").alias("_root"))
     out = marked.join(roots, (F.col("set_id") == F.col("_set")) & F.col("doc_id").isNotNull(), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_root", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _untested(shared: DataFrame, found: DataFrame, tested: DataFrame) -> DataFrame:
-    """Tested pairs (fresh false) and those to test next (fresh true).
+def _across(shared: DataFrame, found: DataFrame, bodies: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between members of a bucket that the first comparison left in different components.
 
-    Buckets whose members are all in one component are done. In the others, members of
-    different components are paired unless they were before.
+    The hub was compared with all members. Of the others, those outside the component with
+    the smallest root are dealt into blocks of about ``BLOCK``; each block is held in a
+    task while all members of the bucket but the hub pass by, and is compared with each at
+    once. No pair is ever a row, and a bucket costs one row for each member and block.
     """
-    parts = shared.join(found, shared["id"] == found["node"], "left").select("band", "id", F.coalesce("root", "id").alias("root"))
+    parts = (shared.where("id <> hub").join(found, F.col("id") == F.col("node"), "left").select("band", "id", F.coalesce("root", "id").alias("root")))
     split = parts.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band", "low")
     mixed = scratch(parts.join(split, "band"), "mixed")
-    others = mixed.where("root <> low").select("band", F.col("id").alias("hub"), F.col("root").alias("hub_root"))
-    crossing = others.join(mixed.select("band", "id", "root"), "band").where("root < hub_root")
-    pairs = crossing.select(F.least("hub", "id").alias("hub"), F.greatest("hub", "id").alias("id")).distinct()
-    old = tested.select("hub", "id", F.lit(False).alias("fresh"))
-    return old.unionByName(pairs.join(old.select("hub", "id"), ["hub", "id"], "left_anti").withColumn("fresh", F.lit(True)))
+    blocks = mixed.where("root <> low").groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    held = mixed.where("root <> low").join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    passing = mixed.join(blocks, "band").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = held.select("band", "block", "id", "root", F.lit(0).alias("role")).unionByName(passing.select("band", "block", "id", "root", F.lit(1).alias("role")))
+    dealt = rows.join(bodies, "id").repartition(F.col("band"), F.col("block")).sortWithinPartitions("band", "block", "role")
+    shipped(shared.sparkSession)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held_ids, held_roots, held_sets, index = None, [], [], [], None
+        for batch in batches:
+            linked = ([], [])
+            for *key, role, i, root, text in zip(*(batch.column(c).to_pylist() for c in ("band", "block", "role", "id", "root", "text")), strict=True):
+                if key != here:
+                    here, held_ids, held_roots, held_sets, index = key, [], [], [], None
+                own = shingle_set(text, size)
+                if role == 0:
+                    held_ids.append(i)
+                    held_roots.append(root)
+                    held_sets.append(own)
+                    continue
+                if index is None:
+                    index = _index(held_sets)
+                    sizes, roots = np.array([len(x) for x in held_sets]), np.array(held_roots)
+                common = _common(own, index, len(held_sets))
+                for k in np.flatnonzero((100 * common >= percent * (len(own) + sizes - common)) & (roots != root)).tolist():
+                    linked[0].append(held_ids[k])
+                    linked[1].append(i)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in linked], ["hub", "id"])
+
+    return dealt.mapInArrow(compare, "hub long, id long").distinct()
+
+
+def _index(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles of some sets, where the owners of each begin, and the owners."""
+    values, owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(values, kind="stable")
+    distinct, begin = np.unique(values[order], return_index=True)
+    return distinct, np.append(begin, len(values)), owners[order]
+
+
+def _common(own: np.ndarray, index: tuple[np.ndarray, np.ndarray, np.ndarray], count: int) -> np.ndarray:
+    """How many shingles each indexed set has in common with one set."""
+    distinct, begin, owners = index
+    at = np.minimum(np.searchsorted(distinct, own), len(distinct) - 1)
+    at = at[distinct[at] == own]
+    runs = begin[at + 1] - begin[at]
+    places = np.arange(int(runs.sum())) + np.repeat(begin[at] - (np.cumsum(runs) - runs), runs)
+    return np.bincount(owners[places], minlength=count)
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
