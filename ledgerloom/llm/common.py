@@ -32,7 +32,7 @@ def plain_words(text: bytes) -> list[bytes]:
     return text.split()
 
 
-def shipped(spark: SparkSession) -> SparkSession:
+def shipped(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> SparkSession:
     """Send this package to the executors once a session, so that tasks import it and keep its module caches."""
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
@@ -43,17 +43,17 @@ def shipped(spark: SparkSession) -> SparkSession:
                 out.write(path, path.relative_to(package.parent))
         context.addPyFile(str(archive))
         _SHIPPED.add(context.applicationId)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
     return spark
 
 
-def mapped(df: DataFrame, rows: Callable[[], Callable[[dict], list[tuple]]], schema: str) -> DataFrame:
+def mapped(df: DataFrame, rows: Callable[[], Callable[[dict], list[tuple]]], schema: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """Apply a function of column lists to each Arrow batch.
 
     ``rows`` is called once in each task and returns the function; that gets a batch as
     a dict of lists and returns output rows. Nothing outlives a task but module caches.
     """
-    shipped(df.sparkSession)
+    shipped(df.sparkSession, batch_rows)
     names = [field.split()[0] for field in _fields(schema)]
     types = _arrow_types(schema)
 
@@ -80,7 +80,7 @@ def _fields(schema: str) -> list[str]:
 def _arrow_types(schema: str) -> list[pa.DataType]:
     known = {"long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
              "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
-             "array<string>": pa.list_(pa.string()),
+             "array<double>": pa.list_(pa.float64()), "array<string>": pa.list_(pa.string()),
              "array<struct<start:int,end:int>>": pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])),
              "array<struct<kind:string,start:int,end:int>>":
                  pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))}
