@@ -43,7 +43,7 @@ ROWS = 4
 # A hub's members are spread over so many tasks.
 SALTS = 32
 # Members of a bucket that are compared with another at once.
-BLOCK = 64
+BLOCK = 256
 # Hash evaluations and bytes of words held at once.
 CELLS = 1 << 20
 CHUNK = 1 << 20
@@ -200,7 +200,7 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     shared = scratch(buckets.join(hubs, "band"), "buckets")
     pairs = scratch(shared.where("id <> hub").select("hub", "id").distinct(), "pairs")
     wanted = pairs.select("id").unionByName(pairs.select(F.col("hub").alias("id"))).distinct()
-    bodies = scratch(byte_texts(docs.where("doc_id is not null"), "doc_id").withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi"), "bodies")
+    bodies = scratch(byte_texts(docs.where("doc_id is not null"), "doc_id").withColumnRenamed("doc_id", "id").join(wanted.hint("merge"), "id", "left_semi"), "bodies")
     links = scratch(confirm(pairs, bodies, size, percent), "links")
     pair = (F.col("hub").alias("a"), F.col("id").alias("b"))
     found = scratch(components(links.select(*pair)), "components")
