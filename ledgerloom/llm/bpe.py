@@ -17,13 +17,15 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
+import sys
 from collections.abc import Callable
+from functools import cache
 from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 
 from .common import mapped, texts
@@ -40,20 +42,29 @@ SLOT_BITS = 20
 SLOT_SHIFT = np.uint64(64 - SLOT_BITS)
 HASH = np.uint64(0x9E3779B97F4A7C15)
 EMPTY = np.uint64((1 << 64) - 1)
-# Characters of the Unicode property White_Space (fixed values); the regex module's \\s has more.
-SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-# Control characters that only the regex module takes for white space.
-SEPARATORS = re.compile(r"[\x1c-\x1f]")
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
-def compiled(pattern: str) -> regex.Pattern:
-    """The tokenizer's pattern with white space as Unicode has it."""
-    out, inside = [], False
-    for token in re.findall(r"\\p\{\w\}|\\.|.", pattern):
-        inside = token == "[" or inside and token != "]"
-        out.append((SPACES if inside else f"[{SPACES}]") if token == r"\s" else f"[^{SPACES}]" if token == r"\S" else token)
-    return regex.compile("".join(out))
+@cache
+def newer() -> regex.Pattern:
+    """Letters and numbers that the regex module knows from a later Unicode version than tiktoken does."""
+    probes = [tiktoken.Encoding("probe", pat_str=p, mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={}) for p in (r"\p{L}", r"\p{N}")]
+    known = regex.compile(r"[\p{L}\p{N}]")
+    points = [c for c in range(sys.maxunicode + 1) if known.match(chr(c)) and not any(p.encode_ordinary(chr(c)) for p in probes)]
+    ends = [(a, b) for a, b in zip([None, *points], [*points, None], strict=True) if a is None or b != a + 1]
+    return regex.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for (_, a), (b, _) in zip(ends, ends[1:], strict=False)) + "]" if points else r"(?!)")
+
+
+def finder(pattern: str) -> Callable[[str], list[str]]:
+    """The pattern's matches in a text, with the letters and numbers that tiktoken knows."""
+    compiled = regex.compile(pattern)
+
+    def find(text: str) -> list[str]:
+        if text.isascii() or not newer().search(text):
+            return compiled.findall(text)
+        return [text[m.start():m.end()] for m in compiled.finditer(newer().sub("\ufffe", text))]  # no letter, number or space
+
+    return find
 
 
 def encoder_of(path: str, pattern: str) -> Encoder:
@@ -69,7 +80,7 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.find_fast, self.find_exact = regex.compile(pattern).findall, compiled(pattern).findall
+        self.find = finder(pattern)
         self.vocabulary = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.vocabulary[rank] = token
@@ -95,8 +106,7 @@ class Encoder:
         self.cache: dict[str, tuple[int, ...]] = {}
 
     def encode_batch(self, batch: list[str]) -> list[list[int]]:
-        cache = self.cache
-        pieces = [(self.find_exact if SEPARATORS.search(text) else self.find_fast)(text) for text in batch]
+        cache, pieces = self.cache, [self.find(text) for text in batch]
         if missing := list(set(chain.from_iterable(pieces)) - cache.keys()):
             cache.update(zip(missing, self._encode_pieces([p.encode() for p in missing]), strict=True))
         out = [list(chain.from_iterable(map(cache.__getitem__, p))) for p in pieces]
@@ -197,7 +207,7 @@ class Encoder:
     def _encode_one(self, piece: bytes) -> tuple[int, ...]:
         """The same tree for one long piece."""
         size = len(piece)
-        width, none, pairs = 1 << (size - 1).bit_length(), int(NONE), self.pairs
+        width, none, pairs = 1 << (size - 1).bit_length(), 1 << 62, self.pairs
         ids: list = self.first[np.frombuffer(piece, np.uint8)].tolist()
         after, before = list(range(1, size + 1)), list(range(-1, size - 1))
         tree = [none] * (2 * width)

@@ -28,7 +28,7 @@ def features(docs: DataFrame, ids: DataFrame, of: Callable[[bytes], list], kind:
 
     A repeated doc_id gives an example for each different text.
     """
-    chosen = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "grade", "text").distinct()
+    chosen = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "grade", "text").distinct()
     rows = mapped(byte_texts(chosen, "doc_id", "grade"), lambda: lambda b: [(g, of(t)) for g, t in zip(b["grade"], b["text"], strict=True)],
                   f"grade int, features {kind}")
     return sorted((r["grade"], list(r["features"])) for r in rows.collect())
