@@ -205,14 +205,23 @@ def read_version(spark: SparkSession, path: str) -> DataFrame | None:
     return None if version is None else spark.read.parquet(version)
 
 
-def commit_version(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> DataFrame:
+def merge_add(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the source's other columns to those of the target's row with the same keys; new keys become rows."""
+    totals = [c for c in target.columns if c not in keys]
+    summed = target.unionByName(source).groupBy(*keys).agg(*(F.sum(c).alias(c) for c in totals))
+    return summed.select(*(F.col(f.name).cast(f.dataType) for f in target.schema))
+
+
+def commit_version(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, tag: str = "") -> DataFrame:
     """Write a new version folder; it becomes current when its completion marker appears.
 
+    A ``tag`` ends the folder's name, so that a version tells what it was made from.
+
     The folder being read is never overwritten, and a failed job leaves the old version
     current.
     """
     spark = df.sparkSession
-    version = f"v={dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    version = f"v={dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}{tag}"
     folder = f"{path.rstrip('/')}/{version}"
     writer = df.write.mode("errorifexists")
     if partition_by:

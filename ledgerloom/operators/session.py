@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,10 +28,16 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is named."""
+    """The cluster's shared checkpoint folder; a temporary one only where none is named and the session is local.
+
+    On a cluster without a named folder this raises: executors would write to their own
+    disks, and reads would miss what others wrote.
+    """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
+    if named is None and current is None and not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if current is None:
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="ledgerloom-checkpoint-"))
     return named or context.getCheckpointDir()
@@ -48,17 +55,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread_few_splits(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan with fewer splits than cores over all cores; other scans stay as they are.
-
-    A file with one row group is decoded by one task, and everything up to the next
-    shuffle with it. Large tables have more splits than cores and are not shuffled.
-    ``keys`` identify a row, so that hashing them spreads evenly and is repeatable.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared checkpoint folder, for tables and stream state of one run."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

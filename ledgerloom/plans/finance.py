@@ -48,10 +48,11 @@ def contract_months(opportunities: DataFrame, idmap: DataFrame,
 def expand_months(contracts: DataFrame, thresholds: Thresholds = THRESHOLDS) -> DataFrame:
     """One row per contract month, end included, with a twelfth of the yearly value.
 
-    The generator of the model is defined over at most ``contract_months_cap`` months,
-    which is part of its meaning.
+    ``contract_months_cap`` bounds the months of a contract; without it all count.
     """
-    last = F.least(month_diff("start_month", "end_month"), F.lit(thresholds.contract_months_cap - 1))
+    last = month_diff("start_month", "end_month")
+    if thresholds.contract_months_cap is not None:
+        last = F.least(last, F.lit(thresholds.contract_months_cap - 1))
     offsets = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0))))
     monthly = money(money("arr_booked_gbp") / F.lit(12)).alias("expected_monthly_booked_gbp")
     rows = contracts.select(CUSTOMER, "opportunity_id", "start_month", monthly, F.explode(offsets).alias("__n"))

@@ -17,7 +17,6 @@ LAYOUT = r"clients/([^/]+)/([^/]+)/([^/]+)/run_date=(\d{4}-\d{2}-\d{2})/([^/]*)$
 LAYOUT_FIELDS = ["client", "source", "table", "run_date", "file"]
 
 # Up to this many files, tables with one row per file split are small enough to broadcast.
-BROADCAST_FILES = 50_000
 
 
 def raw_path(tenant: str, source: str, table: str, run_date: str | None = None, file: str | None = None,
@@ -63,11 +62,6 @@ def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(F.col("source").isNotNull()), df.filter(F.col("source").isNull())
 
 
-def _per_file(df: DataFrame, n_files: int) -> DataFrame:
-    """A frame with a few rows per file: broadcast only when the file count proves it small."""
-    return F.broadcast(df) if n_files <= BROADCAST_FILES else df
-
-
 def read_lines(spark: SparkSession, path: str, pattern: str | None = "*.jsonl.gz",
                recursive: bool = True) -> DataFrame:
     """Text lines with file and line number.
@@ -81,7 +75,6 @@ def read_lines(spark: SparkSession, path: str, pattern: str | None = "*.jsonl.gz
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     text = reader.text(path)
-    n_files = len(text.inputFiles())
     lines = text.select("value", F.col("_metadata.file_path").alias("file"),
                         F.col("_metadata.file_block_start").alias("__block"),
                         F.monotonically_increasing_id().alias("__seq"))
@@ -89,8 +82,7 @@ def read_lines(spark: SparkSession, path: str, pattern: str | None = "*.jsonl.gz
         F.min("__seq").alias("__first"), F.count(F.lit(1)).alias("__n"))
     earlier = Window.partitionBy("__file").orderBy("__split").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.withColumn("__offset", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
-    numbered = lines.join(_per_file(offsets, n_files),
-                          (F.col("file") == F.col("__file")) & (F.col("__block") == F.col("__split")))
+    numbered = lines.join(offsets, (F.col("file") == F.col("__file")) & (F.col("__block") == F.col("__split")))
     number = F.col("__seq") - F.col("__first") + F.col("__offset") + 1
     return numbered.select("value", "file", number.alias("line_number"))
 

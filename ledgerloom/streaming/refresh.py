@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.incremental import commit_version, read_version
+from ..operators.incremental import commit_version, current_version
+from ..operators.session import cut_lineage
+from ..sources.tables import path_exists
 
 
 def _triggered(writer, lag: str | None):
@@ -21,30 +24,42 @@ def maintain(stream: DataFrame, path: str, checkpoint: str, merge: Callable[[Dat
     """Keep the table at ``path`` up to date with a stream, at most ``lag`` behind.
 
     Each micro-batch is prepared (for example aggregated) and merged into the current
-    version. With ``output_mode='update'`` a stateful stream hands over changed rows only. Merges must be repeatable for one batch, as a batch may be retried: upserts
-    and window replacement are. Without ``lag`` the available input is processed once.
+    version. With ``output_mode='update'`` a stateful stream hands over changed rows only.
+    A version's name holds the stream and batch it includes; a batch that is retried after
+    its commit is skipped, so merges may add (``merge_add``). Without ``lag`` the
+    available input is processed once.
     """
+    stream_tag = f"-s{zlib.crc32(checkpoint.encode()):08x}b"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        newest = current_version(spark, path)
+        if newest and stream_tag in newest and int(newest.rsplit(stream_tag, 1)[1]) >= batch_id:
+            return
         rows = prepare(batch)
-        current = read_version(batch.sparkSession, path)
-        commit_version(rows if current is None else merge(current, rows), path)
+        commit_version(rows if newest is None else merge(spark.read.parquet(newest), rows), path, tag=f"{stream_tag}{batch_id}")
 
     writer = stream.writeStream.outputMode(output_mode).foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _triggered(writer, lag).start()
 
 
-def replace_days(stream: DataFrame, path: str, checkpoint: str, event_time: str, day: str = "event_day",
+def replace_days(stream: DataFrame, path: str, checkpoint: str, event_time: str, keys: Sequence[str], day: str = "event_day",
                  lag: str | None = None) -> StreamingQuery:
-    """Event-time window replacement: the days of a micro-batch replace those days in the table.
+    """Event-time window replacement: the days of a micro-batch are rebuilt from all of their rows.
 
-    The table is partitioned by day and the writer overwrites only the partitions it
-    writes, so nothing else is read or rewritten. Feed whole days per batch.
+    The table is partitioned by day. What it has of the batch's days is read, rows whose
+    ``keys`` come again are replaced, the others stay; then only these days are
+    overwritten, spread over tasks by size. A day may come in any number of batches, and a
+    retried batch changes nothing. Rows with equal keys within a batch count once.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn(day, F.col(event_time).cast("date"))
-        (rows.repartition(day, F.pmod(F.xxhash64(*batch.columns), F.lit(8))).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path))
+        spark = batch.sparkSession
+        rows = batch.withColumn(day, F.to_date(event_time)).dropDuplicates(list(keys))
+        rows = cut_lineage(rows)
+        if path_exists(spark, path):
+            stored = spark.read.schema(rows.schema).parquet(path).join(rows.select(day).distinct(), day, "left_semi")
+            rows = cut_lineage(rows.unionByName(stored.join(rows.select(*keys), list(keys), "left_anti")))
+        (rows.hint("rebalance", F.col(day)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path))
 
     return _triggered(stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint), lag).start()

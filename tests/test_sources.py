@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.operators import quality
+from ledgerloom.operators import incremental, quality
 from ledgerloom.operators.session import cut_lineage, ensure_checkpoint_dir
 from ledgerloom.schemas import RAW_SCHEMA, SOURCE_GROUPS, STAGING, staged_schema, tables_of
 from ledgerloom.sources import catalog, landing, staging, tables
@@ -222,14 +222,33 @@ def test_stream_totals_equal_batch_totals(spark, tmp_path, rows):
     assert rows(totals.totals_of(spark.table("parts"))) == rows(batch)
 
 
-def test_replace_days_rewrites_only_the_days_of_a_batch(spark, tmp_path, rows):
+def test_replace_days_keeps_earlier_rows_of_a_day(spark, tmp_path, rows):
     path = str(tmp_path / "days")
-    for n, values in enumerate([[(1, "2024-01-01"), (2, "2024-01-02")], [(9, "2024-01-02")]]):
+    batches = [[(1, "2024-01-01", "a"), (2, "2024-01-02", "a")], [(9, "2024-01-02", "b")], [(2, "2024-01-02", "c")], [(9, "2024-01-02", "b")]]
+    for n, values in enumerate(batches):
         source = str(tmp_path / f"in{n}")
-        spark.createDataFrame(values, "id int, at string").selectExpr("id", "cast(at as timestamp_ntz) as at").write.parquet(source)
-        stream = spark.readStream.schema("id int, at timestamp_ntz").parquet(source)
-        refresh.replace_days(stream, path, str(tmp_path / f"state{n}"), "at").awaitTermination()
-    assert rows(spark.read.parquet(path), "id") == [(1,), (9,)]
+        spark.createDataFrame(values, "id int, at string, v string").selectExpr("id", "cast(at as timestamp_ntz) as at", "v").write.parquet(source)
+        stream = spark.readStream.schema("id int, at timestamp_ntz, v string").parquet(source)
+        refresh.replace_days(stream, path, str(tmp_path / f"state{n}"), "at", ["id"]).awaitTermination()
+    assert rows(spark.read.parquet(path), "id", "v") == [(1, "a"), (2, "c"), (9, "b")]
+
+
+def test_maintain_adds_batches_and_skips_a_replayed_one(spark, tmp_path, rows):
+    source, path, state = str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "state")
+    total = lambda df: df.groupBy("k").agg(F.sum("n").alias("n"))
+
+    def run():
+        stream = spark.readStream.schema("k string, n long").option("maxFilesPerTrigger", 1).parquet(source)
+        refresh.maintain(stream, path, state, lambda current, batch: incremental.merge_add(current, batch, ["k"]), total).awaitTermination()
+        return rows(incremental.read_version(spark, path))
+
+    for values in ([("a", 2), ("b", 1)], [("a", 1)], [("a", 4), ("c", 1)]):
+        spark.createDataFrame(values, "k string, n long").coalesce(1).write.mode("append").parquet(source)
+    assert run() == [("a", 7), ("b", 1), ("c", 1)]
+    last = max(int(p.name) for p in (tmp_path / "state" / "commits").iterdir() if p.name.isdigit())
+    for name in (str(last), f".{last}.crc"):  # as if the run had ended after the table's commit and before the stream's
+        (tmp_path / "state" / "commits" / name).unlink(missing_ok=True)
+    assert run() == [("a", 7), ("b", 1), ("c", 1)]
 
 
 def test_quality_gate(spark):
