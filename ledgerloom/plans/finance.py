@@ -48,7 +48,7 @@ def contract_months(opportunities: DataFrame, idmap: DataFrame,
 def expand_months(contracts: DataFrame, thresholds: Thresholds = THRESHOLDS) -> DataFrame:
     """One row per contract month, end included, with a twelfth of the yearly value.
 
-    ``contract_months_cap`` bounds the months of a contract; without it all count.
+    The model counts ``contract_months_cap`` months of a contract at most; with None all count.
     """
     last = month_diff("start_month", "end_month")
     if thresholds.contract_months_cap is not None:

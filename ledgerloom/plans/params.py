@@ -25,7 +25,7 @@ class Thresholds:
     late_after_days: int = 14
     open_invoice_days: int = 30
     paid_window_days: int = 90
-    contract_months_cap: int | None = None
+    contract_months_cap: int | None = 240
     default_contract_months: int = 12
     projection_months: int = 36
     estimated_cac_gbp: int = 1000
