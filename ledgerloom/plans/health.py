@@ -68,17 +68,31 @@ def _invoice_conditions(as_of: str | dt.date, thresholds: Thresholds) -> dict[st
 
 def payment_behaviour(invoices: DataFrame, idmap: DataFrame, as_of: str | dt.date,
                       thresholds: Thresholds = THRESHOLDS) -> DataFrame:
-    """Open, overdue and late-paid invoices per customer, in one aggregation."""
+    """Open, overdue and late-paid invoices per customer.
+
+    Rows are reduced to invoices first, so that counting them once needs no distinct count.
+    """
     is_ = _invoice_conditions(as_of, thresholds)
     due = money("amount_due_gbp")
-    return _owned_invoices(invoices, idmap).groupBy(CUSTOMER).agg(
-        count_distinct_where(is_["open"], "invoice_id").alias("open_invoices_count"),
-        sum_where(is_["open"], due).alias("open_invoices_amount_gbp"),
-        count_distinct_where(is_["overdue"], "invoice_id").alias("open_invoices_30d_plus_count"),
-        sum_where(is_["overdue"], due).alias("open_invoices_30d_plus_amount_gbp"),
-        F.max(F.when(is_["open"], is_["age"])).alias("max_open_invoice_age_days"),
-        mean_of(F.when(is_["paid"], is_["to_pay"])).alias("avg_days_to_pay_90d"),
-        count_distinct_where(is_["late"], "invoice_id").alias("late_paid_invoices_90d"))
+    to_pay = F.when(is_["paid"], is_["to_pay"])
+    per_invoice = _owned_invoices(invoices, idmap).groupBy(CUSTOMER, "invoice_id").agg(
+        *[F.bool_or(is_[name]).alias(name) for name in ("open", "overdue", "late")],
+        sum_where(is_["open"], due).alias("open_due"), sum_where(is_["overdue"], due).alias("overdue_due"),
+        F.max(F.when(is_["open"], is_["age"])).alias("age"), F.sum(to_pay).alias("pay_days"),
+        F.count(to_pay).alias("paid_rows"))
+    return per_invoice.groupBy(CUSTOMER).agg(
+        _count_known("open", "invoice_id").alias("open_invoices_count"),
+        F.sum("open_due").alias("open_invoices_amount_gbp"),
+        _count_known("overdue", "invoice_id").alias("open_invoices_30d_plus_count"),
+        F.sum("overdue_due").alias("open_invoices_30d_plus_amount_gbp"),
+        F.max("age").alias("max_open_invoice_age_days"),
+        ratio(F.sum("pay_days"), F.sum("paid_rows")).alias("avg_days_to_pay_90d"),
+        _count_known("late", "invoice_id").alias("late_paid_invoices_90d"))
+
+
+def _count_known(condition: str, key: str) -> Column:
+    """Rows with the condition whose key is not null."""
+    return F.count_if(F.col(condition) & F.col(key).isNotNull())
 
 
 def support_trend(chain: DataFrame, as_of: str | dt.date) -> DataFrame:
@@ -95,19 +109,26 @@ def support_trend(chain: DataFrame, as_of: str | dt.date) -> DataFrame:
     last = created >= days_ago(30)
     previous = (created >= days_ago(60)) & (created < days_ago(30))
     high = F.col("ticket_severity").isin("Critical", "High") & last
-    return chain.groupBy(CUSTOMER).agg(
-        count_distinct_where(last, "zendesk_ticket_id").alias("tickets_last_30d"),
-        count_distinct_where(previous, "zendesk_ticket_id").alias("tickets_prev_30d"),
-        count_distinct_where(high, "zendesk_ticket_id").alias("high_severity_tickets_30d"),
-        mean_of(F.when(last, F.col("resolution_time_days"))).alias("avg_resolution_days_30d"),
-        sum_where(last, "total_cost_gbp").alias("total_support_cost_30d"))
+    resolution = F.when(last, F.col("resolution_time_days"))
+    per_ticket = chain.groupBy(CUSTOMER, "zendesk_ticket_id").agg(
+        F.bool_or(last).alias("last"), F.bool_or(previous).alias("previous"), F.bool_or(high).alias("high"),
+        F.sum(resolution).alias("days"), F.count(resolution).alias("resolved"),
+        sum_where(last, "total_cost_gbp").alias("cost"))
+    return per_ticket.groupBy(CUSTOMER).agg(
+        _count_known("last", "zendesk_ticket_id").alias("tickets_last_30d"),
+        _count_known("previous", "zendesk_ticket_id").alias("tickets_prev_30d"),
+        _count_known("high", "zendesk_ticket_id").alias("high_severity_tickets_30d"),
+        ratio(F.sum("days"), F.sum("resolved")).alias("avg_resolution_days_30d"),
+        F.sum("cost").alias("total_support_cost_30d"))
 
 
 def usage_trend(events: DataFrame, as_of: str | dt.date, users: DataFrame | None = None) -> DataFrame:
     """Events of the last and previous 30 days and active days.
 
     Without a user map the customer stays unknown (one row per user), as in the
-    model; with ``users`` the metrics are per customer.
+    model; with ``users`` the metrics are per customer of that map, zero without recent
+    events. Only the last 60 days of events are read for the counts; the days are
+    reduced to user-days before the map is joined.
     """
     today = as_date(as_of)
 
@@ -115,15 +136,24 @@ def usage_trend(events: DataFrame, as_of: str | dt.date, users: DataFrame | None
         return F.lit(today - dt.timedelta(days=n)).cast("timestamp_ntz")
 
     at = F.col("timestamp")
-    metrics = [
-        count_distinct_where(at >= since(30), "event_id").alias("events_last_30d"),
-        count_distinct_where((at >= since(60)) & (at < since(30)), "event_id").alias("events_prev_30d"),
-        count_distinct_where(at >= since(30), at.cast("date")).alias("active_days_30d")]
+    recent = events.filter(at >= since(60)).select("distinct_id", "event_id", "timestamp")
+    days = recent.filter(at >= since(30)).select("distinct_id", at.cast("date").alias("day")).distinct()
     if users is None:
-        per_user = events.groupBy(F.col("distinct_id").alias("user_identifier")).agg(*metrics)
-        return per_user.withColumn(CUSTOMER, F.lit(None).cast("string"))
-    owners = users.select(F.col("user_identifier").alias("__user"), CUSTOMER)
-    return attribute(events, owners, "distinct_id", "__user").groupBy(CUSTOMER).agg(*metrics)
+        key, everyone = "distinct_id", events.select("distinct_id").distinct()
+    else:
+        owners = users.select(F.col("user_identifier").alias("__user"), CUSTOMER)
+        recent, days = (attribute(rows, owners, "distinct_id", "__user") for rows in (recent, days))
+        key, everyone = CUSTOMER, users.select(CUSTOMER).distinct()
+    per_event = recent.filter(F.col("event_id").isNotNull()).groupBy(key, "event_id").agg(
+        F.bool_or(at >= since(30)).alias("last"), F.bool_or(at < since(30)).alias("previous"))
+    measures = {"events_last_30d": F.count_if("last"), "events_prev_30d": F.count_if("previous")}
+    counts = per_event.groupBy(key).agg(*[value.alias(name) for name, value in measures.items()])
+    active = days.groupBy(key, "day").agg(F.lit(1)).groupBy(key).agg(F.count(F.lit(1)).alias("active_days_30d"))
+    rows = (everyone.unionByName(counts, allowMissingColumns=True).unionByName(active, allowMissingColumns=True)
+            .groupBy(key).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*measures, "active_days_30d")]))
+    if users is None:
+        return rows.withColumnRenamed(key, "user_identifier").withColumn(CUSTOMER, F.lit(None).cast("string"))
+    return rows
 
 
 def revenue_score(change: Column) -> Column:
@@ -293,11 +323,11 @@ def usage_baseline(usage: DataFrame, as_of: str | dt.date) -> DataFrame:
 
 
 def support_hours(cost: DataFrame, as_of: str | dt.date) -> DataFrame:
-    """Support hours of the last and previous 30 days."""
+    """Support hours of the last and previous 30 days; customers without any in them have no row."""
     today, day = date_lit(as_of), F.col("activity_date")
-    recent = day >= F.date_sub(today, 30)
-    previous = (day >= F.date_sub(today, 60)) & (day < F.date_sub(today, 30))
-    return cost.filter((F.col("work_type") == "SUPPORT") & day.isNotNull()).groupBy(CUSTOMER).agg(
+    recent, previous = day >= F.date_sub(today, 30), day < F.date_sub(today, 30)
+    window = cost.filter((F.col("work_type") == "SUPPORT") & (day >= F.date_sub(today, 60)))
+    return window.groupBy(CUSTOMER).agg(
         sum_where(recent, "hours").alias("support_hours_30d"),
         sum_where(previous, "hours").alias("support_hours_prev_30d"))
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.aggregates import count_distinct_where
 from ..functions.dates import as_date, trailing_days
 from ..functions.keys import surrogate_key
 from ..functions.scalars import contains_any_ci, flag, ratio, zero_if_null
@@ -40,15 +39,19 @@ def mapped_events(events: DataFrame, users: DataFrame, start: str | dt.date) ->
 def daily_totals(mapped: DataFrame, thresholds: Thresholds = THRESHOLDS) -> DataFrame:
     """Distinct events, event types, key actions and users per customer and day.
 
-    The distinct values are spread over tasks by (customer, day, value) before they
-    are counted, so a busy customer-day does not land in one task.
+    Rows are reduced to events, and to pairs of user and event type, before anything is
+    counted: a busy customer-day is spread over tasks by these values, and the distinct
+    counts that are left read only the pairs.
     """
     key_action = contains_any_ci("event_name", list(thresholds.key_action_words))
-    return mapped.groupBy(CUSTOMER, DAY).agg(
-        F.count_distinct("event_id").alias("daily_events"),
+    events = mapped.groupBy(CUSTOMER, DAY, "event_id").agg(F.bool_or(key_action).alias("is_key")).groupBy(CUSTOMER, DAY).agg(
+        F.count("event_id").alias("daily_events"),
+        F.count_if(F.col("is_key") & F.col("event_id").isNotNull()).alias("daily_key_actions"))
+    pairs = mapped.select(CUSTOMER, DAY, "event_name", "user_identifier").distinct().groupBy(CUSTOMER, DAY).agg(
         F.count_distinct("event_name").alias("daily_unique_event_types"),
-        count_distinct_where(key_action, "event_id").alias("daily_key_actions"),
         F.count_distinct("user_identifier").alias("daily_active_users"))
+    both = events.unionByName(pairs, allowMissingColumns=True)
+    return both.groupBy(CUSTOMER, DAY).agg(*[zero_if_null(F.sum(c)).alias(c) for c in TOTALS])
 
 
 def active_user_days(events: DataFrame, users: DataFrame, start: str | dt.date) -> DataFrame:

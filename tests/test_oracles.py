@@ -76,5 +76,12 @@ def test_plans_have_no_cross_products_or_single_task_windows(spark, name):
     assert "Exchange SinglePartition" not in plan or name in allowed
 
 
+# Customers' counts come from rows reduced to invoices, tickets and events: no row is multiplied for distinct counts.
+@pytest.mark.parametrize("name", ["customer_health_score", "customer_health_score_mapped"])
+def test_health_plans_multiply_no_rows(spark, name):
+    df = entry.queries()[name](spark, SF_DIR)
+    assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
