@@ -162,8 +162,8 @@ MODEL_QUERIES: dict[str, Query] = {
     "user_customer_map": paired(lambda s: identity.user_customer_map(s.product_events, s.idmap), table("users"),
                                 USERS),
     "or_join_candidates": paired(
-        company_or_account, "SELECT user_identifier, company_id, master_customer_id, score AS mapping_score FROM "
-        "candidates", "user_identifier:s company_id:s master_customer_id:s mapping_score:i"),
+        company_or_account, "SELECT user_identifier, company_id, master_customer_id, COALESCE(score, 0) AS mapping_score "
+        "FROM sightings", "user_identifier:s company_id:s master_customer_id:s mapping_score:i"),
     "unified_revenue": paired(lambda s: s.revenue, table("revenue"), REVENUE),
     "unified_cost": paired(lambda s: s.cost, table("cost"), COST),
     "mrr_snapshot": paired(lambda s: s.snapshots, table("snapshots"), SNAPSHOT),
