@@ -38,13 +38,19 @@ def bool_or(value) -> Column:
     return F.bool_or(_col(value))
 
 
-def list_agg(value, delimiter: str = ",", descending: bool = False, limit: int | None = None) -> Column:
-    """Delimited text of the values in value order.
+def list_agg(value, delimiter: str = ",", descending: bool = False, limit: int | None = None,
+             order_by=None) -> Column:
+    """Delimited text of the values in value order, or in the order of another column (ties by value).
 
     The text of one group is built in one task by definition, so use it where the
     group's values are known to be few.
     """
-    items = F.sort_array(F.collect_list(_col(value).cast("string")), asc=not descending)
+    text = _col(value).cast("string")
+    if order_by is None:
+        items = F.sort_array(F.collect_list(text), asc=not descending)
+    else:
+        pairs = F.collect_list(F.when(text.isNotNull(), F.struct(_col(order_by).alias("key"), text.alias("text"))))
+        items = F.transform(F.sort_array(pairs, asc=not descending), lambda pair: pair["text"])
     if limit is not None:
         items = F.slice(items, 1, limit)
     # An empty group gives null, as LISTAGG does over no rows with a value.

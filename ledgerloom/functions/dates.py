@@ -78,11 +78,25 @@ def week_diff(start: str | Column, end: str | Column) -> Column:
     return (day_diff(trunc_date("week", start), trunc_date("week", end)) / 7).cast("int")
 
 
+# Seconds of the parts below a day.
+_CLOCK = {"hour": 3600, "minute": 60, "second": 1}
+
+
+def _seconds(column: str | Column) -> Column:
+    """Whole seconds since 1970 by the clock of the value, whatever the session's time zone."""
+    at = _col(column).cast("timestamp_ntz")
+    days = F.datediff(at.cast("date"), F.lit(dt.date(1970, 1, 1))).cast("bigint")
+    return days * 86400 + F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
+
+
 _DIFF = {"day": day_diff, "week": week_diff, "month": month_diff, "quarter": quarter_diff, "year": year_diff}
 
 
 def date_diff(part: str, start: str | Column, end: str | Column) -> Column:
-    """Boundary-counting difference for day, week, month, quarter or year."""
+    """Boundary-counting difference for second, minute, hour, day, week, month, quarter or year."""
+    if part in _CLOCK:
+        unit = F.lit(_CLOCK[part])
+        return F.floor(_seconds(end) / unit) - F.floor(_seconds(start) / unit)
     return _DIFF[part](start, end)
 
 
@@ -91,7 +105,10 @@ def add_days(column: str | Column, days: int | Column) -> Column:
 
 
 def date_add_part(part: str, amount: int | Column, column: str | Column) -> Column:
-    """Add ``amount`` of ``part``; month steps clamp to the last day of the month."""
+    """Add ``amount`` of ``part``; month steps clamp to the last day of the month, parts below a day give a timestamp."""
+    if part in _CLOCK:
+        steps = amount if isinstance(amount, Column) else F.lit(amount)
+        return _col(column).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), steps * _CLOCK[part])
     if part == "day":
         return add_days(column, amount)
     if part == "week":

@@ -62,19 +62,21 @@ def unmatched(df: DataFrame, other: DataFrame, key: str, other_key: str) -> Data
 
 
 def or_join(left: DataFrame, right: DataFrame, left_key: str, right_keys: Sequence[tuple[str, int]],
-            right_id: str, score: str = "match_score") -> DataFrame:
+            right_id: str, score: str = "match_score", spread_by: str | None = None) -> DataFrame:
     """Left join where ``left_key`` may equal any of several right columns.
 
     A disjunctive condition plans a nested-loop join. The right side is exploded to
     (key, id, score) instead, keeping the best score per (key, id) pair, and joined
-    by equality. ``right_keys`` lists (column, score); the best score wins.
+    by equality. ``right_keys`` lists (column, score); the best score wins. ``spread_by``
+    is as in :func:`lookup`.
     """
     pairs = F.explode(F.array(*[
         F.struct(F.col(c).cast("string").alias("__key"), F.lit(s).alias(score)) for c, s in right_keys]))
     exploded = (right.select(F.col(right_id), pairs.alias("p"))
                 .select(right_id, "p.*").filter(F.col("__key").isNotNull())
                 .groupBy("__key", right_id).agg(F.max(score).alias(score)))
-    joined = left.join(exploded, F.col(left_key) == F.col("__key"), "left").drop("__key")
+    on = spread_nulls(left_key, spread_by) if spread_by else F.col(left_key)
+    joined = left.join(exploded, on == F.col("__key"), "left").drop("__key")
     return joined.withColumn(score, F.coalesce(score, F.lit(0)))
 
 

@@ -170,7 +170,7 @@ def user_company_activity(events: DataFrame) -> DataFrame:
 def match_candidates(activity: DataFrame, idmap: DataFrame) -> DataFrame:
     """Customers a (user, company) may belong to, with method, confidence and score."""
     matched = or_join(activity, idmap, "company_id", [("mixpanel_company_id", 2), ("account_id", 1)],
-                      "master_customer_id", "mapping_score")
+                      "master_customer_id", "mapping_score", "user_identifier")
     method, confidence = F.lit("UNMAPPED"), F.lit("NONE")
     for score in (1, 2):
         hit = F.col("mapping_score") == score

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -192,9 +193,12 @@ def sinks(s: StandIns) -> DataFrame:
     return s.spark.read.parquet(f"{root}/segment")
 
 
+AUDITED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+           "pages", "benchmark", "labels", "conversations")
+
+
 def audit(s: StandIns) -> DataFrame:
-    return landing.audit_counts({t: s.table(t) for t in (
-        "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")})
+    return landing.audit_counts({t: s.table(t) for t in AUDITED})
 
 
 def fresh(s: StandIns) -> DataFrame:
@@ -311,6 +315,9 @@ def functions_date(s: StandIns) -> DataFrame:
         cols[f"trunc_{part}"] = dates.trunc_date(part, day)
         if part != "day":
             cols[f"last_{part}"] = dates.last_day_of(part, day)
+    for part in _clock_parts:
+        cols[f"diff_{part}"] = dates.date_diff(part, "o_orderdate", F.lit(dt.datetime(2024, 2, 20, 1, 30, 15)))
+        cols[f"add_{part}"] = dates.date_add_part(part, 100, "o_orderdate")
     return s.table("orders").select(*[c.alias(n) for n, c in cols.items()])
 
 
@@ -345,6 +352,7 @@ def functions_agg(s: StandIns) -> DataFrame:
     return per_nation.groupBy("n_regionkey").agg(
         aggregates.list_agg("n_name").alias("names"),
         aggregates.list_agg("n_name", "|", descending=True, limit=3).alias("last_names"),
+        aggregates.list_agg("n_name", order_by=F.length("n_name")).alias("by_length"),
         aggregates.any_value(F.col("n_regionkey") * 2).alias("twice"),
         aggregates.bool_or("any_debit").alias("any_debit"), F.sum(F.round("weighted", 6)).alias("weighted"),
         F.sum(F.round("mean", 6)).alias("mean"), F.sum("debit").alias("debit"),
@@ -352,9 +360,11 @@ def functions_agg(s: StandIns) -> DataFrame:
 
 
 def series_and_spines(s: StandIns) -> DataFrame:
-    """Daily order counts on a dense spine between two dates of the orders, end excluded."""
-    spine = dates.date_spine(s.spark, "day", "1995-01-01", "2001-09-01")
-    months = dates.date_spine(s.spark, "month", "1995-01-01", "2001-09-01")
+    """Daily order counts on a dense spine from the first to the last day of the orders."""
+    day = F.col("o_orderdate").cast("date")
+    first, last = s.table("orders").agg(F.min(day), F.max(day)).first()
+    spine = dates.date_spine(s.spark, "day", first, last + dt.timedelta(days=1))
+    months = dates.date_spine(s.spark, "month", first.replace(day=1), dates.add_months_py(last.replace(day=1), 1))
     daily = s.table("orders").groupBy(F.col("o_orderdate").cast("date").alias("date_day")).agg(
         F.count(F.lit(1)).alias("n"))
     dense = spine.join(daily, "date_day", "left").select(
@@ -668,6 +678,7 @@ NOT_BROKEN = ("event_type NOT IN (SELECT event_type FROM events WHERE event_type
 NUMBERED = ("(SELECT *, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY event_id) AS rn, (event_type = 'error' AND "
             "value > 100) AS bad FROM events)")
 _date_parts = ("day", "week", "month", "quarter", "year")
+_clock_parts = ("hour", "minute", "second")
 
 
 def _functions_date_sql() -> str:
@@ -685,11 +696,15 @@ def _functions_date_sql() -> str:
         if p != "day":
             step = {"week": "7 DAY", "month": "1 MONTH", "quarter": "3 MONTH", "year": "1 YEAR"}[p]
             cols.append(f"CAST(DATE_TRUNC('{p}', {d}) + INTERVAL {step} - INTERVAL 1 DAY AS DATE) AS last_{p}")
+    for p in _clock_parts:
+        cols += [f"DATE_DIFF('{p}', CAST(o_orderdate AS TIMESTAMP), TIMESTAMP '2024-02-20 01:30:15') AS diff_{p}",
+                 f"CAST(o_orderdate AS TIMESTAMP) + INTERVAL 100 {p} AS add_{p}"]
     return f"SELECT {', '.join(cols)} FROM orders"
 
 
 _DATE_SPEC = "o_orderkey:i made:d plus_days:d no_date:d " + " ".join(
     f"diff_{p}:i add_{p}:d trunc_{p}:d" + ("" if p == "day" else f" last_{p}:d") for p in _date_parts)
+_DATE_SPEC += "".join(f" diff_{p}:i add_{p}:t" for p in _clock_parts)
 
 DATA_QUERIES: dict[str, Query] = {
     **{f"stg_{t}": stage_query(t) for t in STAGING},
@@ -728,8 +743,7 @@ DATA_QUERIES: dict[str, Query] = {
     "sinks": paired(sinks, "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_orderpriority = '1-URGENT'",
                     "o_orderkey:i o_custkey:i o_orderpriority:s"),
     "audit_counts": paired(
-        audit, " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in (
-            "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")),
+        audit, " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in AUDITED),
         "table_name:s row_count:i"),
     "freshness": paired(
         fresh, f"SELECT MAX(ts) AS max_loaded_at, CAST({oracle.AS_OF} AS TIMESTAMP) AS snapshotted_at, CAST(FLOOR(EPOCH("
@@ -792,18 +806,19 @@ DATA_QUERIES: dict[str, Query] = {
         "nation", "n_nationkey:i joined:s n:i"),
     "functions_agg": paired(
         functions_agg, "SELECT n_regionkey, STRING_AGG(n_name, ',' ORDER BY n_name) AS names, "
-        "ARRAY_TO_STRING((LIST(n_name ORDER BY n_name DESC))[1:3], '|') AS last_names, n_regionkey * 2 AS twice, "
+        "ARRAY_TO_STRING((LIST(n_name ORDER BY n_name DESC))[1:3], '|') AS last_names, "
+        "STRING_AGG(n_name, ',' ORDER BY LENGTH(n_name), n_name) AS by_length, n_regionkey * 2 AS twice, "
         "BOOL_OR(any_debit) AS any_debit, SUM(ROUND(weighted, 6)) AS weighted, SUM(ROUND(mean, 6)) AS mean, SUM(debit) AS "
         "debit, SUM(segs) AS debit_segments FROM (SELECT n_name, n_regionkey, BOOL_OR(c_acctbal < 0) AS any_debit, "
         "CAST(SUM(LENGTH(c_mktsegment) * CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / SUM(LENGTH(c_mktsegment)) AS "
         "weighted, CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS mean, SUM(CASE WHEN c_acctbal < 0 "
         "THEN CAST(c_acctbal AS DECIMAL(18,2)) ELSE 0 END) AS debit, COUNT(DISTINCT CASE WHEN c_acctbal < 0 THEN "
         "c_mktsegment END) AS segs FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2) GROUP BY 1",
-        "n_regionkey:i names:s last_names:s twice:i any_debit:b weighted:f4 mean:f4 debit:f2 debit_segments:i"),
+        "n_regionkey:i names:s last_names:s by_length:s twice:i any_debit:b weighted:f4 mean:f4 debit:f2 debit_segments:i"),
     "series_and_spines": paired(
         series_and_spines, "SELECT CAST(DATE_TRUNC('month', d) AS DATE) AS date_month, SUM(COALESCE(n, 0)) AS orders, "
-        "COUNT(*) AS days, 12 AS largest FROM (SELECT CAST(UNNEST(RANGE(DATE '1995-01-01', DATE '2001-09-01', INTERVAL 1 "
-        "DAY)) AS DATE) AS d) LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS n FROM orders GROUP BY 1) ON d "
+        "COUNT(*) AS days, 12 AS largest FROM (SELECT CAST(UNNEST(RANGE(a, z + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS "
+        "DATE) AS d FROM (SELECT MIN(CAST(o_orderdate AS DATE)) AS a, MAX(CAST(o_orderdate AS DATE)) AS z FROM orders)) LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS n FROM orders GROUP BY 1) ON d "
         "= day GROUP BY 1", "date_month:d orders:i days:i largest:i"),
     "partition_dates": paired(
         partition_dates, "SELECT STRFTIME(d, '%Y%m%d') AS partition_date, n FROM (SELECT CAST(UNNEST(RANGE(DATE "

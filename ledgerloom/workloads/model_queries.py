@@ -134,7 +134,7 @@ def active(s: StandIns) -> DataFrame:
 def company_or_account(s: StandIns) -> DataFrame:
     activity = identity.user_company_activity(s.product_events)
     return relational.or_join(activity, s.idmap, "company_id", [("mixpanel_company_id", 2), ("account_id", 1)],
-                              "master_customer_id", "mapping_score")
+                              "master_customer_id", "mapping_score", "user_identifier")
 
 
 def members_per_day(s: StandIns) -> DataFrame:

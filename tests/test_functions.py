@@ -28,7 +28,7 @@ def test_surrogate_key_uses_text_dash_and_placeholder(spark):
     ("year", "2023-12-31", "2024-01-01", 1), ("quarter", "2024-03-31", "2024-04-01", 1),
     ("week", "2024-02-18", "2024-02-19", 1), ("week", "2024-02-19", "2024-02-25", 0),
     ("day", "2024-02-28", "2024-03-01", 2)])
-def test_differences_count_boundaries(spark, part, a, b, want):
+def test_differences_count_boundaries_of_days(spark, part, a, b, want):
     assert one(spark, dates.date_diff(part, d(a), d(b))) == want
 
 
@@ -93,6 +93,8 @@ def test_aggregates(spark):
                  aggregates.weighted_avg("w", "v").alias("avg"),
                  aggregates.sum_where(F.col("w") > 1, "w").alias("s")).first()
     assert (row.l, row.top, row.avg, row.s) == ("a,b", "b", 3.5, 3)
+    by = df.agg(aggregates.list_agg("k", order_by="w").alias("up"), aggregates.list_agg("k", order_by="w", descending=True).alias("down")).first()
+    assert (by.up, by.down) == ("b,a", "a,b")
     assert df.filter("k = 'none'").agg(aggregates.list_agg("k").alias("l")).first().l is None
 
 
@@ -101,3 +103,11 @@ def test_sql_function_and_types(spark):
     assert spark.sql("select gross(10.0D) as x").first().x == pytest.approx(12.0)
     assert portable_type("numeric").simpleString() == "decimal(28,6)"
     assert sqludf.schema_for(None, "public") == "PUBLIC" and sqludf.schema_for("marts", "public") == "MARTS"
+
+
+@pytest.mark.parametrize("part, want", [("hour", 1), ("minute", 1), ("second", 2)])
+def test_parts_below_a_day(spark, part, want):
+    a, b = F.lit(dt.datetime(2024, 3, 31, 0, 59, 59)), F.lit(dt.datetime(2024, 3, 31, 1, 0, 1))
+    assert one(spark, dates.date_diff(part, a, b)) == want
+    assert one(spark, dates.date_diff(part, b, a)) == -want
+    assert one(spark, dates.date_add_part("second", 2, a)) == dt.datetime(2024, 3, 31, 1, 0, 1)
