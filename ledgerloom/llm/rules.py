@@ -1,22 +1,34 @@
 """Quality rules with risk-controlled thresholds (operator 5).
 
 Every document gets counts of its whole text. A rule rejects it if a statistic of these
-lies above a cutoff of its stratum (its language). Cutoffs are chosen on labelled
-documents: for a cutoff the number of good ones (quality 1) that it would reject is
-binomial, and the exact binomial tail tests whether the rate of false rejection reaches
-``RISK``. Cutoffs of a stratum and statistic are tested from the most lenient to the
-strictest until one is not certified (a fixed sequence needs no correction within
-itself); ``CONFIDENCE`` is divided by the number of strata and statistics (Bonferroni),
-``RISK`` shared out among the statistics. So, with probability 1 - CONFIDENCE, at most
-RISK of the good documents of any stratum are rejected. Of the certified cutoffs that one
-is taken which rejects most labelled bad documents, a good one counting ``PRICE`` times.
-Without enough labels nothing is certified or rejected.
+lies above a cutoff of its stratum. Cutoffs are chosen on labelled documents: the number
+of good ones (quality 1) that given cutoffs would reject together is binomial, and the
+exact binomial tail tests whether the rate of false rejection reaches ``RISK``. Two ways
+to cutoffs share the confidence of a stratum half and half:
+
+* all statistics jointly, at the whole ``RISK``, along one sequence from no cutoff to strict
+  ones until one is not certified. Its order comes from the bad documents alone (the next
+  cutoff is that of the statistic which gains most of them a step), so the counts of good
+  ones do not know it and the sequence needs no correction within itself;
+* each statistic by itself, from the most lenient cutoff to the strictest, at an equal share
+  of ``RISK`` and confidence. Large strata have labels enough for it, and a statistic
+  that good documents have too does not stop the others.
+
+Of the certified cutoffs those are taken which reject most labelled bad documents, a good
+one counting ``PRICE`` times.
+
+A stratum is a language with labelled good documents enough to certify something; all other
+languages, also those without labels, are one stratum more. ``CONFIDENCE`` is divided by
+their number (Bonferroni). So, with probability 1 - CONFIDENCE, at most RISK of the good
+documents of any stratum are rejected; for the languages that share one this holds together,
+not for each. If it has not enough labels either, nothing of it is certified or rejected.
 
 Scale: one map over the texts, whose small result is written once. Labels are joined to
-the counts, never to the texts, and summed to histograms; tests run per histogram.
+the counts, never to the texts, and summed to a histogram over the grid's cells; tests
+run per stratum on its cells.
 
 Defined cases: null or empty text has no words and fails the base rule; a null language
-is a stratum; labels of repeated ids count once, with the worst quality; rows with equal
+is a language of its own; labels of repeated ids count once, with the worst quality; rows with equal
 or null doc_id are judged each (null ids have no label).
 """
 
@@ -26,7 +38,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WHITE, mapped, scratch, shipped
@@ -117,41 +129,89 @@ def tail(failures: int, trials: int, rate: float) -> float:
     return min(1.0, math.exp(term) * total)
 
 
+def sequence(bins: np.ndarray, bad: np.ndarray) -> list[tuple[int, ...]]:
+    """Joint cutoffs, as positions in GRID (-1: none), from lenient to strict; each rejects more bad documents than the one before."""
+    at, out = [-1] * bins.shape[1], []
+    while True:
+        rest = (bins > at).all(axis=1) & (bad > 0)
+        best, step = 0.0, None
+        for s in range(len(at)):
+            gain = np.cumsum(np.bincount(bins[rest, s], bad[rest], len(GRID) + 1)[at[s] + 1:len(GRID)])
+            if len(gain) and gain[-1]:
+                rate = gain / np.arange(1, len(gain) + 1)
+                if rate.max() > best:
+                    best, step = rate.max(), (s, at[s] + 1 + int(np.argmax(gain > 0)))
+        if step is None:
+            return out
+        at[step[0]] = step[1]
+        out.append(tuple(at))
+
+
+def certified(steps: list[tuple[int, ...]], bins: np.ndarray, good: np.ndarray, bad: np.ndarray, risk: float, level: float) -> tuple[int, tuple[int, ...]]:
+    """The best of the joint cutoffs before the first that is not certified, and what it is worth; no cutoff is worth 0."""
+    most, best = 0, (-1,) * bins.shape[1]
+    for at in steps:
+        above = (bins <= at).any(axis=1)
+        wrong, right = int(good[above].sum()), int(bad[above].sum())
+        if tail(wrong, int(good.sum()), risk) > level:
+            break
+        if right - PRICE * wrong > most:
+            most, best = right - PRICE * wrong, at
+    return most, best
+
+
+def choose(bins: np.ndarray, good: np.ndarray, bad: np.ndarray, risk: float, level: float) -> tuple[int, ...]:
+    """Positions in GRID of the cutoffs of a stratum; bins are, for each cell and statistic, how many cutoffs the value does not exceed."""
+    count = bins.shape[1]
+    joint = certified(sequence(bins, bad), bins, good, bad, risk, level / 2)[1]
+    alone = tuple(certified([(k,) for k in range(len(GRID))], bins[:, s:s + 1], good, bad, risk / count, level / 2 / count)[1][0] for s in range(count))
+
+    def worth(at: tuple[int, ...]) -> int:
+        above = (bins <= at).any(axis=1)
+        return int(bad[above].sum()) - PRICE * int(good[above].sum())
+
+    return max(joint, alone, key=worth)
+
+
 def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, confidence: float = CONFIDENCE) -> DataFrame:
     """stratum, statistic and the chosen certified cutoff (null: none) from labelled documents.
 
-    Those that the base rule rejects anyway are left out: the method's verdict does not touch them.
+    The null stratum is that of all languages not named. Documents that the base rule rejects
+    anyway are left out: the method's verdict does not touch them.
     """
     shipped(measured.sparkSession)
     graded = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("good"))
     passed = lambda value: F.size(F.filter(F.array(*map(F.lit, GRID)), lambda c: value <= c))
-    held = (measured.where(~base_failed()).join(graded, F.col("doc_id") == F.col("_id")).select(
-        F.coalesce("lang", F.lit("")).alias("stratum"), (F.col("good") == 1).cast("long").alias("good"), F.explode(F.arrays_zip(
-            F.array(*map(F.lit, STATISTICS)).alias("statistic"), F.array(*map(passed, _statistics().values())).alias("bin"))).alias("x"))
-        .groupBy("stratum", "x.statistic", "x.bin").agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad")))
-    tests = held.select(F.greatest(F.lit(1), F.count_distinct("stratum", "statistic")).alias("tests"))
-
-    def choose(rows: pd.DataFrame) -> pd.DataFrame:
-        trials, level, best, most = int(rows["good"].sum()), confidence / int(rows["tests"].iloc[0]), None, 0
-        for k, cutoff in enumerate(GRID):  # a value in bin b is above all cutoffs from the b-th on
-            above = rows[rows["bin"] <= k]
-            wrong, right = int(above["good"].sum()), int(above["bad"].sum())
-            if tail(wrong, trials, risk / len(STATISTICS)) > level:
-                break
-            if right - PRICE * wrong > most:
-                best, most = cutoff, right - PRICE * wrong
-        return pd.DataFrame({"stratum": [rows["stratum"].iloc[0]], "statistic": [rows["statistic"].iloc[0]], "cutoff": pd.Series([best], dtype="float64")})
-
-    return held.join(tests).groupBy("stratum", "statistic").applyInPandas(choose, "stratum string, statistic string, cutoff double")
+    held = scratch(measured.where(~base_failed()).join(graded, F.col("doc_id") == F.col("_id")).select(
+        F.coalesce("lang", F.lit("")).alias("language"), (F.col("good") == 1).cast("long").alias("good"),
+        F.array(*map(passed, _statistics().values())).alias("bins"))
+        .groupBy("language", "bins").agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad")), "held")
+    # The joint test certifies no cutoff with fewer good documents than this; with the k-th most the language is one of k + 1 strata.
+    needed = lambda strata: F.log(F.lit(confidence / 2) / strata) / F.lit(math.log1p(-risk))
+    sizes = held.groupBy("language").agg(F.sum("good").alias("trials")).where(F.col("trials") >= needed(F.lit(2)))
+    ranked = sizes.withColumn("strata", F.row_number().over(Window.orderBy(F.desc("trials"), "language")) + 1)
+    own = ranked.where(F.col("trials") >= needed(F.col("strata"))).select(F.col("language").alias("stratum"))
+    strata = own.agg((F.count("*") + 1).alias("strata"))
+
+    def chosen(rows: pd.DataFrame) -> pd.DataFrame:
+        bins = np.array(rows["bins"].tolist(), np.int64)
+        at = choose(bins, rows["good"].to_numpy(), rows["bad"].to_numpy(), risk, confidence / int(rows["strata"].iloc[0]))
+        return pd.DataFrame({"stratum": rows["stratum"].iloc[0], "statistic": STATISTICS,
+                             "cutoff": pd.Series([GRID[k] if k >= 0 else None for k in at], dtype="float64")})
+
+    cells = held.join(own, F.col("language") == F.col("stratum"), "left").groupBy("stratum", "bins").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    return cells.join(strata).groupBy("stratum").applyInPandas(chosen, "stratum string, statistic string, cutoff double")
 
 
 def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, confidence: float = CONFIDENCE) -> DataFrame:
     """Counts, base_failed, kept and the statistics that rejected (reasons) of every row."""
     measured = scratch(counts(docs), "counts")
-    chosen = cutoffs(measured, labels, risk, confidence).groupBy(F.col("stratum").alias("_stratum")).pivot("statistic", list(STATISTICS)).agg(F.first("cutoff"))
-    chosen = chosen.select("_stratum", *(F.col(s).alias(f"_{s}") for s in STATISTICS))
-    reasons = F.filter(F.array(*(F.when(value > F.col(f"_{name}"), name) for name, value in _statistics().items())), lambda x: x.isNotNull())
-    return (measured.join(chosen, F.coalesce("lang", F.lit("")) == F.col("_stratum"), "left").withColumn("base_failed", base_failed())
+    chosen = scratch(cutoffs(measured, labels, risk, confidence).groupBy(F.col("stratum").alias("_stratum")).pivot("statistic", list(STATISTICS)).agg(F.first("cutoff")), "cutoffs")
+    own = chosen.where("_stratum is not null").select("_stratum", *(F.col(s).alias(f"_{s}") for s in STATISTICS))
+    pooled = chosen.where("_stratum is null").groupBy().agg(*(F.first(s).alias(f"_pooled_{s}") for s in STATISTICS))
+    cutoff = lambda name: F.when(F.col("_stratum").isNotNull(), F.col(f"_{name}")).otherwise(F.col(f"_pooled_{name}"))
+    reasons = F.filter(F.array(*(F.when(value > cutoff(name), name) for name, value in _statistics().items())), lambda x: x.isNotNull())
+    return (measured.join(own, F.coalesce("lang", F.lit("")) == F.col("_stratum"), "left").join(pooled).withColumn("base_failed", base_failed())
             .withColumn("reasons", reasons).withColumn("kept", ~F.col("base_failed") & (F.size("reasons") == 0))
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "reasons"))
 

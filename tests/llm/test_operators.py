@@ -250,6 +250,42 @@ def test_cutoffs_are_certified(spark):
     assert all(kept for k, kept in judged.items() if not 2000 <= k < 2300)
 
 
+def test_cutoffs_of_small_strata_equal_brute_force(spark):
+    """400 good documents of a language suffice; languages of 70 share a stratum, also one without labels; a mark of good texts blocks nothing."""
+    text = lambda k, mark: " ".join(f"w{k + j}{mark if j % 3 else ''}" for j in range(30))
+    rows, grades = [], {}
+    for lang, good, bad in (("de", 400, 40), *((f"rare{k}", 70, 6) for k in range(5))):
+        for k in range(good + bad):
+            rows.append((len(rows), text(len(rows), "#" if k >= good else "!" * (k % 2)), lang))
+            grades[len(rows) - 1] = int(k < good)
+    rows += [(10_000, text(1, "#"), "new"), (10_001, text(2, "!"), "new"), (10_002, text(3, "#"), "de"), (10_003, text(4, "#"), "rare1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(list(grades.items()), "doc_id long, quality int")
+    measured = rules.counts(docs)
+    cutoff = {(r["stratum"], r["statistic"]): r["cutoff"] for r in rules.cutoffs(measured, labels).collect()}
+    assert {s for s, _ in cutoff} == {"de", None}
+    values = {i: (t.count("#") / 30, t.count("!") / 30) for i, t, _ in rows}
+    for stratum in ("de", None):
+        hashes, bangs = (cutoff[stratum, s] or math.inf for s in ("symbols_per_word", "bangs_per_word"))
+        mine = [i for i, _, lang in rows if (lang == "de") == (stratum == "de")]
+        gone = {i for i in mine if values[i][0] > hashes or values[i][1] > bangs}
+        assert gone == {i for i in mine if values[i][0]}
+        wrong, trials = sum(grades.get(i) == 1 for i in gone), sum(grades.get(i) == 1 for i in mine)
+        exact = sum(math.comb(trials, k) * rules.RISK ** k * (1 - rules.RISK) ** (trials - k) for k in range(wrong + 1))
+        assert exact <= rules.CONFIDENCE / 2 / 2
+    assert {r["doc_id"] for r in rules.keep(docs, labels).collect()} == {i for i, v in values.items() if not v[0]}
+
+
+def test_joint_cutoffs_hold_their_risk():
+    """Good documents from a cell at the limit of the risk: a cutoff that rejects it is certified in no more than the confidence's share."""
+    rng, falls = np.random.default_rng(8), 0
+    bins = np.array([[36] * 5, [9, 36, 36, 36, 36]])
+    for _ in range(2000):
+        wrong = rng.binomial(500, rules.RISK)
+        falls += rules.choose(bins, np.array([500 - wrong, wrong]), np.array([0, 400]), rules.RISK, rules.CONFIDENCE)[0] >= 9
+    assert falls / 2000 <= rules.CONFIDENCE
+
+
 # --- 6 -----------------------------------------------------------------------------
 
 def test_language_model(docs, odd, none):
