@@ -10,7 +10,8 @@ runs on every text.
 The index is built per batch inside the map: postings never leave a task, no shuffle.
 
 Defined cases: null text is empty and has no spans; repeated rows are scanned each;
-other columns are ignored. Spans count code points, end exclusive.
+other columns are ignored. Spans count code points, end exclusive. The span
+of a private key is its whole block; of one without an END line, what looks like its body.
 """
 
 from __future__ import annotations
@@ -24,12 +25,20 @@ from pyspark.sql import functions as F
 
 from .common import mapped, shipped, texts
 
+# A private key: its BEGIN line and all up to the END line; without that, header lines and lines of base64 (line ends may be written \\n) that follow.
+_KEY = r"[A-Z0-9 ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
+_GAP = r"(?:\s|\\[nrt])*+"
+_HEADERS = rf"(?:{_GAP}(?:Proc-Type|DEK-Info|Key-Info|Content-Domain|Version|Comment|Hash|Charset|MessageID):[^\r\n\\]*+)*+"
+_RUN = rf"{_GAP}[A-Za-z0-9+/]{{16,}}+={{0,2}}+"
+_LAST = rf"(?:{_GAP}[A-Za-z0-9+/]++={{1,2}}+(?!\S)|(?:[\r\n]|\\[nr]){_GAP}[A-Za-z0-9+/]++={{0,2}}+(?=[ \t]*+(?:[\r\n\\\"'`]|\Z)))"
+_LINES = rf"{_RUN}(?:{_RUN})*+{_LAST}?+"
+PRIVATE_KEY = rf"-----BEGIN {_KEY}(?:(?:[^-]|-(?!----))*+-----END {_KEY}|{_HEADERS}(?:{_LINES})?+)"
 # kind, regex, least length, group the length is of. The first three are the base; the order breaks ties of spans.
 RULES = [
     ("assign", r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8, 2),
     ("access", r"AKIA[A-Z0-9]+", 16, 0),
     ("hex", r"[0-9a-f]+", 32, 0),
-    ("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 0),
+    ("private_key", PRIVATE_KEY, 0, 0),
     ("source_host_token", r"(?:ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{36}", 0, 0),
     ("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
     ("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
