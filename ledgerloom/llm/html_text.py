@@ -10,12 +10,16 @@ found by gradient ascent with the exact marginals that the same messages give.
 
 Text of a block: character references decoded, each run of white space one space, trimmed;
 blocks are joined by an empty line in page order. The tree is built as browsers do it for
-the common cases: omitted end tags of p, li, td and the like, void elements, raw text of
-scripts and styles, comments, an unfinished tag at the end.
+the common cases: omitted end tags of p, li, td and the like, void elements, comments, an
+unfinished tag at the end. Scripts, styles, templates, titles, form controls, frames, svg
+drawings and the source notes of formulas are no text of the page: they are skipped, and
+what stands around them stays together. Formulas (math) are part of the line they are in.
+What object and noscript hold is part of the line within a line, and a node elsewhere.
 
 Pages are independent: one map, no shuffle; the model is a few dozen numbers.
 
-Defined cases: null or empty html gives an empty text; pages without tags are one block;
+Defined cases: null or empty html gives an empty text; pages without block
+elements are one block, which is their text, as there is no tree to weigh it by;
 repeated rows are extracted each; other columns are ignored.
 """
 
@@ -36,9 +40,16 @@ TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 # Element kinds (fixed values of HTML).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea svg math iframe object select title".split())
+RAW = frozenset("script style template textarea svg iframe select title annotation annotation-xml".split())
 INLINE = frozenset(("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike "
-                    "strong sub sup time tt u var wbr").split())
+                    "strong sub sup time tt u var wbr "
+                    "math maction menclose merror mfenced mfrac mi mlabeledtr mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
+                    "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics").split())
+# Elements that belong to a line within one of LINES or a line begun, and are nodes elsewhere.
+EITHER = frozenset("object noscript".split())
+LINES = frozenset("p h1 h2 h3 h4 h5 h6 pre".split())
+# Cells and gaps of a formula, which stand apart.
+APART = frozenset("br mtd mspace".split())
 # An open element of the values ends when the key begins, up to one of the stops.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -84,6 +95,7 @@ class Page:
         stack = [("", self._node(-1, self._potential("", ""), None, 0), 0)]  # tag, node of the block it is in, label
         run: list[str] = []
         linked = links = 0
+        within: list[str] = []  # open elements of EITHER that belong to a line
 
         def flush() -> None:
             nonlocal run, linked
@@ -125,23 +137,29 @@ class Page:
                     links = 0
                 if tag in INLINE:
                     continue
+                if tag in within:
+                    within.remove(tag)
+                    continue
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] == tag:
                         flush()
                         del stack[k:]
                         break
                 continue
-            if tag in RAW and not attributes.endswith("/"):
-                shut = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(source, at)
-                at = shut.end() if shut else end
-                flush()
+            if tag in RAW:
+                if not attributes.endswith("/"):
+                    shut = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(source, at)
+                    at = shut.end() if shut else end
                 continue
             if tag == "a":
                 links = 1
-            if tag == "br":
+            if tag in APART:
                 run.append(" ")
             if tag in INLINE:
                 continue
+            if tag in EITHER and (stack[-1][0] in LINES or any(not piece.isspace() for piece in run)):
+                within.append(tag)
+                continue
             if tag not in KEEP_P:
                 close({"p"}, STOP_P)
             if tag in CLOSES:
@@ -211,6 +229,8 @@ class Model:
 
     def extract(self, source: str) -> str:
         page = Page(source, self.element)
+        if page.text.count(None) == 1:  # the root alone
+            return "\n\n".join(text for text in page.text if text is not None)
         own = [f if text is None else self.potential(f) for f, text in zip(page.features, page.text, strict=True)]
         whole = self.messages(page.parent, own)[0]
         return "\n\n".join(text for text, odds in zip(page.text, whole, strict=True) if text is not None and odds > 0)

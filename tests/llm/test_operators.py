@@ -368,6 +368,33 @@ def test_odd_pages(spark):
     assert html_text.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_elements_within_lines(spark):
+    """Scripts and drawings do not cut a line; formulas and fallback text stay in an article."""
+    article = "<article><p>It is a long sentence of an article, with words enough.</p>{}</article>"
+    start = "It is a long sentence of an article, with words enough."
+    parts = {
+        "<p>line <script>var x='</p>'</script>end.</p>": "line end.",
+        "<p>A <svg><path d='M0'/></svg>drawing, <svg/>a <select><option>x</select>choice <style>p {}</style>here.</p>": "A drawing, a choice here.",
+        "<p>Where <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn></mfrac><annotation>\\tex</annotation></math> holds.</p>": "Where x=1 holds.",
+        "<math display='block'><mi>E</mi><mo>=</mo><mn>2</mn></math><p>As said.</p>": "E=2\n\nAs said.",
+        "<object data='a.png'><p>The fallback of a picture.</p></object><p>Next.</p>": "The fallback of a picture.\n\nNext.",
+        "<noscript><p>This is shown without scripts.</p></noscript>": "This is shown without scripts.",
+        "<p>See <object data='a'>the picture</object> and <noscript>the text</noscript> here.</p><p>Next.</p>": "See the picture and the text here.\n\nNext.",
+    }
+    rows = [(k, "u", article.format(part)) for k, part in enumerate(parts)]
+    got = {r["page_id"]: (r["text"], r["n_chars"]) for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = [f"{start}\n\n{text}" for text in parts.values()]
+    assert [got[k] for k in range(len(parts))] == [(t, len(t)) for t in want]
+
+
+def test_pages_without_names():
+    """A plain page, a deep one without names and the page with a script in a line."""
+    extract = html_text.trained().extract
+    assert extract("plain words only here.") == "plain words only here."
+    assert extract("<p>" * 3000 + "deep") == "deep"
+    assert extract("<article><p>It is <b>bold</b>.<p>Next<br>line <script>var x='</p>'</script>end.<!-- c --></article><p class='x") == "It is bold.\n\nNext line end."
+
+
 # --- 9 -----------------------------------------------------------------------------
 
 def brute_hits(text, items, window):
