@@ -9,7 +9,7 @@ of at most ``BLOCK_BYTES``; a larger one is scanned block by block and the hits
 document are united by its key.
 
 Defined cases: null or empty text has no words and no hits; an item without words has no
-window; items with equal windows are all named; rows with equal or null doc_id are
+window; one without an id is searched, but not named; items with equal windows are all named; rows with equal or null doc_id are
 scanned each; other columns are ignored.
 """
 
@@ -18,12 +18,14 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import defaultdict
+from collections.abc import Callable, Iterator
 
 import ahocorasick
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, byte_texts, mapped
+from .common import alnum_words, byte_texts, mapped, shipped
 
 WINDOW = 10
 # Text of test items in one automaton.
@@ -36,13 +38,13 @@ _SCANNERS: dict[int, Scanner] = {}
 class Scanner:
     """The automaton of some items; ``scan`` gives hit words and items of one text."""
 
-    def __init__(self, items: list[tuple[int, bytes]], window: int):
+    def __init__(self, items: list[tuple[int | None, bytes]], window: int):
         self.number: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[int]] = defaultdict(set)
+        owners: dict[tuple[int, ...], set[int]] = defaultdict(set)  # empty for items without an id
         for item, text in items:
             words = [self.number.setdefault(w, len(self.number) + 1) for w in alnum_words(text)]
             for at in range(max(1, len(words) - window + 1) if words else 0):
-                owners[tuple(words[at:at + window])].add(item)
+                owners[tuple(words[at:at + window])].update(() if item is None else (item,))
         self.machine = None
         if owners:
             self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
@@ -79,16 +81,13 @@ def spans_of(text: bytes, hit: list[int]) -> list[dict]:
 
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document row: doc_id, n_words, hit_words (positions), spans (code points) and items, ascending."""
-    items = benchmark.select("item_id", F.col("text").cast("binary").alias("text")).where("text is not null and item_id is not null")
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-total // block_bytes))
-    if blocks == 1:
-        return _scan(docs, [tuple(r) for r in items.collect()], window)
-    part = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
+    parts = _blocks(benchmark, block_bytes)
+    if len(parts) == 1:
+        return _scan(docs, parts[0](), window)
     keyed = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     found = None
-    for k in range(blocks):
-        one = _scan(keyed, [tuple(r) for r in items.where(part == k).collect()], window, key=True)
+    for part in parts:
+        one = _scan(keyed, part(), window, key=True)
         found = one if found is None else found.unionByName(one)
     flat = lambda c: F.sort_array(F.array_distinct(F.flatten(F.collect_list(c))))
     merged = found.distinct().groupBy("doc_id", "_key").agg(F.max("n_words").alias("n_words"), flat("hit_words").alias("hit_words"), flat("items").alias("items"))
@@ -98,16 +97,20 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
                                            zip(b["doc_id"], b["text"], b["n_words"], b["hit_words"], b["items"], strict=True)], SCHEMA)
 
 
+def _blocks(benchmark: DataFrame, block_bytes: int) -> list[Callable[[], list[tuple]]]:
+    """Functions that read the items of each block."""
+    items = benchmark.select("item_id", F.col("text").cast("binary").alias("text")).where("text is not null")
+    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    blocks = max(1, -(-total // block_bytes))
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    return [lambda k=k: [tuple(r) for r in items.where(part == k).collect()] for k in range(blocks)]
+
+
 def _scan(docs: DataFrame, items: list[tuple], window: int, key: bool = False) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast([(i, bytes(t)) for i, t in items])
-    number = sent.id if hasattr(sent, "id") else id(sent)
+    scanner = _shared_scanner(docs, items, window)
 
     def rows():
-        name = hash((number, window, len(sent.value)))
-        if name not in _SCANNERS:
-            _SCANNERS.clear()
-            _SCANNERS[name] = Scanner(sent.value, window)
-        scan = _SCANNERS[name].scan
+        scan = scanner().scan
 
         def apply(b: dict) -> list[tuple]:
             out = []
@@ -122,6 +125,21 @@ def _scan(docs: DataFrame, items: list[tuple], window: int, key: bool = False) -
     return mapped(byte_texts(docs, "doc_id", *(("_key",) if key else ())), rows, schema)
 
 
+def _shared_scanner(docs: DataFrame, items: list[tuple], window: int) -> Callable[[], Scanner]:
+    """What gives a task the automaton of the items, built once in each Python worker."""
+    sent = docs.sparkSession.sparkContext.broadcast([(i, bytes(t)) for i, t in items])
+    number = sent.id if hasattr(sent, "id") else id(sent)
+
+    def scanner() -> Scanner:
+        name = hash((number, window, len(sent.value)))
+        if name not in _SCANNERS:
+            _SCANNERS.clear()
+            _SCANNERS[name] = Scanner(sent.value, window)
+        return _SCANNERS[name]
+
+    return scanner
+
+
 def digest(found: DataFrame) -> DataFrame:
     """Counts and the sha256 of the items' ids, sorted as strings."""
     names = F.array_join(F.sort_array(F.col("items").cast("array<string>")), ",")
@@ -129,13 +147,19 @@ def digest(found: DataFrame) -> DataFrame:
                         F.sha2(names, 256).alias("items_sha256"), (F.size("hit_words") > 0).alias("contaminated"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents without those that hold a window of a test item; null doc_ids stay, as nothing names them.
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows without those that hold a window of a test item; each row is judged by its own text."""
+    shipped(docs.sparkSession)
+    for part in _blocks(benchmark, block_bytes):
+        scanner = _shared_scanner(docs, part(), window)
+
+        def clean(batches: Iterator[pa.RecordBatch], scanner=scanner) -> Iterator[pa.RecordBatch]:
+            scan = scanner().scan
+            for batch in batches:
+                yield batch.filter(pa.array([not scan((t or "").encode())[1] for t in batch.column("text").to_pylist()], pa.bool_()))
 
-    Rows that share a doc_id go together.
-    """
-    leaked = find(docs, benchmark, window).where(F.size("hit_words") > 0).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(leaked, F.col("doc_id") == F.col("_leaked"), "left_anti")
+        docs = docs.select(*docs.columns).mapInArrow(clean, docs.schema)
+    return docs
 
 
 def sha(names: list[str]) -> str:

@@ -275,6 +275,13 @@ def _common(own: np.ndarray, index: tuple[np.ndarray, np.ndarray, np.ndarray], c
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id; of rows that share it, all of them with null ids."""
-    gone = classes(docs, size, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """One row of each component of rows, one with the smallest doc_id (null last); rows without words stay.
+
+    Rows are numbered once, as an id may be null or repeated; each is compared by its own text.
+    """
+    numbered = scratch(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = classes(numbered.select(F.col("_row").alias("doc_id"), "text"), size, percent).select(F.col("doc_id").alias("_row"), "component_id")
+    rows = scratch(found.join(numbered.select("_row", "doc_id"), "_row"), "rows")
+    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")).alias("first"))
+    gone = rows.select("_row").join(first.select("first._row"), "_row", "left_anti")
+    return numbered.join(gone, "_row", "left_anti").select(*docs.columns)

@@ -35,11 +35,14 @@ or null doc_id are judged each (null ids have no label).
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .common import WHITE, mapped, scratch, shipped
 
@@ -206,17 +209,37 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, confiden
 def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, confidence: float = CONFIDENCE) -> DataFrame:
     """Counts, base_failed, kept and the statistics that rejected (reasons) of every row."""
     measured = scratch(counts(docs), "counts")
-    chosen = scratch(cutoffs(measured, labels, risk, confidence).groupBy(F.col("stratum").alias("_stratum")).pivot("statistic", list(STATISTICS)).agg(F.first("cutoff")), "cutoffs")
+    return _judged(measured, _wide(measured, labels, risk, confidence)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "reasons")
+
+
+def _wide(measured: DataFrame, labels: DataFrame, risk: float, confidence: float) -> DataFrame:
+    """_stratum and a column of cutoffs for each statistic."""
+    chosen = cutoffs(measured, labels, risk, confidence).groupBy(F.col("stratum").alias("_stratum"))
+    return scratch(chosen.pivot("statistic", list(STATISTICS)).agg(F.first("cutoff")), "cutoffs")
+
+
+def _judged(measured: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows with base_failed, reasons and kept."""
     own = chosen.where("_stratum is not null").select("_stratum", *(F.col(s).alias(f"_{s}") for s in STATISTICS))
     pooled = chosen.where("_stratum is null").groupBy().agg(*(F.first(s).alias(f"_pooled_{s}") for s in STATISTICS))
     cutoff = lambda name: F.when(F.col("_stratum").isNotNull(), F.col(f"_{name}")).otherwise(F.col(f"_pooled_{name}"))
     reasons = F.filter(F.array(*(F.when(value > cutoff(name), name) for name, value in _statistics().items())), lambda x: x.isNotNull())
     return (measured.join(own, F.coalesce("lang", F.lit("")) == F.col("_stratum"), "left").join(pooled).withColumn("base_failed", base_failed())
-            .withColumn("reasons", reasons).withColumn("kept", ~F.col("base_failed") & (F.size("reasons") == 0))
-            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "reasons"))
+            .withColumn("reasons", reasons).withColumn("kept", ~F.col("base_failed") & (F.size("reasons") == 0)))
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents without the rejected ones. Rows that share a doc_id go if all of them are rejected; null ids stay."""
-    verdicts = judge(docs, labels).groupBy(F.col("doc_id").alias("_judged")).agg(F.max("kept").alias("_kept")).where("not _kept")
-    return docs.join(verdicts, F.col("doc_id") == F.col("_judged"), "left_anti")
+    """The rows without the rejected ones; each is judged by its own text, counted a second time as the row passes."""
+    measured = scratch(counts(docs), "counts")
+    row = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("_row"))
+    names = [f.split()[0] for f in COUNTS.split(", ")][2:]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column("_row")
+            columns = list(zip(*(counts_of(t or "") for t in rows.field("text").to_pylist()), strict=True)) or [[] for _ in names]
+            yield pa.RecordBatch.from_arrays([rows, rows.field("lang").cast(pa.string()), *(pa.array(c, pa.int64()) for c in columns)], ["_row", "lang", *names])
+
+    schema = StructType([row.schema["_row"], StructField("lang", StringType()), *(StructField(n, LongType()) for n in names)])
+    return _judged(row.mapInArrow(count, schema), _wide(measured, labels, RISK, CONFIDENCE)).where("kept").select("_row.*")

@@ -33,6 +33,29 @@ def test_stages(spark):
     assert neardup.SHINGLE == corpus_pipeline.SHINGLE
 
 
+def test_stages_decide_row_by_row(spark, tmp_path):
+    """Repeated and null ids: each row stays or goes by its own text."""
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
+    good, other, copy = text(1), text(2), text(3)
+    rows = [(1, good), (1, good), (1, "too short"), (None, "too short"), (None, copy), (None, copy), (5, copy), (4, copy + " end"), (6, other), (6, good + " " + text(4)),
+            (None, None), (7, text(5)), (7, text(6))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    of = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=repr)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    ruled = rules.keep(docs, labels)
+    assert ruled.columns == docs.columns and ruled.schema.simpleString() == docs.schema.simpleString()
+    assert of(ruled) == sorted(((i, t) for i, t in rows if t and t != "too short"), key=repr)
+    assert of(neardup.keep_one(docs, 5, 80)) == sorted([(1, good), (1, "too short"), (4, copy + " end"), (6, other), (6, good + " " + text(4)), (None, None),
+                                                        (7, text(5)), (7, text(6))], key=repr)
+    bench = spark.createDataFrame([(None, text(5)), (1, other), (None, copy), (2, None)], "item_id long, text string")
+    for block in (1 << 20, 40):
+        clean = contamination.decontaminate(docs, bench, block_bytes=block)
+        assert clean.columns == docs.columns
+        assert of(clean) == sorted(((i, t) for i, t in rows if t not in (text(5), other, copy, copy + " end")), key=repr)
+        found = contamination.digest(contamination.find(docs, bench, block_bytes=block)).where("contaminated").collect()
+        assert sorted(((r["doc_id"], r["n_items"]) for r in found), key=repr) == sorted([(7, 0), (6, 1), (None, 0), (None, 0), (5, 0), (4, 0)], key=repr)
+
+
 def test_empty_documents(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{DIR}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
