@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of one Arrow batch: bounds what a Python worker holds at once.
+# Rows that a Python worker turns into objects at once. The session's own settings bound an Arrow batch by rows and bytes; a task cuts it further.
 BATCH_ROWS = 500
 # Byte map of the alphanumeric words: A-Z to a-z, every other ASCII byte that is no letter or digit to a space.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b > 127 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -32,7 +32,7 @@ def plain_words(text: bytes) -> list[bytes]:
     return text.split()
 
 
-def shipped(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> SparkSession:
+def shipped(spark: SparkSession) -> SparkSession:
     """Send this package to the executors once a session, so that tasks import it and keep its module caches."""
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
@@ -43,23 +43,29 @@ def shipped(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> SparkSession:
                 out.write(path, path.relative_to(package.parent))
         context.addPyFile(str(archive))
         _SHIPPED.add(context.applicationId)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
     return spark
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches cut to at most ``rows`` rows, without a copy."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def mapped(df: DataFrame, rows: Callable[[], Callable[[dict], list[tuple]]], schema: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
-    """Apply a function of column lists to each Arrow batch.
+    """Apply a function of column lists to pieces of at most ``batch_rows`` rows.
 
-    ``rows`` is called once in each task and returns the function; that gets a batch as
+    ``rows`` is called once in each task and returns the function; that gets a piece as
     a dict of lists and returns output rows. Nothing outlives a task but module caches.
     """
-    shipped(df.sparkSession, batch_rows)
+    shipped(df.sparkSession)
     names = [field.split()[0] for field in _fields(schema)]
     types = _arrow_types(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = rows()
-        for batch in batches:
+        for batch in pieces(batches, batch_rows):
             out = apply({n: c.to_pylist() for n, c in zip(batch.schema.names, batch.columns, strict=True)})
             columns = list(zip(*out, strict=True)) or [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
