@@ -1,13 +1,14 @@
 """Ranked lexical search by exact inner products in ball trees.
 
-A document is a sparse vector over the terms that items ask for; an item is the sum of the unit
-vectors of its terms. Every task cuts its documents into groups of bounded size and builds a ball
-tree over each: a ball is halved by the distance to two far documents, until a leaf has LEAF of them.
-No document of a ball scores more than the item's product with the centre plus the radius times the
-length of the item (Cauchy-Schwarz), both rounded up by more than the arithmetic can lose. An item
-visits balls best first and stops at the first whose bound is below its 50th score so far; a bound
-equal to it is still visited, because ties go to the smaller doc_id. Leaves are scored in 64-bit
-integers, so results do not depend on the tree, the partitions or rounding.
+A document is a sparse vector over the terms that items ask for: the root of a term's weight times
+its impact; an item has the roots of its weights. Every task cuts its documents into groups of bounded
+size and builds a ball tree over each: a ball is halved by the distance to two far documents, until a
+leaf has LEAF of them. No document of a ball scores more than the item's product with the centre plus
+the radius times the length of the item (Cauchy-Schwarz), where only terms that the ball holds count
+for that length; the bound is rounded up by more than the arithmetic can lose. An item visits balls
+best first and stops at the first whose bound is below its 50th score so far; a bound equal to it is
+still visited, because ties go to the smaller doc_id. Leaves are scored in 64-bit integers, so results
+do not depend on the tree, the partitions or rounding.
 
 Items are dealt to blocks of at most TERMS distinct terms, one after the other (an item with more is
 a block of its own); a block is all that the driver holds and sends at once, and it is run against all
@@ -37,7 +38,7 @@ from .common import alnum_words, byte_texts, pieces, scratch, shipped
 RANKED = 50
 TERMS = 8192  # distinct terms of a block of items
 CELLS = 4_194_304  # documents times terms of one tree: 16 MB of impacts
-LEAF = 64
+LEAF = 16
 DEALT = 64  # parts of an item's rows before its last ranking
 
 
@@ -105,41 +106,42 @@ def weights(index: DataFrame, vocabulary: int) -> tuple[int, int, np.ndarray]:
 
 
 class Tree:
-    """A ball tree over the rows of ``impacts`` (documents x terms of the block), by weighted impacts.
+    """A ball tree over the rows of ``impacts`` (documents x terms of the block), each term scaled by the root of its weight.
 
-    Rows are taken in the order of ``order``; a ball is a range of it. ``centres`` and
-    ``radii`` bound the weighted rows, ``slack`` covers the rounding of sums.
+    Rows are taken in the order of ``order``; a ball is a range of it. Balls have a centre,
+    a radius and the terms they hold. All entries are 0 or more and every sum has at most
+    as many as there are terms, so ``slack`` covers what rounding can take off a bound.
     """
 
     def __init__(self, impacts: np.ndarray, weight: np.ndarray, leaf: int = LEAF):
-        scaled = impacts * weight.astype(np.float32)  # only the shape of the tree depends on these 32 bits
+        self.root = np.sqrt(weight.astype(np.float64))
+        scaled = impacts * self.root.astype(np.float32)  # only the shape of the tree depends on these 32 bits
         self.order = np.arange(len(impacts))
         self.slack = 1 + (impacts.shape[1] + 64) * 2.0**-50
-        self.ranges, self.children, centres, radii = [], [], [], []
+        self.ranges, self.children, centres, radii, held = [], [], [], [], []
 
         def grow(low: int, high: int) -> int:
             node = len(self.ranges)
             rows = self.order[low:high]
             self.ranges.append((low, high))
             self.children.append(None)
-            exact = impacts[rows].astype(np.float64) * weight
+            exact = impacts[rows] * self.root
             centre = exact.mean(axis=0)
             centres.append(centre)
+            held.append(centre > 0)
             exact -= centre
             radii.append(math.sqrt(float(np.einsum("ij,ij->i", exact, exact).max())) * self.slack)
             if high - low > leaf and radii[node] > 0:
                 half = scaled[rows]
-                start = self._farthest(half, half[0])
-                one = half[start]
+                one = half[self._farthest(half, half[0])]
                 other = half[self._farthest(half, one)]
-                order = np.argsort(half @ (other - one), kind="stable")
                 middle = (high - low) // 2
-                self.order[low:high] = rows[order]
+                self.order[low:high] = rows[np.argsort(half @ (other - one), kind="stable")]
                 self.children[node] = (grow(low, low + middle), grow(low + middle, high))
             return node
 
         grow(0, len(impacts))
-        self.centres, self.radii = np.array(centres), np.array(radii)
+        self.centres, self.radii, self.held = np.array(centres), np.array(radii), np.array(held)
 
     @staticmethod
     def _farthest(rows: np.ndarray, point: np.ndarray) -> int:
@@ -147,7 +149,9 @@ class Tree:
 
     def bounds(self, terms: np.ndarray) -> np.ndarray:
         """What no document of each ball exceeds, for an item of these terms."""
-        return (self.centres[:, terms].sum(axis=1) + math.sqrt(len(terms)) * self.radii) * self.slack
+        asked = self.root[terms]
+        length = np.sqrt(self.held[:, terms] @ (asked * asked))
+        return (self.centres[:, terms] @ asked + length * self.radii) * self.slack
 
 
 class Best:
@@ -206,7 +210,7 @@ def ranked_block(index: DataFrame, block: list[tuple], vocabulary: list[bytes],
     number = {w: k for k, w in enumerate(vocabulary)}
     items = [np.array([number[w] for w in words], np.int64) for _, words in block]
     sent = index.sparkSession.sparkContext.broadcast((weight, items))
-    together = max(LEAF, CELLS // max(len(vocabulary), 1))
+    together = max(1, CELLS // max(len(vocabulary), 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, items = sent.value

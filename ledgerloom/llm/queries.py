@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, contamination, html_text, licenses, neardup, pitman_yor, quality, rules, secret_scan, toxicity
+from . import (ball_search, bpe, byte_cnn, contamination, conversations, html_text, licenses, neardup, pitman_yor, quality, rules, secret_scan,
+               toxicity)
 from .common import table
 
 
@@ -50,7 +51,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find(table(spark, sf_dir, "documents")))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audit(conversations.damage(table(spark, sf_dir, "conversations")))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return byte_cnn.predict(docs, byte_cnn.train(docs))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_toxicity, op3_minmax_dedup, op4_byte_bpe, op5_quality_rules, op6_pitman_yor, op7_html_text, op8_quality,
-    op9_decontamination, op10_secret_scan)}
-ORACLE_SQL = {"op1_license_scan": licenses.oracle_sql()}
+    op9_decontamination, op10_secret_scan, op11_ranked_search, op12_conversation_repair, op13_language)}
+ORACLE_SQL = {"op1_license_scan": licenses.oracle_sql(), "op11_ranked_search": ball_search.oracle_sql(),
+              "op12_conversation_repair": conversations.oracle_sql()}
