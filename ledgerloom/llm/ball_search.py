@@ -37,7 +37,7 @@ from .common import alnum_words, byte_texts, pieces, scratch, shipped
 
 RANKED = 50
 TERMS = 8192  # distinct terms of a block of items
-CELLS = 4_194_304  # documents times terms of one tree: 16 MB of impacts
+CELLS = 1_572_864  # documents times terms of one tree: 6 MB of impacts
 LEAF = 16
 DEALT = 64  # parts of an item's rows before its last ranking
 
@@ -115,38 +115,29 @@ class Tree:
 
     def __init__(self, impacts: np.ndarray, weight: np.ndarray, leaf: int = LEAF):
         self.root = np.sqrt(weight.astype(np.float64))
-        scaled = impacts * self.root.astype(np.float32)  # only the shape of the tree depends on these 32 bits
         self.order = np.arange(len(impacts))
         self.slack = 1 + (impacts.shape[1] + 64) * 2.0**-50
-        self.ranges, self.children, centres, radii, held = [], [], [], [], []
-
-        def grow(low: int, high: int) -> int:
-            node = len(self.ranges)
+        self.ranges, self.children, centres, radii, held = [(0, len(impacts))], [], [], [], []
+        for low, high in self.ranges:  # grows while it is read
             rows = self.order[low:high]
-            self.ranges.append((low, high))
-            self.children.append(None)
-            exact = impacts[rows] * self.root
-            centre = exact.mean(axis=0)
+            scaled = impacts[rows] * self.root
+            centre = scaled.mean(axis=0)
+            scaled -= centre
+            squares = np.einsum("ij,ij->i", scaled, scaled)
             centres.append(centre)
             held.append(centre > 0)
-            exact -= centre
-            radii.append(math.sqrt(float(np.einsum("ij,ij->i", exact, exact).max())) * self.slack)
-            if high - low > leaf and radii[node] > 0:
-                half = scaled[rows]
-                one = half[self._farthest(half, half[0])]
-                other = half[self._farthest(half, one)]
-                middle = (high - low) // 2
-                self.order[low:high] = rows[np.argsort(half @ (other - one), kind="stable")]
-                self.children[node] = (grow(low, low + middle), grow(low + middle, high))
-            return node
-
-        grow(0, len(impacts))
+            radii.append(math.sqrt(float(squares.max())) * self.slack)
+            if high - low <= leaf or radii[-1] == 0:
+                self.children.append(None)
+                continue
+            one = scaled[int(squares.argmax())]
+            other = scaled[int(np.argmax(squares - 2 * (scaled @ one)))]
+            middle = (low + high) // 2
+            self.order[low:high] = rows[np.argsort(scaled @ (other - one), kind="stable")]
+            self.children.append((len(self.ranges), len(self.ranges) + 1))
+            self.ranges += [(low, middle), (middle, high)]
         self.centres, self.radii, self.held = np.array(centres), np.array(radii), np.array(held)
 
-    @staticmethod
-    def _farthest(rows: np.ndarray, point: np.ndarray) -> int:
-        return int(np.argmax(np.einsum("ij,ij->i", rows, rows) - 2 * (rows @ point)))
-
     def bounds(self, terms: np.ndarray) -> np.ndarray:
         """What no document of each ball exceeds, for an item of these terms."""
         asked = self.root[terms]
