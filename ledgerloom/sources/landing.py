@@ -16,7 +16,8 @@ SUCCESS_MARKER = "_SUCCESS"
 LAYOUT = r"clients/([^/]+)/([^/]+)/([^/]+)/run_date=(\d{4}-\d{2}-\d{2})/([^/]*)$"
 LAYOUT_FIELDS = ["client", "source", "table", "run_date", "file"]
 
-# Up to this many files, tables with one row per file split are small enough to broadcast.
+# Lines whose blank ones are listed before they are summed up: bounds what one group collects.
+CHUNK = 1000
 
 
 def raw_path(tenant: str, source: str, table: str, run_date: str | None = None, file: str | None = None,
@@ -62,80 +63,124 @@ def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(F.col("source").isNotNull()), df.filter(F.col("source").isNull())
 
 
-def read_lines(spark: SparkSession, path: str, pattern: str | None = "*.jsonl.gz",
-               recursive: bool = True) -> DataFrame:
-    """Text lines with file and line number.
-
-    Generated ids are consecutive within a split, so a line's number is its distance
-    from the first id of its split plus the lines of the file's earlier splits. Only the
-    per-split counts are aggregated and joined back: the lines are not shuffled, and a
-    large file is numbered by as many tasks as it has splits.
-    """
+def _text(spark: SparkSession, path: str, pattern: str | None, recursive: bool = True) -> DataFrame:
+    """Lines with their file, the start of their split and ids that ascend within it."""
     reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    text = reader.text(path)
-    lines = text.select("value", F.col("_metadata.file_path").alias("file"),
-                        F.col("_metadata.file_block_start").alias("__block"),
-                        F.monotonically_increasing_id().alias("__seq"))
-    splits = lines.groupBy(F.col("file").alias("__file"), F.col("__block").alias("__split")).agg(
-        F.min("__seq").alias("__first"), F.count(F.lit(1)).alias("__n"))
-    earlier = Window.partitionBy("__file").orderBy("__split").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.withColumn("__offset", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
-    numbered = lines.join(offsets, (F.col("file") == F.col("__file")) & (F.col("__block") == F.col("__split")))
-    number = F.col("__seq") - F.col("__first") + F.col("__offset") + 1
-    return numbered.select("value", "file", number.alias("line_number"))
+    return with_split(reader.text(path)).withColumn("seq", F.monotonically_increasing_id())
 
 
-def _document(column: str = "value") -> Column:
-    return F.try_parse_json(F.col(column))
+def with_split(text: DataFrame) -> DataFrame:
+    """Lines of a text scan or stream with their file and the start of their split."""
+    return text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"))
 
 
-def validate_jsonl(lines: DataFrame) -> DataFrame:
+def judged(lines: DataFrame) -> DataFrame:
+    """Lines with their parsed document, whether they are records (not blank) and whether they are bad ones."""
+    record = F.trim("value") != ""
+    return lines.withColumn("record", record).withColumn("record_content", F.when(record, F.try_parse_json("value"))).withColumn(
+        "bad", F.col("record") & F.col("record_content").isNull())
+
+
+def split_summary(lines: DataFrame) -> DataFrame:
+    """What one pass over judged lines tells of every split of a file.
+
+    ``first`` id, ``lines``, ``records`` and ``bad`` lines; ``lines_before`` and
+    ``records_before`` it in its file; ``first_bad`` line number and the number of
+    records before that line in the file; ``file_bad`` lines of its whole file. Lines are
+    counted in chunks of ids, and only the blank ones of a chunk are listed, so that
+    nothing grows with the file but one row a chunk.
+    """
+    chunks = lines.groupBy("file", "split", F.floor(F.col("seq") / CHUNK).alias("chunk")).agg(
+        F.min("seq").alias("first"), F.count(F.lit(1)).alias("lines"), F.count_if("record").alias("records"),
+        F.count_if("bad").alias("bad"), F.min(F.when(F.col("bad"), F.col("seq"))).alias("bad_at"),
+        F.collect_list(F.when(~F.col("record"), F.col("seq"))).alias("blank"))
+    earlier = Window.partitionBy("file", "split").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    blank_before = F.size(F.filter("blank", lambda at: at < F.col("bad_at")))
+    in_split = chunks.withColumn("ahead", F.coalesce(F.sum("records").over(earlier), F.lit(0)) + F.col("bad_at") - F.col("first") - blank_before)
+    splits = in_split.groupBy("file", "split").agg(
+        F.min("first").alias("first"), F.sum("lines").alias("lines"), F.sum("records").alias("records"), F.sum("bad").alias("bad"),
+        F.min("bad_at").alias("bad_at"), F.min_by("ahead", "bad_at").alias("ahead"))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    placed = splits.withColumns({
+        "lines_before": F.coalesce(F.sum("lines").over(before), F.lit(0)),
+        "records_before": F.coalesce(F.sum("records").over(before), F.lit(0)),
+        "file_bad": F.sum("bad").over(Window.partitionBy("file"))})
+    return placed.withColumns({
+        "first_bad": F.col("bad_at") - F.col("first") + F.col("lines_before") + 1,
+        "records_ahead": F.col("records_before") + F.col("ahead")}).drop("bad_at", "ahead")
+
+
+def numbered(lines: DataFrame, summary: DataFrame) -> DataFrame:
+    """Lines of the summary's splits with their number in the file.
+
+    A line's number is its distance from the first id of its split plus the lines of the
+    file's earlier splits: the lines are not sorted, and a large file is numbered by as
+    many tasks as it has splits.
+    """
+    offsets = summary.select(F.col("file").alias("__file"), F.col("split").alias("__split"),
+                             (F.col("lines_before") - F.col("first") + 1).alias("__offset"))
+    placed = lines.join(offsets, (F.col("file") == F.col("__file")) & (F.col("split") == F.col("__split")))
+    return placed.withColumn("line_number", F.col("seq") + F.col("__offset")).drop("__file", "__split", "__offset", "split", "seq")
+
+
+def read_lines(spark: SparkSession, path: str, pattern: str | None = "*.jsonl.gz",
+               recursive: bool = True) -> DataFrame:
+    """Text lines with file and line number: one scan counts the lines of the splits, one reads them."""
+    lines = _text(spark, path, pattern, recursive)
+    plain = lines.withColumns({"record": F.lit(True), "bad": F.lit(False)})
+    return numbered(lines, split_summary(plain)).select("value", "file", "line_number")
+
+
+def validation(summary: DataFrame) -> DataFrame:
     """One row per file: valid or not, first bad line, number of records.
 
     Blank lines are skipped, a file without records is invalid, and the record count
     of an invalid file is that of the lines before its first bad one.
     """
-    body = lines.filter(F.trim("value") != "").withColumn("bad", _document().isNull())
-    first_bad = F.min(F.when(F.col("bad"), F.col("line_number")))
-    per_file = body.groupBy("file").agg(
-        first_bad.alias("first_bad_line"), F.count(F.lit(1)).alias("__lines"),
-        F.min("line_number").alias("__first"))
-    before = body.join(per_file.filter("first_bad_line is not null").select("file", "first_bad_line"), "file").filter(
-        F.col("line_number") < F.col("first_bad_line")).groupBy("file").agg(F.count(F.lit(1)).alias("__good"))
-    files = lines.select("file").distinct()
-    return files.join(per_file, "file", "left").join(before, "file", "left").select(
-        "file",
-        (F.col("__lines").isNotNull() & F.col("first_bad_line").isNull()).alias("is_valid"),
-        "first_bad_line",
-        F.when(F.col("first_bad_line").isNull(), F.coalesce("__lines", F.lit(0)))
-        .otherwise(F.coalesce("__good", F.lit(0))).alias("n_records"))
+    files = summary.groupBy("file").agg(
+        F.min("first_bad").alias("first_bad_line"), F.sum("records").alias("__records"),
+        F.min_by("records_ahead", "first_bad").alias("__ahead"))
+    return files.select(
+        "file", ((F.col("__records") > 0) & F.col("first_bad_line").isNull()).alias("is_valid"), "first_bad_line",
+        F.when(F.col("first_bad_line").isNull(), F.col("__records")).otherwise(F.col("__ahead")).alias("n_records"))
+
+
+def validate_files(spark: SparkSession, path: str, pattern: str | None = "*.jsonl.gz") -> DataFrame:
+    """:func:`validation` of the files below a folder, from a single scan of their text."""
+    return validation(split_summary(judged(_text(spark, path, pattern))))
+
+
+def validate_jsonl(lines: DataFrame) -> DataFrame:
+    """:func:`validation` of lines that have a file and a number."""
+    return validation(split_summary(judged(lines.select("value", "file", F.lit(0).alias("split"), F.col("line_number").alias("seq")))))
+
+
+ON_ERROR = ("skip_file", "skip_row", "keep")
 
 
 def to_landing(lines: DataFrame, on_error: str = "skip_file") -> DataFrame:
-    """Lines as landing rows: file, row number, ingest time, document.
+    """Judged lines as landing rows: file, row number, ingest time, document.
 
     ``skip_file`` drops every row of a file that holds a bad line, ``skip_row`` only
     the bad ones, ``keep`` lands them with a null document.
     """
-    parsed = lines.filter(F.trim("value") != "").withColumn("record_content", _document())
-    if on_error == "skip_row":
-        parsed = parsed.filter(F.col("record_content").isNotNull())
-    elif on_error == "skip_file":
-        bad = parsed.filter(F.col("record_content").isNull()).select(F.col("file").alias("__bad")).distinct()
-        parsed = parsed.join(bad, F.col("file") == F.col("__bad"), "left_anti")
-    elif on_error != "keep":
+    if on_error not in ON_ERROR:
         raise ValueError(f"unknown on_error {on_error!r}")
-    return parsed.select(F.col("file").alias("metadata_filename"),
-                         F.col("line_number").alias("metadata_row_number"),
-                         F.current_timestamp().alias("metadata_ingest_time"), "record_content")
+    skip_file = on_error == "skip_file"
+    summary = split_summary(lines if skip_file else lines.withColumn("bad", F.lit(False)))
+    rows = numbered(lines, summary.filter("file_bad = 0") if skip_file else summary)
+    wanted = F.col("record") & ~F.col("bad") if on_error == "skip_row" else F.col("record")
+    return rows.filter(wanted).select(
+        F.col("file").alias("metadata_filename"), F.col("line_number").alias("metadata_row_number"),
+        F.current_timestamp().alias("metadata_ingest_time"), "record_content")
 
 
 def load_raw(spark: SparkSession, path: str, on_error: str = "skip_file",
              pattern: str | None = "*.jsonl.gz") -> DataFrame:
-    """Bulk scan of JSON-lines files into landing rows."""
-    return to_landing(read_lines(spark, path, pattern), on_error)
+    """Bulk load of JSON-lines files into landing rows: one scan judges the splits, one reads the documents."""
+    return to_landing(judged(_text(spark, path, pattern)), on_error)
 
 
 def listing(spark: SparkSession, base: str) -> DataFrame:

@@ -68,16 +68,31 @@ def write_jsonl(df: DataFrame, path: str, run_date: str, force: bool = False) ->
     return True
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on any file system Spark knows."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    files, hadoop = _file_system(spark, path)
+    return files.exists(hadoop)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, hadoop = _file_system(spark, path)
+    files.mkdirs(hadoop)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what it holds; nothing happens when it does not exist."""
+    files, hadoop = _file_system(spark, path)
+    files.delete(hadoop, True)
 
 
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below a path (none when it does not exist)."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, hadoop = _file_system(spark, path)
     if not files.exists(hadoop):
         return []
     return [s.getPath().toString() for s in files.listStatus(hadoop) if s.isDirectory()]

@@ -91,40 +91,43 @@ def stg_lost_values(s: StandIns) -> DataFrame:
 # --- ingestion -------------------------------------------------------------------
 
 
-def _event_lines(s: StandIns, broken: bool) -> DataFrame:
-    """Events as JSON lines; with ``broken`` the large error events are cut off."""
+def _event_lines(s: StandIns) -> DataFrame:
+    """Events as JSON lines, dealt to FILES files per event type; the large error events of half of them are cut off."""
     text = F.to_json(F.struct(F.col("event_id").cast("string").alias("event_id"),
                               F.col("event_type").alias("event_name"), F.col("value").alias("event_value")))
-    if broken:
-        text = F.when((F.col("event_type") == "error") & (F.col("value") > 100), F.lit('{"cut')).otherwise(text)
-    return s.table("events").select(text.alias("value"), "event_type", "event_id")
+    part = F.pmod("event_id", F.lit(FILES))
+    cut = (F.col("event_type") == "error") & (F.col("value") > 100) & (part < FILES // 2)
+    return s.table("events").select(F.when(cut, F.lit('{"cut')).otherwise(text).alias("value"), "event_type",
+                                    part.alias("part"), "event_id")
 
 
 def _write_by_type(lines: DataFrame, path: str) -> None:
-    """One gzip file per event type, lines in event order."""
-    (lines.repartition("event_type").sortWithinPartitions("event_type", "event_id")
-     .select("value", "event_type").write.partitionBy("event_type").option("compression", "gzip").text(path))
+    """Gzip files of lines in event order; a frequent type is spread over its files."""
+    (lines.repartition("event_type", "part").sortWithinPartitions("event_type", "part", "event_id")
+     .select("value", "event_type", "part").write.partitionBy("event_type", "part").option("compression", "gzip").text(path))
 
 
-def _type_of(column: str):
-    return F.regexp_extract(column, r"event_type=([^/]+)/", 1)
+FILES = 8
+
+
+def _file_of(column: str):
+    return F.concat_ws("/", F.regexp_extract(column, r"event_type=([^/]+)/", 1), F.regexp_extract(column, r"part=([^/]+)/", 1))
 
 
 def ingest_jsonl(s: StandIns) -> DataFrame:
-    """Bulk load that skips the one file with cut-off lines."""
+    """Bulk load that skips the files with cut-off lines."""
     path = scratch_path(s.spark, "ingest")
-    _write_by_type(_event_lines(s, True), path)
+    _write_by_type(_event_lines(s), path)
     raw = landing.load_raw(s.spark, path, pattern="*.gz")
     staged = staging.stage("mixpanel_events", raw)
-    return staged.select(_type_of("_source_file").alias("file_type"), F.col("_row_num").alias("row_num"), "event_id",
+    return staged.select(_file_of("_source_file").alias("file"), F.col("_row_num").alias("row_num"), "event_id",
                          "event_name", "event_value")
 
 
 def ingest_validate(s: StandIns) -> DataFrame:
     path = scratch_path(s.spark, "validate")
-    _write_by_type(_event_lines(s, True), path)
-    checked = landing.validate_jsonl(landing.read_lines(s.spark, path, "*.gz"))
-    return checked.withColumn("file_type", _type_of("file"))
+    _write_by_type(_event_lines(s), path)
+    return landing.validate_files(s.spark, path, "*.gz").withColumn("file", _file_of("file"))
 
 
 def ingest_gate(s: StandIns) -> DataFrame:
@@ -164,14 +167,14 @@ def ingest_catalog(s: StandIns) -> DataFrame:
 
 
 def ingest_once(s: StandIns) -> DataFrame:
-    """File-arrival load run twice: the second run finds nothing new."""
+    """File-arrival load in micro-batches of a few files, run twice: the second run finds nothing new."""
     base, target = scratch_path(s.spark, "arrivals"), scratch_path(s.spark, "landed")
     checkpoint = scratch_path(s.spark, "load-history")
-    _write_by_type(_event_lines(s, True), base)
+    _write_by_type(_event_lines(s), base)
     for _ in range(2):
-        ingest.land_files(s.spark, base, target, checkpoint, pattern="*.gz").awaitTermination()
+        ingest.land_files(s.spark, base, target, checkpoint, pattern="*.gz", max_files_per_trigger=16).awaitTermination()
     return staging.stage("mixpanel_events", ingest.landed(s.spark, target)).select(
-        "event_id", "event_name", "event_value")
+        _file_of("_source_file").alias("file"), F.col("_row_num").alias("row_num"), "event_id", "event_name", "event_value")
 
 
 def seed(s: StandIns) -> DataFrame:
@@ -674,9 +677,10 @@ DELTA = ("(SELECT 'C' || c_custkey AS id, UPPER(c_name) AS name, c_acctbal + 1 A
 NOW = "(SELECT 'C' || c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer)"
 UPSERTED = (f"SELECT t.id, COALESCE(d.name, t.name) AS name, COALESCE(d.balance, t.balance) AS balance FROM {NOW} t LEFT "
             f"JOIN {DELTA} d ON t.id = d.id UNION ALL SELECT d.* FROM {DELTA} d WHERE d.id NOT IN (SELECT id FROM {NOW})")
-NOT_BROKEN = ("event_type NOT IN (SELECT event_type FROM events WHERE event_type = 'error' AND value > 100)")
-NUMBERED = ("(SELECT *, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY event_id) AS rn, (event_type = 'error' AND "
-            "value > 100) AS bad FROM events)")
+NUMBERED = (f"(SELECT *, event_type || '/' || event_id % {FILES} AS file, ROW_NUMBER() OVER (PARTITION BY event_type, event_id % {FILES} "
+            f"ORDER BY event_id) AS rn, (event_type = 'error' AND value > 100 AND event_id % {FILES} < {FILES // 2}) AS bad FROM events)")
+LOADED = (f"SELECT file, rn AS row_num, event_id, event_type AS event_name, ROUND(CAST(value AS DECIMAL(18,2))) AS event_value FROM {NUMBERED} "
+          "QUALIFY NOT BOOL_OR(bad) OVER (PARTITION BY file)")
 _date_parts = ("day", "week", "month", "quarter", "year")
 _clock_parts = ("hour", "minute", "second")
 
@@ -714,14 +718,11 @@ DATA_QUERIES: dict[str, Query] = {
         "event_id:i value_whole:f0 value_pence:f2 k:i seen_at:t no_date:d"),
     "stg_lost_values": paired(stg_lost_values, "SELECT 0 AS event_id, COUNT(*) AS event_value FROM events WHERE "
                               "event_type = 'error'", "event_id:i event_value:i"),
-    "ingest_jsonl": paired(
-        ingest_jsonl, f"SELECT event_type AS file_type, rn AS row_num, event_id, event_type AS event_name, "
-        f"ROUND(CAST(value AS DECIMAL(18,2))) AS event_value FROM {NUMBERED} WHERE {NOT_BROKEN}",
-        f"file_type:s row_num:i {EVENTS}"),
+    "ingest_jsonl": paired(ingest_jsonl, LOADED, f"file:s row_num:i {EVENTS}"),
     "ingest_validate": paired(
-        ingest_validate, f"SELECT event_type AS file_type, NOT BOOL_OR(bad) AS is_valid, MIN(CASE WHEN bad THEN rn END) "
+        ingest_validate, f"SELECT file, NOT BOOL_OR(bad) AS is_valid, MIN(CASE WHEN bad THEN rn END) "
         f"AS first_bad_line, COALESCE(MIN(CASE WHEN bad THEN rn END) - 1, COUNT(*)) AS n_records FROM {NUMBERED} "
-        "GROUP BY 1", "file_type:s is_valid:b first_bad_line:f0 n_records:i"),
+        "GROUP BY 1", "file:s is_valid:b first_bad_line:f0 n_records:i"),
     "ingest_gate": paired(
         ingest_gate, "SELECT 'acme' AS client, 'mixpanel' AS source, 'events' AS \"table\", STRFTIME(day, '%Y-%m-%d') AS "
         "run_date, 'events.jsonl.gz' AS file FROM (SELECT CAST(ts AS DATE) AS day, COUNT(*) FILTER (event_type = "
@@ -736,9 +737,7 @@ DATA_QUERIES: dict[str, Query] = {
     "ingest_catalog": paired(
         ingest_catalog, "SELECT refund_id, charge_id, created_at, amount_gbp, reason, 'ACME_DEV_RAW' AS database, FALSE AS "
         "rewritten FROM refunds", "refund_id:s charge_id:s created_at:t amount_gbp:f2 reason:s database:s rewritten:b"),
-    "ingest_once": paired(
-        ingest_once, f"SELECT event_id, event_type AS event_name, ROUND(CAST(value AS DECIMAL(18,2))) AS event_value FROM "
-        f"events WHERE {NOT_BROKEN}", EVENTS),
+    "ingest_once": paired(ingest_once, LOADED, f"file:s row_num:i {EVENTS}"),
     "seed": paired(seed, "SELECT c_custkey, c_name, c_acctbal FROM customer", "c_custkey:i c_name:s c_acctbal:f2"),
     "sinks": paired(sinks, "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_orderpriority = '1-URGENT'",
                     "o_orderkey:i o_custkey:i o_orderpriority:s"),

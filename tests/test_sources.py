@@ -72,6 +72,36 @@ def test_line_numbers_run_through_the_splits_of_a_file(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def scans(df, kind):
+    return df._jdf.queryExecution().executedPlan().toString().count(f"FileScan {kind}")
+
+
+def test_text_is_read_once_to_judge_and_once_to_load(spark, lake):
+    assert scans(landing.validate_files(spark, str(lake)), "text") == 1
+    assert scans(landing.load_raw(spark, str(lake)), "text") == 2
+    assert scans(landing.read_lines(spark, str(lake)), "text") == 2
+
+
+def test_validation_counts_records_before_a_bad_line_over_chunks_and_splits(spark, tmp_path, rows):
+    lines = ["" if i % 7 == 3 else json.dumps({"n": i, "pad": "x" * 30}) for i in range(5000)]
+    lines[4321] = lines[4800] = '{"cut'
+    (tmp_path / "big.jsonl").write_text("\n".join(lines) + "\n\n \n")
+    (tmp_path / "good.jsonl").write_text("\n".join(line for line in lines if "cut" not in line))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (old, "30000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            checked = landing.validate_files(spark, str(tmp_path), "*.jsonl").withColumn("name", F.element_at(F.split("file", "/"), -1))
+            want = [("big.jsonl", False, 4322, sum(line != "" for line in lines[:4321])),
+                    ("good.jsonl", True, None, sum(line not in ("", '{"cut') for line in lines))]
+            assert rows(checked, "name", "is_valid", "first_bad_line", "n_records") == sorted(want, key=repr)
+            loaded = landing.load_raw(spark, str(tmp_path), "skip_row", "*.jsonl").filter("metadata_filename like '%big.jsonl'")
+            numbers = [r[0] for r in loaded.select("metadata_row_number").collect()]
+            assert sorted(numbers) == [i + 1 for i, line in enumerate(lines) if line not in ("", '{"cut')]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_only_marked_batches_are_promoted(spark, lake, rows):
     files = landing.with_layout(landing.listing(spark, str(lake)))
     promoted = landing.promote_complete_batches(files)
@@ -194,12 +224,13 @@ def test_files_are_landed_once_and_whole(spark, lake, tmp_path, rows):
 
     def load():
         ingest.land_files(spark, str(lake / "clients"), target, state).awaitTermination()
-        return rows(staging.stage("stripe_refunds", ingest.landed(spark, target)), "refund_id")
+        assert [f.name for f in ingest.landed(spark, target).schema] == RAW_SCHEMA.fieldNames()
+        return rows(staging.stage("stripe_refunds", ingest.landed(spark, target)), "refund_id", "_row_num")
 
-    assert load() == [("r1",), ("r2",), ("r5",)]
-    put(lake / "clients/acme/stripe/refunds/run_date=2024-01-04", "next.jsonl.gz", '{"refund_id":"r6"}')
-    assert load() == [("r1",), ("r2",), ("r5",), ("r6",)]
-    assert load() == [("r1",), ("r2",), ("r5",), ("r6",)]
+    assert load() == [("r1", 1), ("r2", 3), ("r5", 1)]
+    put(lake / "clients/acme/stripe/refunds/run_date=2024-01-04", "next.jsonl.gz", "", '{"refund_id":"r6"}', '{"refund_id":"r7"}')
+    assert load() == [("r1", 1), ("r2", 3), ("r5", 1), ("r6", 2), ("r7", 3)]
+    assert load() == [("r1", 1), ("r2", 3), ("r5", 1), ("r6", 2), ("r7", 3)]
 
 
 EVENTS = ("master_customer_id string, event_id string, event_name string, user_identifier string, timestamp timestamp")
