@@ -1,13 +1,12 @@
 """Incremental writes as functions ``(target, source) -> new target``.
 
-Files cannot be changed in place, so each function returns the rows of the next
-version and :func:`run_incremental` commits them beside the current one.
+Each function returns the new rows of the part of a table that it is given;
+:func:`run_incremental` gives it the touched buckets and replaces only these.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -191,20 +190,6 @@ def is_incremental(exists: bool, full_refresh: bool = False) -> bool:
     return exists and not full_refresh
 
 
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """Folder of the newest completed version of a table, or None before its first run."""
-    from ..sources.tables import child_folders, path_exists
-
-    done = [v for v in child_folders(spark, path) if v.rsplit("/", 1)[-1].startswith("v=")
-            and path_exists(spark, f"{v}/_SUCCESS")]
-    return max(done, default=None)
-
-
-def read_version(spark: SparkSession, path: str) -> DataFrame | None:
-    version = current_version(spark, path)
-    return None if version is None else spark.read.parquet(version)
-
-
 def merge_add(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the source's other columns to those of the target's row with the same keys; new keys become rows."""
     totals = [c for c in target.columns if c not in keys]
@@ -212,35 +197,30 @@ def merge_add(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Data
     return summed.select(*(F.col(f.name).cast(f.dataType) for f in target.schema))
 
 
-def commit_version(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, tag: str = "") -> DataFrame:
-    """Write a new version folder; it becomes current when its completion marker appears.
-
-    A ``tag`` ends the folder's name, so that a version tells what it was made from.
-
-    The folder being read is never overwritten, and a failed job leaves the old version
-    current.
-    """
-    spark = df.sparkSession
-    version = f"v={dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}{tag}"
-    folder = f"{path.rstrip('/')}/{version}"
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(folder)
-    return spark.read.parquet(folder)
-
-
 def run_incremental(spark: SparkSession, path: str, build: Callable[[bool], DataFrame],
-                    strategy: Callable[[DataFrame, DataFrame], DataFrame], full_refresh: bool = False,
-                    on_schema_change: str = "ignore") -> DataFrame:
-    """Build the table on the first run or a full refresh, else apply the strategy to its current version.
-
-    ``build`` is told whether the run is incremental, so it can read new rows only.
+                    strategy: Callable[[DataFrame, DataFrame], DataFrame], keys: str | Sequence[str] | None = None,
+                    full_refresh: bool = False, on_schema_change: str = "ignore", buckets: int = 64) -> DataFrame:
+    """Build the table on the first run or a full refresh, else apply the strategy to its stored rows.
+
+    ``build`` is told whether the run is incremental, so it can read new rows only. A table
+    with ``keys`` is dealt to buckets by them, and a run rewrites only the buckets of its
+    rows; the strategy then gets the stored rows of these. Without keys, and when its
+    schema changes, the whole table is rewritten.
     """
-    current = read_version(spark, path)
+    from ..sources import partitions
+
+    keys = _keys(keys) if keys else []
+    current = partitions.read_table(spark, path)
     incremental = is_incremental(current is not None, full_refresh)
     source = build(incremental)
-    if not incremental:
-        return commit_version(source, path)
-    source, current = reconcile_schema(source, current, on_schema_change)
-    return commit_version(strategy(current, source), path)
+    rows = source
+    if incremental:
+        source, current_now = reconcile_schema(source, current, on_schema_change)
+        if keys and current_now.schema == current.schema:
+            partitions.merge_by_key(source, path, keys, strategy)
+            return partitions.read_table(spark, path)
+        rows = strategy(current_now, source)
+    if keys:
+        rows = partitions.with_bucket(rows, keys, buckets)
+    partitions.replace(rows, path, partitions.bucket_column(rows) if keys else None, whole=True)
+    return partitions.read_table(spark, path)

@@ -13,7 +13,7 @@ from ..operators import incremental, quality, relational, snapshots
 from ..operators.models import Dag
 from ..operators.session import scratch_path
 from ..schemas import STAGING
-from ..sources import landing, staging
+from ..sources import landing, partitions, staging
 from ..sources.catalog import Catalog, load_seed
 from ..sources.tables import (clone_table, export_segment, register_view, write_jsonl, write_path, write_table)
 from ..streaming import ingest, refresh, totals
@@ -461,7 +461,7 @@ def schema_retype(s: StandIns) -> DataFrame:
 
 
 def incremental_runs(s: StandIns) -> DataFrame:
-    """First build, then two equal upserts, through committed versions."""
+    """First build, then two equal upserts, which rewrite the buckets of their keys."""
     path = scratch_path(s.spark, "accounts")
 
     def build(is_increment: bool) -> DataFrame:
@@ -469,7 +469,7 @@ def incremental_runs(s: StandIns) -> DataFrame:
 
     for _ in range(3):
         result = incremental.run_incremental(
-            s.spark, path, build, lambda current, source: incremental.merge_upsert(current, source, "id"))
+            s.spark, path, build, lambda current, source: incremental.merge_upsert(current, source, "id"), keys="id")
     return result
 
 
@@ -628,11 +628,12 @@ def _stream_events(s: StandIns) -> DataFrame:
 
 def stream_daily_totals(s: StandIns) -> DataFrame:
     path, checkpoint = scratch_path(s.spark, "daily"), scratch_path(s.spark, "daily-state")
+    totals.keep_state_on_disk(s.spark)
     parts = totals.stream_user_days(_stream_events(s), "60 days")
-    query = refresh.maintain(parts, path, checkpoint, lambda current, rows: incremental.merge_upsert(
+    query = refresh.maintain(parts, path, checkpoint, totals.PART_KEYS, lambda current, rows: incremental.merge_upsert(
         current, rows, totals.PART_KEYS), output_mode="update")
     query.awaitTermination()
-    return totals.totals_of(incremental.read_version(s.spark, path))
+    return totals.totals_of(partitions.read_table(s.spark, path))
 
 
 def _event_batches(s: StandIns, columns: list[str]) -> DataFrame:
@@ -653,15 +654,15 @@ def stream_maintain(s: StandIns) -> DataFrame:
                                            F.sum(F.col("value").cast("decimal(18,2)")).alias("value"))
 
     for _ in range(2):  # the second run has no new input
-        refresh.maintain(events, path, checkpoint, lambda current, rows: incremental.merge_add(current, rows, ["user_id"]),
+        refresh.maintain(events, path, checkpoint, ["user_id"], lambda current, rows: incremental.merge_add(current, rows, ["user_id"]),
                          per_user).awaitTermination()
-    return incremental.read_version(s.spark, path)
+    return partitions.read_table(s.spark, path)
 
 
 def stream_microbatch(s: StandIns) -> DataFrame:
-    """Days that come in several batches, and all of it twice."""
+    """Days that come in several batches, and all of it twice; every tenth event has no id."""
     path = scratch_path(s.spark, "days")
-    events = _event_batches(s, ["event_id", "ts", "value"])
+    events = _event_batches(s, ["event_id", "ts", "value"]).withColumn("event_id", F.when(F.col("event_id") % 10 != 0, F.col("event_id")))
     for _ in range(2):
         refresh.replace_days(events, path, scratch_path(s.spark, "days-state"), "ts", ["event_id"]).awaitTermination()
     return s.spark.read.parquet(path)
@@ -907,6 +908,6 @@ DATA_QUERIES: dict[str, Query] = {
         stream_maintain, "SELECT user_id, COUNT(*) AS n, SUM(CAST(value AS DECIMAL(18,2))) AS value FROM events GROUP BY 1",
         "user_id:i n:i value:f2"),
     "stream_microbatch": paired(
-        stream_microbatch, "SELECT event_id, ts, value, CAST(ts AS DATE) AS event_day FROM events",
-        "event_id:i ts:t value:f2 event_day:d"),
+        stream_microbatch, "SELECT NULLIF(event_id, CASE WHEN event_id % 10 = 0 THEN event_id END) AS event_id, ts, value, CAST(ts AS DATE) "
+        "AS event_day FROM events", "event_id:f0 ts:t value:f2 event_day:d"),
 }

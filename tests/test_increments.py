@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import incremental, snapshots
+from ledgerloom.sources import partitions
 
 ROW = "id string, name string, v int"
 
@@ -93,7 +94,11 @@ def test_schema_policies(spark):
     assert [f.simpleString() for f in dst.schema] == ["id:string", "v:bigint", "new:string"]
 
 
-def test_versioned_runs(spark, rows, tmp_path):
+def upsert(current, source):
+    return incremental.merge_upsert(current, source, "id")
+
+
+def test_runs_build_merge_and_refresh(spark, rows, tmp_path):
     path = str(tmp_path / "t")
     seen = []
 
@@ -101,15 +106,62 @@ def test_versioned_runs(spark, rows, tmp_path):
         seen.append(is_increment)
         return spark.createDataFrame([("a", "x", len(seen))], ROW)
 
-    upsert = lambda current, source: incremental.merge_upsert(current, source, "id")
     for refresh in (False, False, True):
-        result = incremental.run_incremental(spark, path, build, upsert, full_refresh=refresh)
+        result = incremental.run_incremental(spark, path, build, upsert, "id", full_refresh=refresh)
     assert seen == [False, True, False]
-    assert rows(result) == [("a", "x", 3)]
-    assert rows(incremental.read_version(spark, path)) == [("a", "x", 3)]
-    (tmp_path / "t" / "v=99999999999999999999-unfinished").mkdir()  # a failed write has no marker
-    assert rows(incremental.read_version(spark, path)) == [("a", "x", 3)]
-    assert incremental.read_version(spark, str(tmp_path / "none")) is None
+    assert rows(result) == rows(partitions.read_table(spark, path)) == [("a", "x", 3)]
+    assert partitions.read_table(spark, str(tmp_path / "none")) is None
+    whole = str(tmp_path / "u")
+    for _ in range(2):
+        result = incremental.run_incremental(spark, whole, lambda _: spark.createDataFrame([("a", "x", 1)], ROW), incremental.append)
+    assert rows(result) == [("a", "x", 1)] * 2
+
+
+def test_a_merge_leaves_the_files_of_other_buckets(spark, rows, tmp_path):
+    path = tmp_path / "t"
+    many = spark.range(1000).selectExpr("concat('k', id) as id", "'old' as name", "cast(id as int) as n")
+    few = spark.createDataFrame([("k7", "new", 7), ("k900", "new", 900), ("more", "new", 1)], many.schema)
+    incremental.run_incremental(spark, str(path), lambda _: many, upsert, "id", buckets=16)
+    files = lambda: {p: p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+    before = files()
+    result = incremental.run_incremental(spark, str(path), lambda _: few, upsert, "id", buckets=99)
+    after = files()
+    touched = {f"bucket_of_16={r[0]}" for r in partitions.with_bucket(few, ["id"], 16).select("bucket_of_16").collect()}
+    assert 1 <= len(touched) <= 3 and len({p.parent.name for p in after}) == 16
+    assert {p.parent.name for p in before if p not in after} == touched  # replaced files are gone
+    assert all(after[p] == at for p, at in before.items() if p.parent.name not in touched)
+    assert result.count() == 1001 and rows(result.filter("name = 'new'")) == [("k7", "new", 7), ("k900", "new", 900), ("more", "new", 1)]
+
+
+def test_a_merge_reads_only_touched_buckets(spark, tmp_path):
+    path = str(tmp_path / "t")
+    many = spark.range(100).selectExpr("concat('k', id) as id", "'old' as name", "cast(id as int) as n")
+    partitions.merge_by_key(many, path, ["id"], upsert, 8)
+    part = partitions.within(partitions.read_parts(spark, path), "bucket_of_8", [3])
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket_of_8" in plan and "= 3)]" in plan
+
+
+def test_a_change_that_was_cut_off_is_finished(spark, rows, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    one, two = (spark.createDataFrame([("a", "x", n), (f"b{n}", "x", n)], ROW) for n in (1, 2))
+    add = lambda current, source: incremental.merge_add(current, source, ["id", "name"])
+    partitions.merge_by_key(one, path, ["id"], add, 4, ("s", 0))
+    monkeypatch.setattr(partitions, "_finish", lambda *_: None)  # the run ends before the rows are put in place
+    partitions.merge_by_key(two, path, ["id"], add, 4, ("s", 1))
+    monkeypatch.undo()
+    (tmp_path / "t.pending" / "bucket_of_4~parts~other~3").mkdir()  # a write without its marker counts for nothing
+    assert partitions.applied(spark, path, "s") == 1 and partitions.applied(spark, path, "other") == -1
+    assert rows(partitions.read_table(spark, path)) == [("a", "x", 3), ("b1", "x", 1), ("b2", "x", 2)]
+    assert not (tmp_path / "t.pending").exists()
+
+
+def test_a_new_column_rewrites_the_table(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    old, new = spark.createDataFrame([("a", 1), ("b", 1)], "id string, n int"), spark.createDataFrame([("b", 2, "x")], "id string, n int, more string")
+    incremental.run_incremental(spark, path, lambda _: old, upsert, "id")
+    result = incremental.run_incremental(spark, path, lambda _: new, upsert, "id", on_schema_change="append_new_columns")
+    assert rows(result, "id", "n", "more") == [("a", 1, None), ("b", 2, "x")]
 
 
 # --- snapshots -------------------------------------------------------------------

@@ -1,3 +1,4 @@
+import datetime as dt
 import gzip
 import json
 
@@ -8,7 +9,7 @@ from pyspark.sql import types as T
 from ledgerloom.operators import incremental, quality
 from ledgerloom.operators.session import cut_lineage, ensure_checkpoint_dir
 from ledgerloom.schemas import RAW_SCHEMA, SOURCE_GROUPS, STAGING, staged_schema, tables_of
-from ledgerloom.sources import catalog, landing, staging, tables
+from ledgerloom.sources import catalog, landing, partitions, staging, tables
 from ledgerloom.streaming import ingest, refresh, totals
 
 
@@ -264,14 +265,57 @@ def test_replace_days_keeps_earlier_rows_of_a_day(spark, tmp_path, rows):
     assert rows(spark.read.parquet(path), "id", "v") == [(1, "a"), (2, "c"), (9, "b")]
 
 
+def test_rows_without_keys_stay_over_replays(spark, tmp_path, rows):
+    path, source = str(tmp_path / "days"), str(tmp_path / "in")
+    schema = "id int, at timestamp_ntz, v string"
+    values = [(None, "2024-01-01", "a"), (None, "2024-01-01", "b"), (1, "2024-01-01", "c"), (None, "2024-01-02", "b"), (None, "2024-01-02", "b")]
+    frame = spark.createDataFrame(values, "id int, at string, v string").selectExpr("id", "cast(at as timestamp_ntz) as at", "v")
+    frame.write.parquet(source)
+    for n in range(4):
+        refresh.replace_days(spark.readStream.schema(schema).parquet(source), path, str(tmp_path / f"state{n}"), "at", ["id"]).awaitTermination()
+        assert rows(spark.read.parquet(path), "id", "v") == sorted(((i, v) for i, _, v in values), key=repr)
+
+
+def test_the_latest_row_of_a_key_stays_and_other_days_are_not_read(spark, tmp_path, rows):
+    path = str(tmp_path / "days")
+    schema = "id int, at timestamp_ntz, v string"
+    for n, values in enumerate([[(1, "2024-01-01 10:00:00", "late"), (1, "2024-01-01 09:00:00", "early"), (5, "2024-01-02 00:00:00", "x")],
+                                [(1, "2024-01-01 08:00:00", "older"), (2, "2024-01-01 01:00:00", "new")]]):
+        source = str(tmp_path / f"in{n}")
+        spark.createDataFrame(values, "id int, at string, v string").selectExpr("id", "cast(at as timestamp_ntz) as at", "v").write.parquet(source)
+        other = {p: p.stat().st_mtime_ns for p in (tmp_path / "days").rglob("event_day=2024-01-02/*.parquet")}
+        refresh.replace_days(spark.readStream.schema(schema).parquet(source), path, str(tmp_path / f"state{n}"), "at", ["id"]).awaitTermination()
+    assert rows(spark.read.parquet(path), "id", "v") == [(1, "late"), (2, "new"), (5, "x")]
+    assert other and all(p.stat().st_mtime_ns == at for p, at in other.items())
+    stored = partitions.read_parts(spark, path)
+    plan = partitions.within(stored, "event_day", [dt.date(2024, 1, 1)])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_day" in plan and "= 2024-01-01)]" in plan
+
+
+def test_late_events_are_counted(spark, tmp_path):
+    totals.keep_state_on_disk(spark)
+    source, seen = str(tmp_path / "in"), []
+    row = lambda i, day: ("c", f"e{i}", "view", "u", dt.datetime(2024, 1, day))
+    for values in ([row(1, 10), row(2, 9)], [row(3, 12)], [row(4, 1), row(5, 2), row(6, 12)], [row(7, 13), row(8, 3)]):
+        spark.createDataFrame(values, EVENTS).coalesce(1).write.mode("append").parquet(source)
+        parts = totals.stream_user_days(spark.readStream.schema(EVENTS).parquet(source), "1 day")
+        query = refresh.maintain(parts, str(tmp_path / "table"), str(tmp_path / "state"), totals.PART_KEYS,
+                                 lambda current, new: incremental.merge_upsert(current, new, totals.PART_KEYS), output_mode="update")
+        query.awaitTermination()
+        late = totals.late_events(spark, query).agg(F.sum("late")).first()[0]
+        counted = partitions.read_table(spark, str(tmp_path / "table")).agg(F.sum("n_events")).first()[0]
+        seen.append((late, counted))
+    assert seen == [(0, 2), (0, 3), (2, 4), (1, 5)]
+
+
 def test_maintain_adds_batches_and_skips_a_replayed_one(spark, tmp_path, rows):
     source, path, state = str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "state")
     total = lambda df: df.groupBy("k").agg(F.sum("n").alias("n"))
 
     def run():
         stream = spark.readStream.schema("k string, n long").option("maxFilesPerTrigger", 1).parquet(source)
-        refresh.maintain(stream, path, state, lambda current, batch: incremental.merge_add(current, batch, ["k"]), total).awaitTermination()
-        return rows(incremental.read_version(spark, path))
+        refresh.maintain(stream, path, state, ["k"], lambda current, batch: incremental.merge_add(current, batch, ["k"]), total).awaitTermination()
+        return rows(partitions.read_table(spark, path))
 
     for values in ([("a", 2), ("b", 1)], [("a", 1)], [("a", 4), ("c", 1)]):
         spark.createDataFrame(values, "k string, n long").coalesce(1).write.mode("append").parquet(source)
@@ -279,7 +323,9 @@ def test_maintain_adds_batches_and_skips_a_replayed_one(spark, tmp_path, rows):
     last = max(int(p.name) for p in (tmp_path / "state" / "commits").iterdir() if p.name.isdigit())
     for name in (str(last), f".{last}.crc"):  # as if the run had ended after the table's commit and before the stream's
         (tmp_path / "state" / "commits" / name).unlink(missing_ok=True)
-    assert run() == [("a", 7), ("b", 1), ("c", 1)]
+    # Someone else changes the table before the batch is retried.
+    partitions.merge_by_key(spark.createDataFrame([("d", 1)], "k string, n long"), path, ["k"], lambda current, new: incremental.merge_add(current, new, ["k"]))
+    assert run() == [("a", 7), ("b", 1), ("c", 1), ("d", 1)]
 
 
 def test_quality_gate(spark):
