@@ -12,6 +12,7 @@ from ..functions.dates import as_date, date_lit, day_diff, month_diff, trunc_dat
 from ..functions.keys import surrogate_key
 from ..functions.scalars import is_true, least_or_null, money, ratio, zero_if_null
 from ..operators.relational import attribute, lookup, top1, with_calendar_total
+from ..operators.session import cut_lineage
 from .params import THRESHOLDS, Thresholds
 
 CUSTOMER = "master_customer_id"
@@ -170,8 +171,9 @@ def customer_profitability(revenue: DataFrame, cost: DataFrame, idmap: DataFrame
     """Revenue, direct cost, pooled engineering share and margin per customer and month.
 
     Both monthly inputs are united and aggregated by their common key, which replaces
-    the spine and its outer joins. Pool and revenue totals per month are small,
-    calendar-bounded tables. A month without cost rows of its own sees no pool.
+    the spine and its outer joins. The customer-months are written once: the rows and the
+    totals per month, a small, calendar-bounded table, come from the same pass over the
+    ledgers. A month without cost rows of its own sees no pool.
     """
     cm = cost_monthly(cost)
     rm = revenue_monthly(revenue)
@@ -179,9 +181,9 @@ def customer_profitability(revenue: DataFrame, cost: DataFrame, idmap: DataFrame
     month = "profitability_month"
     both = rm.withColumn("__has_cost", F.lit(0)).unionByName(
         cm.withColumn("__has_cost", F.lit(1)), allowMissingColumns=True)
-    merged = both.groupBy(CUSTOMER, month).agg(
+    merged = cut_lineage(both.groupBy(CUSTOMER, month).agg(
         zero_if_null(F.max("gaap_recognized_revenue_gbp")).alias("gaap_recognized_revenue_gbp"),
-        *[zero_if_null(F.max(a)).alias(a) for a in amounts], F.max("__has_cost").alias("__has_cost"))
+        *[zero_if_null(F.max(a)).alias(a) for a in amounts], F.max("__has_cost").alias("__has_cost")))
     totals = merged.groupBy(F.col(month).alias("__month")).agg(
         F.sum("gaap_recognized_revenue_gbp").alias("__month_revenue"),
         F.sum("shared_engineering_cost_customer_month_gbp").alias("__month_pool"))
@@ -267,9 +269,9 @@ def lifetime_cost(cost: DataFrame) -> DataFrame:
         sums["shared"].alias("total_engineering_shared_cost_gbp"), F.sum("hours").alias("total_hours"))
 
 
-def shared_pool(cost: DataFrame) -> DataFrame:
-    """One row: shared engineering cost over the whole ledger."""
-    return cost.agg(sum_where(is_true(is_shared()), "cost_gbp").alias("shared_engineering_pool_gbp"))
+def shared_pool(costs: DataFrame) -> DataFrame:
+    """One row: shared engineering cost over the whole ledger, from :func:`lifetime_cost`."""
+    return costs.agg(F.sum("total_engineering_shared_cost_gbp").alias("shared_engineering_pool_gbp"))
 
 
 def acquisition(opportunities: DataFrame, idmap: DataFrame) -> DataFrame:
@@ -292,11 +294,12 @@ def ltv_calculation(idmap: DataFrame, revenue: DataFrame, cost: DataFrame, snaps
                     thresholds: Thresholds = THRESHOLDS) -> DataFrame:
     """Revenue, cost, pool share, margins and monthly averages per customer.
 
-    All inputs are aggregated by customer first, so the joins reuse that partitioning.
+    All inputs are aggregated by customer first. Costs and MRR per customer are written
+    once: their sums over all customers come from these rows, not from the ledgers again.
     """
     customers = tenure(idmap, as_of)
-    costs = lifetime_cost(cost)
-    mrr = mrr_metrics(commercial_mrr_monthly(snapshots), as_of)
+    costs = cut_lineage(lifetime_cost(cost))
+    mrr = cut_lineage(mrr_metrics(commercial_mrr_monthly(snapshots), as_of))
     joined = (customers.join(lifetime_revenue(revenue), CUSTOMER, "left").join(mrr, CUSTOMER, "left")
               .join(costs, CUSTOMER, "left").join(acquisition(opportunities, idmap), CUSTOMER, "left"))
     amounts = ["gaap_total_revenue_gbp", "gaap_total_recognized_revenue_gbp", "gaap_total_deferred_revenue_gbp",
@@ -305,8 +308,7 @@ def ltv_calculation(idmap: DataFrame, revenue: DataFrame, cost: DataFrame, snaps
                "total_engineering_shared_cost_gbp", "total_hours"]
     filled = joined.withColumns({"__has_revenue": F.col("gaap_total_revenue_gbp") > 0,
                                  **{a: zero_if_null(a) for a in amounts}})
-    # The pool comes straight from the ledger: one row with partial sums, not a second pass over the joins.
-    totals = shared_pool(cost).crossJoin(F.broadcast(
+    totals = shared_pool(costs).crossJoin(F.broadcast(
         mrr.agg(F.sum("commercial_current_mrr_gbp").alias("__all_mrr"))))
     rows = filled.crossJoin(F.broadcast(totals))  # one row
     mrr, revenue_total = F.col("commercial_current_mrr_gbp"), F.col("gaap_total_revenue_gbp").cast("double")

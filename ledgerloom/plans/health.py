@@ -42,13 +42,26 @@ def mrr_trend(monthly: DataFrame, as_of: str | dt.date) -> DataFrame:
 
 
 def gaap_trend(revenue: DataFrame, as_of: str | dt.date) -> DataFrame:
-    """Recognized revenue of this and the previous month."""
+    """Recognized revenue of this and the previous month; zero for customers that have older revenue only.
+
+    The amounts come from the ledger rows of these two months, the customers from two
+    columns of all.
+    """
     first = as_date(as_of).replace(day=1)
-    month = F.col("revenue_month")
-    return revenue.filter(is_recognized()).groupBy(CUSTOMER).agg(
+    before, month = add_months_py(first, -1), F.col("revenue_month")
+    recognized = revenue.filter(is_recognized())
+    recent = recognized.filter(F.col("revenue_date").between(date_lit(before), F.last_day(date_lit(first))))
+    sums = recent.groupBy(CUSTOMER).agg(
         sum_where(month == date_lit(first), "amount_gbp").alias("gaap_recognized_current_month_gbp"),
-        sum_where(month == date_lit(add_months_py(first, -1)), "amount_gbp").alias(
-            "gaap_recognized_prev_month_gbp"))
+        sum_where(month == date_lit(before), "amount_gbp").alias("gaap_recognized_prev_month_gbp"))
+    return _for_everyone(sums, recognized, ["gaap_recognized_current_month_gbp", "gaap_recognized_prev_month_gbp"])
+
+
+def _for_everyone(measures: DataFrame, rows: DataFrame, zero: list[str]) -> DataFrame:
+    """Measures of the customers that have any, zeros for the others of ``rows``."""
+    names = [c for c in measures.columns if c != CUSTOMER]
+    both = rows.select(CUSTOMER).distinct().unionByName(measures, allowMissingColumns=True)
+    return both.groupBy(CUSTOMER).agg(*[(zero_if_null(F.max(c)) if c in zero else F.max(c)).alias(c) for c in names])
 
 
 def _owned_invoices(invoices: DataFrame, idmap: DataFrame) -> DataFrame:
@@ -99,6 +112,7 @@ def support_trend(chain: DataFrame, as_of: str | dt.date) -> DataFrame:
     """Tickets of the last and previous 30 days, high severity, resolution days and cost.
 
     A ticket repeats on each of its issues: counts are distinct, cost is summed per row.
+    Only tickets of the last 60 days join their work; older ones only name their customers.
     """
     today = as_date(as_of)
 
@@ -110,16 +124,17 @@ def support_trend(chain: DataFrame, as_of: str | dt.date) -> DataFrame:
     previous = (created >= days_ago(60)) & (created < days_ago(30))
     high = F.col("ticket_severity").isin("Critical", "High") & last
     resolution = F.when(last, F.col("resolution_time_days"))
-    per_ticket = chain.groupBy(CUSTOMER, "zendesk_ticket_id").agg(
+    per_ticket = chain.filter(created >= days_ago(60)).groupBy(CUSTOMER, "zendesk_ticket_id").agg(
         F.bool_or(last).alias("last"), F.bool_or(previous).alias("previous"), F.bool_or(high).alias("high"),
         F.sum(resolution).alias("days"), F.count(resolution).alias("resolved"),
         sum_where(last, "total_cost_gbp").alias("cost"))
-    return per_ticket.groupBy(CUSTOMER).agg(
+    trend = per_ticket.groupBy(CUSTOMER).agg(
         _count_known("last", "zendesk_ticket_id").alias("tickets_last_30d"),
         _count_known("previous", "zendesk_ticket_id").alias("tickets_prev_30d"),
         _count_known("high", "zendesk_ticket_id").alias("high_severity_tickets_30d"),
         ratio(F.sum("days"), F.sum("resolved")).alias("avg_resolution_days_30d"),
         F.sum("cost").alias("total_support_cost_30d"))
+    return _for_everyone(trend, chain, ["tickets_last_30d", "tickets_prev_30d", "high_severity_tickets_30d", "total_support_cost_30d"])
 
 
 def usage_trend(events: DataFrame, as_of: str | dt.date, users: DataFrame | None = None) -> DataFrame:

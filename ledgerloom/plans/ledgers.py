@@ -199,11 +199,20 @@ def rate_lit(value: float) -> Column:
     return F.lit(str(value)).cast("decimal(10,2)")
 
 
-def issue_customer(issues: DataFrame, idmap: DataFrame, issue_key: str = "jira_account_key") -> DataFrame:
-    """Customer of each issue. ``issue_key`` is the identity column the issue's account id is matched to."""
-    keyed = issues.filter(F.col("issue_id").isNotNull()).select("issue_id", "account_id")
-    return attribute(keyed, idmap.select(F.col(issue_key).alias("__key"), "master_customer_id"),
-                     "account_id", "__key").select("issue_id", "master_customer_id")
+def owned_issues(issues: DataFrame, idmap: DataFrame, issue_key: str = "jira_account_key") -> DataFrame:
+    """Attributed issues, with what the cost ledger reads of them.
+
+    ``issue_key`` is the identity column the issue's account id is matched to. Both the
+    engineering costs and the owners of delivery work come from these rows: write them
+    once where both are wanted.
+    """
+    rows = attribute(issues, idmap.select(F.col(issue_key).alias("__key"), "master_customer_id"), "account_id", "__key")
+    return rows.select("issue_id", "master_customer_id", "created_at", "time_spent_hours", "issue_type", "zendesk_ticket_id", "summary")
+
+
+def issue_customer(owned: DataFrame) -> DataFrame:
+    """Customer of each issue, from :func:`owned_issues`."""
+    return owned.filter(F.col("issue_id").isNotNull()).select("issue_id", "master_customer_id")
 
 
 def delivery_costs(time_entries: DataFrame, projects: DataFrame, idmap: DataFrame,
@@ -268,13 +277,10 @@ def support_costs(time_entries: DataFrame, tickets: DataFrame, idmap: DataFrame,
         source_system="ZENDESK"))
 
 
-def engineering_costs(issues: DataFrame, idmap: DataFrame, rates: Rates = RATES,
-                      issue_key: str = "jira_account_key") -> DataFrame:
-    """Engineering work: issue hours x the engineering rate; attributed issues only."""
-    rows = attribute(issues, idmap.select(F.col(issue_key).alias("__key"), "master_customer_id"),
-                     "account_id", "__key")
+def engineering_costs(owned: DataFrame, rates: Rates = RATES) -> DataFrame:
+    """Engineering work: hours of :func:`owned_issues` x the engineering rate."""
     hours = F.coalesce(_hours("time_spent_hours"), F.lit(0).cast("decimal(18,2)"))
-    return rows.select(*_cost(
+    return owned.select(*_cost(
         source_record_id=F.col("issue_id"), master_customer_id=F.col("master_customer_id"),
         activity_date=F.col("created_at").cast("date"), role_or_tier="Engineer", hours=hours,
         cost_gbp=hours * rate_lit(rates.engineering), work_type="ENGINEERING", work_category=F.col("issue_type"),
@@ -282,10 +288,10 @@ def engineering_costs(issues: DataFrame, idmap: DataFrame, rates: Rates = RATES,
         notes=F.col("summary")))
 
 
-def unified_cost(delivery: DataFrame, support: DataFrame, engineering: DataFrame) -> DataFrame:
-    """All attributable cost events with key and periods."""
+def unified_cost(*parts: DataFrame) -> DataFrame:
+    """All attributable cost events (delivery, support, engineering) with key and periods."""
     day = "activity_date"
-    rows = union_all(delivery, support, engineering).filter(F.col("master_customer_id").isNotNull())
+    rows = union_all(*parts).filter(F.col("master_customer_id").isNotNull())
     return rows.select(
         surrogate_key("source_system", "source_record_id").alias("cost_event_id"), "master_customer_id", day,
         "person_name", "role_or_tier", "hours", "cost_gbp", "work_type", "work_category", "linked_ticket_id",

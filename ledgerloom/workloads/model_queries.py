@@ -195,7 +195,7 @@ MODEL_QUERIES: dict[str, Query] = {
                                                       usage.daily_totals(mapped(s)))),
         "SELECT *, prev AS total_events_prev_30d FROM rolling",
         f"{DAILY} total_events_30d:i key_actions_30d:i active_days_30d:i total_events_prev_30d:f0"),
-    "product_usage": paired(lambda s: s.usage, table("usage"), USAGE),
+    "product_usage": paired(lambda s: s.usage_plan, table("usage"), USAGE),
     "issue_resolution": paired(lambda s: s.chain, table("chain"), CHAIN),
     "customer_health_score": paired(lambda s: health_score(s, False), oracle.health_score_sql("no_usage"), HEALTH),
     "customer_health_score_mapped": paired(lambda s: health_score(s, True), oracle.health_score_sql("usage_trend"),
@@ -204,7 +204,7 @@ MODEL_QUERIES: dict[str, Query] = {
         lambda s: health.fact_customer_health(s.idmap, s.usage, s.product_events, s.users, s.tickets, s.invoices,
                                               AS_OF), table("fact_health"), FACT_HEALTH),
     "revenue_at_risk": paired(
-        lambda s: health.revenue_at_risk(s.idmap, s.opportunities, s.usage, s.cost, AS_OF), table("risk"), RISK),
+        lambda s: health.revenue_at_risk(s.idmap, s.opportunities, s.usage, s.support_cost, AS_OF), table("risk"), RISK),
     "unified_customers": paired(lambda s: identity.unified_customers(s.billing), table("unified"), UNIFIED),
     "customer_360": paired(
         lambda s: activation.dim_customer_360(identity.unified_customers(s.billing), AS_OF), table("dim360"), DIM360),

@@ -262,8 +262,8 @@ class StandIns:
         """One issue per order: its hours, first and last shipment; returned orders name their ticket."""
         lines = self.table("lineitem").groupBy("l_orderkey").agg(
             F.sum(F.col("l_quantity").cast(AMOUNT)).alias("hours"), F.min("l_shipdate").alias("first"),
-            F.max("l_shipdate").alias("last"), F.min("l_linestatus").alias("lo"), F.max("l_linestatus").alias("hi"),
-            F.max("l_returnflag").alias("flag"))
+            F.max("l_shipdate").alias("last"), F.bool_and(F.col("l_linestatus") == "F").alias("done"),
+            F.char(F.max(F.ascii("l_returnflag"))).alias("flag"))  # one letter; numbers keep the aggregation hashed
         rows = lines.join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         return rows.select(
             _id("J", "l_orderkey").alias("issue_id"), _id("JIRA_", "o_custkey").alias("account_id"),
@@ -271,7 +271,7 @@ class StandIns:
             F.col("o_orderpriority").alias("summary"), F.col("flag").alias("issue_type"),
             F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"),
             F.lit(3).alias("story_points"), F.col("hours").cast(AMOUNT).alias("time_spent_hours"),
-            _at("first").alias("created_at"), F.when(F.col("hi") == "F", _at("last")).alias("resolved_at"))
+            _at("first").alias("created_at"), F.when(F.col("done"), _at("last")).alias("resolved_at"))
 
     # --- product events ----------------------------------------------------------
 
@@ -360,16 +360,33 @@ class StandIns:
 
     @cached_property
     def cost(self) -> DataFrame:
-        issue_owner = ledgers.issue_customer(self.issues, self.idmap)
+        owned = self.owned_issues
         return ledgers.unified_cost(
-            ledgers.delivery_costs(self.delivery_time, self.projects, self.idmap, issue_owner),
-            ledgers.support_costs(self.support_time, self.tickets, self.idmap),
-            ledgers.engineering_costs(self.issues, self.idmap))
+            ledgers.delivery_costs(self.delivery_time, self.projects, self.idmap, ledgers.issue_customer(owned)),
+            self._support_costs, ledgers.engineering_costs(owned))
 
     @cached_property
-    def usage(self) -> DataFrame:
+    def _support_costs(self) -> DataFrame:
+        return ledgers.support_costs(self.support_time, self.tickets, self.idmap)
+
+    @cached_property
+    def support_cost(self) -> DataFrame:
+        """The support part of the cost ledger."""
+        return ledgers.unified_cost(self._support_costs)
+
+    @cached_property
+    def owned_issues(self) -> DataFrame:
+        return cut_lineage(ledgers.owned_issues(self.issues, self.idmap))
+
+    @cached_property
+    def usage_plan(self) -> DataFrame:
         return usage.product_usage(self.product_events, self.users, self.idmap, AS_OF)
 
+    @cached_property
+    def usage(self) -> DataFrame:
+        """The usage model, written once: facts read it for several windows."""
+        return cut_lineage(self.usage_plan)
+
     @cached_property
     def chain(self) -> DataFrame:
         return support.issue_resolution(support.resolution_chain(

@@ -147,10 +147,11 @@ def test_unified_cost_branches(staged, idmap):
     desk = staged("zendesk_time_entries", *[
         {"time_entry_id": f"z{tier}", "ticket_id": "t1", "time_spent_minutes": 30, "tier": tier}
         for tier in (1, 2, 3, 4, None)], {"time_entry_id": "lost", "ticket_id": "t9", "time_spent_minutes": 30}, scale=0)
-    owner = ledgers.issue_customer(issues, idmap)
+    owned = ledgers.owned_issues(issues, idmap)
+    owner = ledgers.issue_customer(owned)
     cost = ledgers.unified_cost(ledgers.delivery_costs(work, projects, idmap, owner),
                                 ledgers.support_costs(desk, tickets, idmap),
-                                ledgers.engineering_costs(issues, idmap))
+                                ledgers.engineering_costs(owned))
     rows = {r.source_record_id: r for r in cost.collect()}
     assert set(rows) == {"h1", "h2", "z1", "z2", "z3", "z4", "zNone", "j1", "j2"}
     assert (rows["h1"].cost_gbp, rows["h1"].work_category) == (60, "BILLABLE")
@@ -161,7 +162,7 @@ def test_unified_cost_branches(staged, idmap):
     assert rows["z1"].work_category == "GENERAL_SUPPORT"
     assert (rows["j1"].cost_gbp, rows["j2"].cost_gbp, rows["j2"].linked_ticket_id) == (120, 0, "t1")
     # The switch matches issues by account id instead.
-    assert {r.issue_id for r in ledgers.issue_customer(issues, idmap, "account_id").collect()} == {"j3"}
+    assert {r.issue_id for r in ledgers.issue_customer(ledgers.owned_issues(issues, idmap, "account_id")).collect()} == {"j3"}
 
 
 def test_mrr_snapshot(staged, idmap):

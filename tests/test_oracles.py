@@ -8,7 +8,8 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_DIR
-from ledgerloom.workloads import data_queries, model_queries
+from ledgerloom.plans import finance
+from ledgerloom.workloads import data_queries, model_queries, standins
 from ledgerloom.workloads.standins import StandIns
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -76,6 +77,32 @@ def test_plans_have_no_cross_products_or_single_task_windows(spark, name):
     assert "Exchange SinglePartition" not in plan or name in allowed
 
 
+# The ledgers' tables are read by what a query writes once and by its last plan; here are the scans of all of them.
+SCANS = {"customer_profitability": {"lineitem": 4, "orders": 5}, "customer_ltv": {"lineitem": 4, "orders": 7}, "unified_cost": {"lineitem": 3, "orders": 2},
+         "revenue_at_risk": {"events": 3, "lineitem": 1}, "fact_customer_health": {"events": 4}}
+
+
+@pytest.mark.parametrize("name", sorted(SCANS))
+def test_ledgers_are_planned_once(spark, name, monkeypatch):
+    plans = []
+
+    def note(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df)
+
+    written = finance.cut_lineage
+    for module in (finance, standins):
+        monkeypatch.setattr(module, "cut_lineage", note)
+    ready = StandIns(spark, SF_DIR)
+    ready.idmap, ready.users  # noqa: B018  maps of every model, counted nowhere
+    plans.clear()
+    monkeypatch.setattr(model_queries, "StandIns", lambda *_: ready)
+    df = entry.queries()[name](spark, SF_DIR)
+    plans.append(df._jdf.queryExecution().executedPlan().toString())
+    for table, most in SCANS[name].items():
+        assert sum(len(re.findall(rf"FileScan parquet .*?/{table}\.parquet", plan)) for plan in plans) <= most
+
+
 # Customers' counts come from rows reduced to invoices, tickets and events: no row is multiplied for distinct counts.
 @pytest.mark.parametrize("name", ["customer_health_score", "customer_health_score_mapped"])
 def test_health_plans_multiply_no_rows(spark, name):
