@@ -43,7 +43,8 @@ def list_agg(value, delimiter: str = ",", descending: bool = False, limit: int |
     """Delimited text of the values in value order, or in the order of another column (ties by value).
 
     The text of one group is built in one task by definition, so use it where the
-    group's values are known to be few.
+    group's values are known to be few. With a ``limit`` on large groups use
+    :func:`ledgerloom.operators.relational.first_values`, which never holds more of a group.
     """
     text = _col(value).cast("string")
     if order_by is None:

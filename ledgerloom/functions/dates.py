@@ -173,3 +173,8 @@ def partition_range(spark: SparkSession, raw: str, fmt: str = "yyyyMMdd") -> Dat
     if len(parts) > 2:
         raise ValueError(f"expected '{{start}}[,{{end}}]', got {raw!r}")
     return dates_in_range(spark, parts[0].strip(), parts[1].strip() if len(parts) == 2 else None, in_fmt=fmt)
+
+
+def utc_now() -> Column:
+    """The current moment as UTC wall time, whatever the session's zone."""
+    return F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")

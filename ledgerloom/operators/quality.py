@@ -81,7 +81,11 @@ def run_check(failing: DataFrame, warn_if: str = "!= 0", error_if: str = "!= 0",
 
 @dataclass(frozen=True)
 class Check:
-    """One declared test of a model column."""
+    """One declared test of a model column.
+
+    ``fail_calc`` is an aggregate over the failing rows, of which ``limit`` are looked at.
+    A check of severity ``warn`` never gives an error.
+    """
 
     model: str
     column: str
@@ -92,6 +96,15 @@ class Check:
     field: str | None = None
     warn_if: str = "!= 0"
     error_if: str = "!= 0"
+    severity: str = "error"
+    fail_calc: str = "count(*)"
+    limit: int | None = None
+
+    def __post_init__(self):
+        if self.kind not in KINDS:
+            raise ValueError(f"unknown check {self.kind!r}")
+        if self.severity not in ("error", "warn"):
+            raise ValueError(f"unknown severity {self.severity!r}")
 
     def failing(self, models: Mapping[str, DataFrame]) -> DataFrame:
         df = models[self.model]
@@ -101,38 +114,92 @@ class Check:
             return check_not_null(df, self.column, self.where)
         if self.kind == "accepted_values":
             return check_accepted(df, self.column, self.values, self.where)
-        if self.kind == "relationships":
-            return check_fk(df, self.column, models[self.to], self.field, self.where)
-        raise ValueError(f"unknown check {self.kind!r}")
+        return check_fk(df, self.column, models[self.to], self.field, self.where)
+
+    @property
+    def is_plain(self) -> bool:
+        """Whether the number of failures follows from the counts of failing values alone."""
+        return self.limit is None and self.fail_calc.replace(" ", "").lower() == "count(*)"
+
+    def verdict(self, failures: Column) -> list[Column]:
+        return [failures.alias("failures"), threshold(self.warn_if)(failures).alias("should_warn"),
+                (threshold(self.error_if)(failures) & F.lit(self.severity == "error")).alias("should_error")]
+
 
+KINDS = ("unique", "not_null", "accepted_values", "relationships")
 
-def run_suite(spec: Sequence[Check], models: Mapping[str, DataFrame]) -> DataFrame:
+
+def failing_values(spec: Sequence[Check], models: Mapping[str, DataFrame]) -> DataFrame:
+    """check (its place in the list), value and n_records of all values that fail, from one pass over each model.
+
+    Every row gives one (check, value) pair for each check it is looked at by; the pairs are
+    counted, with partial counts before the shuffle, so a frequent value is no hot spot.
+    Repeated values, values outside a list and missing values follow from the counts;
+    references are compared with the distinct keys of the models they point to.
+    """
+    def pairs(model: str, checks: list[tuple[int, Check]]) -> DataFrame:
+        wanted = []
+        for number, check in checks:
+            value = F.col(check.column).cast("string")
+            seen = F.col(check.column).isNull() if check.kind == "not_null" else value.isNotNull()
+            if check.kind == "accepted_values":
+                seen = seen & ~F.col(check.column).isin(list(check.values))
+            if check.where:
+                seen = seen & F.coalesce(F.expr(check.where), F.lit(False))
+            wanted.append(F.when(seen, F.struct(F.lit(number).alias("check"), value.alias("value"))))
+        rows = models[model].select(F.explode(F.array_compact(F.array(*wanted))).alias("p"))
+        return rows.groupBy("p.check", "p.value").agg(F.count(F.lit(1)).alias("n_records"))
+
+    by_model: dict[str, list[tuple[int, Check]]] = {}
+    for number, check in enumerate(spec):
+        by_model.setdefault(check.model, []).append((number, check))
+    counted = union_all(*[pairs(model, checks) for model, checks in by_model.items()])
+    unique = [n for n, c in enumerate(spec) if c.kind == "unique"]
+    references = [n for n, c in enumerate(spec) if c.kind == "relationships"]
+    repeated = F.col("check").isin(unique) & (F.col("n_records") > 1) if unique else F.lit(False)
+    if not references:
+        return counted.filter(repeated | ~F.col("check").isin(unique)) if unique else counted
+    targets = sorted({(spec[n].to, spec[n].field) for n in references})
+    place = F.lit(None).cast("int")
+    for n in references:
+        place = F.when(F.col("check") == n, F.lit(targets.index((spec[n].to, spec[n].field)))).otherwise(place)
+    keys = union_all(*[models[model].select(F.lit(i).alias("__to"), F.col(field).cast("string").alias("__key")).distinct()
+                       for i, (model, field) in enumerate(targets)]).filter("__key is not null")
+    marked = counted.withColumn("__place", place).filter(F.col("__place").isNotNull() | repeated | ~F.col("check").isin(unique))
+    # An anti join would be pushed into every branch of the union, with the keys read again in each.
+    found = marked.join(keys, (F.col("__place") == F.col("__to")) & (F.col("value") == F.col("__key")), "left").filter("__key is null")
+    return found.select("check", "value", "n_records")
+
+
+def run_suite(spec: Sequence[Check], models: Mapping[str, DataFrame], store_as: str | None = None) -> DataFrame:
     """One row per check: model, column, kind, failures and verdicts.
 
-    The not-null checks of a model share one scan; the other kinds have one plan each,
-    all in a single result.
+    All plain checks come from :func:`failing_values`: each model is read once, and once
+    more if others refer to it. Checks with a limit or a ``fail_calc`` of their own have one plan each.
+    ``store_as`` keeps the failing values of the plain checks as a table.
     """
-    parts = []
-    by_model: dict[str, list[Check]] = {}
-    for check in spec:
-        if check.kind == "not_null" and check.where is None:
-            by_model.setdefault(check.model, []).append(check)
-        else:
-            parts.append(_verdict(run_check(check.failing(models), check.warn_if, check.error_if), check))
-    for model, checks in by_model.items():
-        counts = models[model].agg(*[F.count_if(F.col(c.column).isNull()).alias(f"n{i}")
-                                     for i, c in enumerate(checks)])
-        rows = F.array(*[F.struct(
-            F.lit(c.model).alias("model"), F.lit(c.column).alias("column"), F.lit(c.kind).alias("check"),
-            F.col(f"n{i}").alias("failures"), threshold(c.warn_if)(F.col(f"n{i}")).alias("should_warn"),
-            threshold(c.error_if)(F.col(f"n{i}")).alias("should_error")) for i, c in enumerate(checks)])
-        parts.append(counts.select(F.inline(rows)))
+    plain, own = [c for c in spec if c.is_plain], [c for c in spec if not c.is_plain]
+    parts = [run_check(c.failing(models), c.warn_if, c.error_if, c.limit, F.expr(c.fail_calc)).select(
+        *_named(c), *c.verdict(F.coalesce("failures", F.lit(0)))) for c in own]
+    if plain:
+        failing = failing_values(plain, models)
+        if store_as:
+            failing.join(F.broadcast(_listed(failing.sparkSession, plain)), "check").drop("check").write.mode("overwrite").saveAsTable(store_as)
+        # A repeated or unknown value is one failure, a missing value or reference one for each row.
+        per_row = F.col("check").isin([n for n, c in enumerate(plain) if c.kind in ("not_null", "relationships")])
+        sums = failing.groupBy("check").agg(F.sum(F.when(per_row, F.col("n_records")).otherwise(1)).alias("__n"))
+        one_row = sums.agg(F.map_from_entries(F.collect_list(F.struct("check", "__n"))).alias("n"))  # one entry a check
+        verdicts = F.array(*[F.struct(*_named(c), *c.verdict(F.coalesce(F.try_element_at("n", F.lit(i)), F.lit(0)))) for i, c in enumerate(plain)])
+        parts.append(one_row.select(F.inline(verdicts)))
     return union_all(*parts)
 
 
-def _verdict(result: DataFrame, check: Check) -> DataFrame:
-    return result.select(F.lit(check.model).alias("model"), F.lit(check.column).alias("column"),
-                         F.lit(check.kind).alias("check"), "failures", "should_warn", "should_error")
+def _named(check: Check) -> list[Column]:
+    return [F.lit(check.model).alias("model"), F.lit(check.column).alias("column"), F.lit(check.kind).alias("check")]
+
+
+def _listed(spark: SparkSession, spec: Sequence[Check]) -> DataFrame:
+    return spark.createDataFrame([(i, c.model, c.column, c.kind) for i, c in enumerate(spec)], "check int, model string, column string, kind string")
 
 
 # --- unit tests and contracts ----------------------------------------------------

@@ -150,6 +150,80 @@ def rolling_distinct(events: DataFrame, grid: DataFrame, key: str, member: str,
             .filter("__on_grid").select(key, day, name))
 
 
+def _day_number(column: str) -> Column:
+    return F.unix_date(F.col(column).cast("date"))
+
+
+def band_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str, first: int, last: int) -> DataFrame:
+    """Pairs with equal keys whose right day is ``first`` to ``last`` days after the left day.
+
+    Days are cut into stretches as long as the band, so that a left row's band meets two of
+    them at most: the left rows go to both, a right row to its own, and the join is an
+    equality join on keys and stretch, whose rest decides on the exact days. A key with
+    many rows is spread over its stretches. Null keys and days match nothing. All columns
+    of both sides are kept but the right side's keys.
+    """
+    width = last - first + 1
+    if width < 1:
+        raise ValueError("a band ends at or after its first day")
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.lit(True))
+    start = F.floor((F.col("__day") + first) / width)
+    met = F.array_distinct(F.array(start, F.floor((F.col("__day") + last) / width)))
+    lefts = left.filter(known & F.col(left_at).isNotNull()).withColumn("__day", _day_number(left_at)).withColumn("__stretch", F.explode(met))
+    renamed = right.filter(known & F.col(right_at).isNotNull()).withColumn("__to", _day_number(right_at)).withColumn(
+        "__right_stretch", F.floor(F.col("__to") / width)).withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = [F.col(k) == F.col(f"__r_{k}") for k in keys] + [F.col("__stretch") == F.col("__right_stretch")]
+    far = F.col("__to") - F.col("__day")
+    pairs = lefts.join(renamed, reduce(lambda a, b: a & b, on)).filter(far.between(first, last))
+    return pairs.drop("__day", "__to", "__stretch", "__right_stretch", *[f"__r_{k}" for k in keys])
+
+
+# Parts of an aggregate that can be merged, and how: kind -> [(partial, merge)].
+_MERGED = {"sum": [(F.sum, F.sum)], "min": [(F.min, F.min)], "max": [(F.max, F.max)], "count": [(F.count, F.sum)],
+           "avg": [(F.sum, F.sum), (F.count, F.sum)]}
+
+
+def band_aggregate(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str, first: int, last: int,
+                   measures: dict[str, tuple[str, str]]) -> DataFrame:
+    """Left rows with aggregates of the right rows whose day is ``first`` to ``last`` days after theirs.
+
+    ``measures`` names (kind, column); kinds are sum, min, max, count and avg. The right rows
+    are reduced to one row a key and day first, so a left row meets as many rows as the
+    band has days, however many there are behind them. Left rows without any get nulls, and 0 for counts; equal left rows
+    stay as many as they are. Decimals keep sums exact.
+    """
+    day = "__at"
+    partial = {f"__{name}_{i}": part(column) for name, (kind, column) in measures.items() for i, (part, _) in enumerate(_MERGED[kind])}
+    daily = right.groupBy(*keys, F.col(right_at).cast("date").alias(day)).agg(*[c.alias(n) for n, c in partial.items()])
+    asked = left.groupBy(*left.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    pairs = band_join(asked, daily, keys, left_at, day, first, last).drop(day)
+    both = asked.unionByName(pairs, allowMissingColumns=True)
+    merged = {f"__{name}_{i}": merge(f"__{name}_{i}") for name, (kind, _) in measures.items() for i, (_, merge) in enumerate(_MERGED[kind])}
+    rows = both.groupBy(*asked.columns).agg(*[c.alias(n) for n, c in merged.items()])
+
+    def value(name: str, kind: str) -> Column:
+        if kind == "avg":
+            return F.try_divide(F.col(f"__{name}_0").cast("double"), F.col(f"__{name}_1"))
+        return F.coalesce(f"__{name}_0", F.lit(0)) if kind == "count" else F.col(f"__{name}_0")
+
+    out = rows.select(*left.columns, *[value(name, kind).alias(name) for name, (kind, _) in measures.items()], "__copies")
+    return out.withColumn("__copies", F.explode(F.sequence(F.lit(1), F.col("__copies")))).drop("__copies")
+
+
+def first_values(df: DataFrame, keys: Sequence[str], value: str, count: int, name: str, delimiter: str = ",",
+                 order: Sequence[Column] | None = None) -> DataFrame:
+    """Delimited text of the first ``count`` values per key, in value order or the given one; a key without any has none.
+
+    The rank filter becomes a group limit before the shuffle, so a task gets at most
+    ``count`` values of a key from each task before, not the whole group.
+    """
+    rows = df.filter(F.col(value).isNotNull())
+    window = Window.partitionBy(*keys).orderBy(*(order or [F.col(value)]))
+    ranked = rows.withColumn("__rank", F.row_number().over(window)).filter(F.col("__rank") <= count)
+    few = F.sort_array(F.collect_list(F.struct("__rank", F.col(value).cast("string").alias("text"))))
+    return ranked.groupBy(*keys).agg(F.array_join(F.transform(few, lambda x: x["text"]), delimiter).alias(name))
+
+
 def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 

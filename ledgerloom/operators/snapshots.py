@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.keys import scd_hash
 
@@ -29,7 +30,8 @@ class Snapshot:
     of ``check_cols`` differs; ``all`` checks every source column). ``now`` is the run
     time, explicit so that runs can be repeated; the check strategy without
     ``updated_at`` stamps versions with it. ``valid_to_current`` is the open end, null
-    by default.
+    by default. With ``match_history`` a version whose hash any version has, closed
+    ones too, is not added again; without it only the open one counts.
     """
 
     key: str | Sequence[str]
@@ -39,6 +41,7 @@ class Snapshot:
     hard_deletes: str = "ignore"
     now: str | None = None
     valid_to_current: str | None = None
+    match_history: bool = False
     columns: dict[str, str] = field(default_factory=lambda: dict(COLUMN_NAMES))
 
     def __post_init__(self):
@@ -162,13 +165,29 @@ def snapshot_apply(current: DataFrame, source: DataFrame, spec: Snapshot) -> Dat
                .when(F.col("change") == "update", F.when(is_new_hash, F.array(closed, new)).otherwise(
                    F.array(closed)))
                .otherwise(F.array(keep)))
-    next_open = changes.select(F.inline(results))
     history = current.filter(~spec.is_open())
+    if spec.match_history:
+        changes = _seen_before(changes, history, new_hash, c["scd_id"])
+        results = F.when(F.col("__seen") & (F.col("change") == "insert"), F.array().cast(T.ArrayType(T.StructType(
+            [T.StructField(n, types[n]) for n in columns])))).when(F.col("__seen") & (F.col("change") == "update"), F.array(closed)).otherwise(results)
+    next_open = changes.select(F.inline(results))
     extra = {n: F.lit(None).cast(types[n]) for n in columns if n not in current.columns}
     return history.withColumns(extra).select(*columns).unionByName(next_open) if extra else (
         history.unionByName(next_open))
 
 
+def _seen_before(changes: DataFrame, history: DataFrame, new_hash: Column, scd_id: str) -> DataFrame:
+    """Changes with ``__seen``: whether a closed version has the hash of a new one.
+
+    Only inserts and updates are looked up, so the few of them make a runtime filter for
+    the ids of the history, which is read in this one column.
+    """
+    hashed = changes.withColumn("__hash", F.when(F.col("change").isin("insert", "update"), new_hash))
+    wanted = hashed.filter("__hash is not null").select("__hash").distinct()
+    old = history.select(F.col(scd_id).alias("__old")).join(wanted, F.col("__old") == F.col("__hash"), "left_semi").distinct()
+    return hashed.join(old, F.col("__hash") == F.col("__old"), "left").withColumn("__seen", F.col("__old").isNotNull()).drop("__hash", "__old")
+
+
 def snapshot_run(current: DataFrame | None, source: DataFrame, spec: Snapshot) -> DataFrame:
     """First build or next version of a snapshot table."""
     return snapshot_init(source, spec) if current is None else snapshot_apply(current, source, spec)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +17,7 @@ from . import activation, finance, health, identity, ledgers, support, usage
 from .params import RATES, THRESHOLDS, Rates, Thresholds
 
 # Models that several others read: materialized once per run.
-SHARED = ("int_identity_map", "int_user_customer_map", "int_unified_revenue", "owned_issues", "int_unified_cost",
+SHARED = ("int_identity_map", "int_user_customer_map", "int_unified_revenue", "int_unified_cost",
           "int_issue_resolution_chain", "int_product_usage_metrics")
 
 # Audit column of each model that has one.
@@ -79,12 +80,18 @@ def build_dag(spark: SparkSession, staged: Mapping[str, DataFrame], seed: DataFr
         s("stripe_invoices"), s("stripe_charges"), s("stripe_refunds"), s("stripe_disputes"),
         s("intacct_revenue_recognition"), idmap()))
     add("int_mrr_arr_snapshot", lambda: ledgers.mrr_snapshot(s("stripe_subscriptions"), idmap()))
-    add("owned_issues", lambda: ledgers.owned_issues(s("jira_issues"), idmap(), issue_key))
+
+    @cache
+    def owned() -> DataFrame:
+        """Attributed issues: the cost ledger reads them twice."""
+        rows = ledgers.owned_issues(s("jira_issues"), idmap(), issue_key)
+        return cut_lineage(rows) if materialize else rows
+
     add("int_unified_cost", lambda: ledgers.unified_cost(
         ledgers.delivery_costs(s("harvest_time_entries"), s("harvest_projects"), idmap(),
-                               ledgers.issue_customer(dag.ref("owned_issues"))),
+                               ledgers.issue_customer(owned())),
         ledgers.support_costs(s("zendesk_time_entries"), s("zendesk_tickets"), idmap(), rates),
-        ledgers.engineering_costs(dag.ref("owned_issues"), rates)))
+        ledgers.engineering_costs(owned(), rates)))
     add("int_issue_resolution_chain", lambda: support.issue_resolution(support.resolution_chain(
         s("zendesk_tickets"), s("zendesk_ticket_events"), s("jira_issues"), s("harvest_time_entries"),
         s("zendesk_time_entries"), idmap(), day, rates)))

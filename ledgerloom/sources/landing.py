@@ -183,15 +183,16 @@ def load_raw(spark: SparkSession, path: str, on_error: str = "skip_file",
     return to_landing(judged(_text(spark, path, pattern)), on_error)
 
 
-def listing(spark: SparkSession, base: str) -> DataFrame:
-    """Paths of all data files and batch markers below a folder, without reading content.
+def listing(spark: SparkSession, base: str, client: str = "*", source: str = "*", table: str = "*", run_date: str = "*") -> DataFrame:
+    """Paths of the data files and batch markers below a folder, without reading content.
 
     File sources hide names that start with an underscore, so the markers, one per
-    batch, come from a glob over the batch folders.
+    batch, come from a glob over the batch folders. The patterns narrow both, for
+    example to one run date, so that the markers asked for are as many as a run has batches.
     """
-    data = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base).select("path")
-    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-        f"{base.rstrip('/')}/clients/*/*/*/run_date=*/{SUCCESS_MARKER}")
+    batches = f"{base.rstrip('/')}/clients/{client}/{source}/{table}/run_date={run_date}"
+    data = spark.read.format("binaryFile").load(f"{batches}/*").select("path")
+    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{batches}/{SUCCESS_MARKER}")
     found = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(glob)
     markers = [(status.getPath().toString(),) for status in found or []]
     return data.unionByName(spark.createDataFrame(markers, "path string"))

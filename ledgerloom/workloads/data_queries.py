@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import aggregates, dates, keys, scalars, sqludf
+from ..functions import aggregates, dates, keys, scalars, sqludf, types
 from ..operators import incremental, quality, relational, snapshots
 from ..operators.models import Dag
 from ..operators.session import scratch_path
@@ -146,6 +146,29 @@ def ingest_gate(s: StandIns) -> DataFrame:
     return landing.promote_complete_batches(landing.with_layout(files))
 
 
+def ingest_listing(s: StandIns) -> DataFrame:
+    """Batches of one run date, one per event type, found by listing files; those of errors have no marker."""
+    base = scratch_path(s.spark, "listed")
+    events = s.table("events").select("event_id", "event_type")
+    for (kind,) in events.select("event_type").distinct().orderBy("event_type").collect():
+        target = landing.raw_path("acme", "mixpanel", kind, "2024-02-20", base=base)
+        writer = events.filter(F.col("event_type") == kind).write.option("compression", "gzip")
+        writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(kind != "error").lower()).json(target)
+    files = landing.with_layout(landing.listing(s.spark, base, client="acme", run_date="2024-02-20"))
+    promoted = landing.promote_complete_batches(files).withColumn("is_data", F.col("file").endswith(".json.gz"))
+    promoted = promoted.withColumnRenamed("table", "table_name")
+    return promoted.groupBy("client", "source", "table_name", "run_date").agg(F.bool_and("is_data").alias("only_data"))
+
+
+def functions_types(s: StandIns) -> DataFrame:
+    """Order columns as text, cast by portable type names; and that now is after every order."""
+    names = {"string": "o_orderstatus", "timestamp": "o_orderdate", "float": "o_totalprice", "numeric": "o_totalprice", "bigint": "o_orderkey",
+             "int": "o_custkey", "date": "o_orderdate"}
+    cast = [F.col(c).cast("string").cast(types.portable_type(kind)).alias(f"as_{kind}") for kind, c in names.items()]
+    flag = (F.col("o_orderstatus") == "F").cast("string").cast(types.portable_type("boolean")).alias("as_boolean")
+    return s.table("orders").select("o_orderkey", *cast, flag, (dates.utc_now() > F.col("o_orderdate")).alias("is_past"))
+
+
 def file_names(s: StandIns) -> DataFrame:
     names = relational.union_all(
         s.table("nation").select(F.concat("n_name", F.lit(".jsonl")).alias("file")),
@@ -180,7 +203,7 @@ def ingest_once(s: StandIns) -> DataFrame:
 def seed(s: StandIns) -> DataFrame:
     path = scratch_path(s.spark, "seed")
     s.table("customer").select("c_custkey", "c_name", "c_acctbal").write.option("header", "true").csv(path)
-    return load_seed(s.spark, path, {"c_custkey": "bigint", "c_acctbal": "double"})
+    return load_seed(s.spark, path)
 
 
 def sinks(s: StandIns) -> DataFrame:
@@ -352,14 +375,14 @@ def functions_agg(s: StandIns) -> DataFrame:
         aggregates.weighted_avg(weight, balance).alias("weighted"), aggregates.mean_of(balance).alias("mean"),
         aggregates.sum_where(F.col("c_acctbal") < 0, balance).alias("debit"),
         aggregates.count_distinct_where(F.col("c_acctbal") < 0, "c_mktsegment").alias("debit_segments"))
-    return per_nation.groupBy("n_regionkey").agg(
+    last_names = relational.first_values(per_nation, ["n_regionkey"], "n_name", 3, "last_names", "|", [F.desc("n_name")])
+    return last_names.join(per_nation.groupBy("n_regionkey").agg(
         aggregates.list_agg("n_name").alias("names"),
-        aggregates.list_agg("n_name", "|", descending=True, limit=3).alias("last_names"),
         aggregates.list_agg("n_name", order_by=F.length("n_name")).alias("by_length"),
         aggregates.any_value(F.col("n_regionkey") * 2).alias("twice"),
         aggregates.bool_or("any_debit").alias("any_debit"), F.sum(F.round("weighted", 6)).alias("weighted"),
         F.sum(F.round("mean", 6)).alias("mean"), F.sum("debit").alias("debit"),
-        F.sum("debit_segments").alias("debit_segments"))
+        F.sum("debit_segments").alias("debit_segments")), "n_regionkey")
 
 
 def series_and_spines(s: StandIns) -> DataFrame:
@@ -513,6 +536,18 @@ def scd2(hard_deletes: str = "ignore", strategy: str = "timestamp",
     return run
 
 
+def scd2_history(s: StandIns) -> DataFrame:
+    """A third run brings deleted keys back unchanged: their closed versions have the hash, so none is added."""
+    def spec(now: str) -> snapshots.Snapshot:
+        return snapshots.Snapshot("id", updated_at="updated_at", hard_deletes="invalidate", now=now, match_history=True)
+
+    state = snapshots.snapshot_init(first_state(s), spec(FIRST))
+    for now, source in ((THIRD, second_state(s)), (FOURTH, first_state(s))):
+        state = snapshots.snapshot_apply(state, source, spec(now))
+    return state
+
+
+FOURTH = "2024-04-01 00:00:00"
 _T = "TIMESTAMP"
 S1 = f"SELECT 'C' || c_custkey AS id, c_mktsegment AS segment, c_acctbal AS balance, {_T} '{FIRST}' AS updated_at FROM customer"
 S2 = (f"SELECT 'C' || c_custkey AS id, c_mktsegment AS segment, CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal * 2 "
@@ -545,6 +580,14 @@ def scd_sql(hard_deletes: str, by_check: bool) -> str:
     return " UNION ALL ".join(parts)
 
 
+def scd_history_sql() -> str:
+    """Every version ever made and when it ended: replaced, gone in the second state, or gone in the third."""
+    stays = f"SELECT *, updated_at AS made, CASE c WHEN 'BUILDING' THEN {_T} '{SECOND}' WHEN 'HOUSEHOLD' THEN {_T} '{THIRD}' END AS upto FROM (SELECT *, segment AS c FROM ({S1}))"
+    later = f"SELECT *, '' AS c, updated_at AS made, CASE segment WHEN 'SUPPLIER' THEN {_T} '{FOURTH}' END AS upto FROM ({S2}) WHERE updated_at = {_T} '{SECOND}'"
+    return (f"SELECT id, segment, balance, updated_at, {oracle.scd('id', 'updated_at')} AS dbt_scd_id, made AS dbt_updated_at, made AS dbt_valid_from, "
+            f"CAST(upto AS TIMESTAMP) AS dbt_valid_to FROM (SELECT * FROM ({stays}) UNION ALL BY NAME SELECT * FROM ({later}))")
+
+
 # --- checks ----------------------------------------------------------------------
 
 
@@ -729,6 +772,13 @@ DATA_QUERIES: dict[str, Query] = {
         "run_date, 'events.jsonl.gz' AS file FROM (SELECT CAST(ts AS DATE) AS day, COUNT(*) FILTER (event_type = "
         "'error') AS e, COUNT(*) FILTER (event_type = 'click') AS c FROM events GROUP BY 1) WHERE e <= c",
         "client:s source:s run_date:s file:s"),
+    "ingest_listing": paired(
+        ingest_listing, "SELECT DISTINCT 'acme' AS client, 'mixpanel' AS source, event_type AS table_name, '2024-02-20' AS run_date, TRUE AS "
+        "only_data FROM events WHERE event_type <> 'error'", "client:s source:s table_name:s run_date:s only_data:b"),
+    "functions_types": paired(
+        functions_types, "SELECT o_orderkey, o_orderstatus AS as_string, o_orderdate AS as_timestamp, o_totalprice AS as_float, o_totalprice AS "
+        "as_numeric, o_orderkey AS as_bigint, o_custkey AS as_int, o_orderdate AS as_date, o_orderstatus = 'F' AS as_boolean, TRUE AS is_past FROM "
+        "orders", "o_orderkey:i as_string:s as_timestamp:t as_float:f4 as_numeric:f4 as_bigint:i as_int:i as_date:d as_boolean:b is_past:b"),
     "ingest_source_table": paired(
         file_names, "SELECT file, CASE WHEN p > 0 THEN CASE LEFT(stem, p - 1) WHEN 'sf' THEN 'salesforce' ELSE LEFT(stem, p "
         "- 1) END END AS source, CASE WHEN p > 0 THEN SUBSTR(stem, p + 1) END AS table_name FROM (SELECT file, "
@@ -866,6 +916,7 @@ DATA_QUERIES: dict[str, Query] = {
     "scd2_timestamp_rerun": paired(scd2(runs=2), scd_sql("ignore", False), SCD),
     "scd2_check": paired(scd2("invalidate", "check"), scd_sql("invalidate", True), SCD),
     "scd2_deletes": paired(scd2("new_record"), scd_sql("new_record", False), f"{SCD} dbt_is_deleted:s"),
+    "scd2_history": paired(scd2_history, scd_history_sql(), SCD),
     "dq_unique": paired(
         lambda s: quality.check_unique(line_keys(s), "line_key"),
         "SELECT CONCAT_WS('-', l_orderkey, l_linenumber) AS unique_field, COUNT(*) AS n_records FROM lineitem GROUP BY 1 "

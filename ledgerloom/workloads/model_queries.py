@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import trailing_days
 from ..operators import relational
+from ..operators.quality import run_suite
+from ..operators.session import cut_lineage
 from ..plans import activation, finance, health, identity, usage
+from ..plans.build import build_dag
+from ..plans.suite import MODEL_KEYS, declared_checks
+from ..schemas import STAGING
+from ..sources.staging import stage
 from . import oracle
 from .shape import finish
 from .standins import AS_OF, StandIns
@@ -145,6 +151,60 @@ def members_per_day(s: StandIns) -> DataFrame:
     return relational.rolling_distinct(events, grid, "event_type", "member", "day", 7, "users_7d")
 
 
+def rolling_value(s: StandIns) -> DataFrame:
+    """Sum, largest, mean and number of the event values of the trailing 30 days, per event type and day with events."""
+    events = s.table("events").select("event_type", F.col("ts").cast("date").alias("day"), F.col("value").cast("decimal(18,2)").alias("value"))
+    grid = events.select("event_type", "day").distinct()
+    return relational.band_aggregate(grid, events.withColumnRenamed("day", "at"), ["event_type"], "day", "at", -29, 0, {
+        "total": ("sum", "value"), "largest": ("max", "value"), "mean": ("avg", "value"), "n": ("count", "value")})
+
+
+# Known ids of five customers, given inline.
+INLINE_TRUTH = [(f"Known {k}", f"HV_{k}", f"INTACCT_{k}", f"JIRA_{k}", f"mp_{k}", f"SF_{k}", f"cus_{k}", f"ZD_{k}") for k in range(1, 6)]
+
+
+def inline_truth(s: StandIns) -> DataFrame:
+    """Accounts that inline ground truth knows, with their ids."""
+    known = identity.truth_identities(identity.ground_truth(s.spark, INLINE_TRUTH))
+    return relational.attribute(s.accounts.select("account_id", "account_name"), known.drop("account_id"), "account_id", "master_customer_id").withColumn(
+        "master_customer_id", F.col("account_id"))
+
+
+def declared_suite(s: StandIns) -> DataFrame:
+    """All declared checks over the models that have them, each model written once."""
+    staged = {t: stage(t, s.landing(t), number_scale=2) for t in STAGING}
+    dag = build_dag(s.spark, staged, s.seed, AS_OF)
+    models = {m: cut_lineage(dag.ref(m)) for m in MODEL_KEYS}
+    return run_suite(declared_checks(), models)
+
+
+# Where the oracle keeps a model; audit columns are stamped and so never null.
+ORACLE_OF = {
+    "int_identity_map": "idmap", "int_unified_revenue": "revenue", "int_mrr_arr_snapshot": "snapshots", "int_unified_cost": "cost",
+    "int_issue_resolution_chain": "chain", "int_customer_health_score": "scores", "int_customer_ltv": "ltv", "int_unified_customers": "unified",
+    "int_product_usage_metrics": "usage", "int_user_customer_map": "users", "fact_customer_profitability": "profit",
+    "fact_customer_health": "fact_health", "fact_project_performance": "project_perf", "fact_revenue_at_risk": "risk", "fact_revenue_gap": "gap"}
+
+
+def declared_sql() -> str:
+    """Each model reduced to one row of counts, then a row for each check."""
+    parts = []
+    for model, name in ORACLE_OF.items():
+        table_of = f"({oracle.health_score_sql('no_usage')})" if name == "scores" else name
+        for check in declared_checks([model]):
+            stamped = check.column in ("metrics_calculated_at", "mapping_calculated_at")
+            if stamped:
+                n = "0"
+            elif check.kind == "not_null":
+                n = f"(SELECT COUNT(*) FILTER ({check.column} IS NULL) FROM {table_of})"
+            elif check.kind == "unique":
+                n = f"(SELECT COUNT(*) FROM (SELECT 1 FROM {table_of} WHERE {check.column} IS NOT NULL GROUP BY {check.column} HAVING COUNT(*) > 1))"
+            else:
+                n = f"(SELECT COUNT(*) FROM {table_of} x ANTI JOIN idmap m USING (master_customer_id) WHERE x.master_customer_id IS NOT NULL)"
+            parts.append(f"SELECT '{model}' AS model, '{check.column}' AS col, '{check.kind}' AS kind, {n} AS failures")
+    return f"SELECT *, failures <> 0 AS should_warn, failures <> 0 AS should_error FROM ({' UNION ALL '.join(parts)})"
+
+
 MODEL_QUERIES: dict[str, Query] = {
     "revenue_gap": paired(revenue_gap, table("gap"), GAP),
     "contract_months": paired(
@@ -190,6 +250,21 @@ MODEL_QUERIES: dict[str, Query] = {
         "AS DATE) AS day FROM events) b LEFT JOIN (SELECT DISTINCT event_type, CAST(ts AS DATE) AS day, user_id FROM "
         "events) a ON a.event_type = b.event_type AND a.day BETWEEN b.day - 6 AND b.day GROUP BY 1, 2",
         "event_type:s day:d users_7d:i"),
+    "rolling_value": paired(
+        rolling_value,
+        "SELECT b.event_type, b.day, SUM(v) AS total, MAX(v) AS largest, CAST(SUM(v) AS DOUBLE) / COUNT(v) AS mean, COUNT(v) AS n FROM (SELECT DISTINCT "
+        "event_type, CAST(ts AS DATE) AS day FROM events) b JOIN (SELECT event_type, CAST(ts AS DATE) AS day, CAST(value AS DECIMAL(18,2)) AS v FROM "
+        "events) a ON a.event_type = b.event_type AND a.day BETWEEN b.day - 29 AND b.day GROUP BY 1, 2",
+        "event_type:s day:d total:f2 largest:f2 mean:f6 n:i"),
+    "identity_inline_truth": paired(
+        inline_truth, "SELECT account_id, account_name, account_id AS master_customer_id, 'Known ' || k AS customer_name, 'cus_' || k AS "
+        "stripe_customer_id, 'mp_' || k AS mixpanel_company_id, 'GROUND_TRUTH' AS identity_source FROM (SELECT *, REPLACE(account_id, 'SF_', '') AS k "
+        "FROM accounts) WHERE CAST(k AS INTEGER) BETWEEN 1 AND 5",
+        "account_id:s account_name:s master_customer_id:s customer_name:s stripe_customer_id:s mixpanel_company_id:s identity_source:s"),
+    "dq_declared": Query(
+        lambda spark, sf_dir: finish(declared_suite(StandIns(spark, sf_dir)).withColumnsRenamed(
+            {"column": "col", "check": "kind"}), "model:s col:s kind:s failures:i should_warn:b should_error:b"),
+        oracle.sql(declared_sql(), "model:s col:s kind:s failures:i should_warn:b should_error:b")),
     "usage_windows": paired(
         lambda s: usage.rolling_metrics(usage.densify(usage.customer_dates(s.users, trailing_days(s.spark, AS_OF, 121)),
                                                       usage.daily_totals(mapped(s)))),

@@ -228,6 +228,26 @@ def test_custom_open_end_and_version_invariants(spark):
     assert state.select("dbt_scd_id").distinct().count() == 4
 
 
+def test_a_key_that_comes_back_unchanged(spark):
+    source = spark.createDataFrame([("a", 1, at(1)), ("b", 2, at(1))], SCHEMA)
+    only_a, newer = source.filter("id = 'a'"), spark.createDataFrame([("a", 1, at(1)), ("b", 3, at(5))], SCHEMA)
+    for match, back in ((False, [("b", 2, at(1), None), ("b", 2, at(1), at(4))]), (True, [("b", 2, at(1), at(4))])):
+        spec = snapshots.Snapshot("id", updated_at="updated_at", hard_deletes="invalidate", now="2024-01-04 00:00:00", match_history=match)
+        gone = snapshots.snapshot_apply(snapshots.snapshot_init(source, spec), only_a, spec)
+        assert versions(snapshots.snapshot_apply(gone, source, spec)) == sorted([("a", 1, at(1), None), *back], key=repr)
+        again = versions(snapshots.snapshot_apply(gone, newer, spec))
+        assert ("b", 3, at(5), None) in again and ("b", 2, at(1), at(4)) in again and len(again) == 3
+
+
+def test_a_change_back_to_a_closed_version_closes_the_open_one(spark):
+    spec = snapshots.Snapshot("id", strategy="check", check_cols=("v",), updated_at="updated_at", match_history=True)
+    states = [spark.createDataFrame([("a", v, at(d))], SCHEMA) for v, d in ((1, 1), (2, 2), (1, 1))]
+    state = snapshots.snapshot_init(states[0], spec)
+    for source in states[1:]:
+        state = snapshots.snapshot_apply(state, source, spec)
+    assert versions(state) == [("a", 1, at(1), at(2)), ("a", 2, at(2), at(1))]
+
+
 def test_snapshot_options_are_checked():
     with pytest.raises(ValueError):
         snapshots.Snapshot("id", strategy="other", updated_at="u")

@@ -1,5 +1,6 @@
 """Hand-made rows for every branch of the business rules."""
 
+import dataclasses
 import datetime as dt
 import hashlib
 from decimal import Decimal
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.quality import fixture
-from ledgerloom.plans import activation, finance, health, identity, ledgers, support, usage
+from ledgerloom.plans import activation, finance, health, identity, ledgers, params, support, usage
 from ledgerloom.schemas import staged_schema
 
 AS_OF = "2024-02-20"
@@ -191,6 +192,9 @@ def test_revenue_gap(staged, idmap):
     months = finance.expand_months(finance.contract_months(opps, idmap))
     per = {r.opportunity_id: r.n for r in months.groupBy("opportunity_id").agg(F.count("*").alias("n")).collect()}
     assert per == {"o1": 13, "o2": 240}  # an open end runs 13 months; the generator stops at 240
+    lifted = dataclasses.replace(params.THRESHOLDS, contract_months_cap=None)
+    every = finance.expand_months(finance.contract_months(opps, idmap, lifted), lifted)
+    assert every.filter("opportunity_id = 'o2'").count() == 361
     invoices = staged("stripe_invoices", {"invoice_id": "i1", "customer_id": "cus1", "invoice_date": dt.date(2023, 1, 20)},
                       {"invoice_id": "i2", "customer_id": "cus2", "invoice_date": dt.date(2023, 3, 20)},
                       {"invoice_id": "i3", "customer_id": "cus2", "invoice_date": None})

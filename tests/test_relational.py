@@ -69,3 +69,31 @@ def test_set_operations(spark, rows):
     assert rows(relational.union_all(a, b)) == [(1,), (1,), (2,), (2,), (3,)]
     assert rows(relational.except_distinct(a, b)) == [(1,)]
     assert rows(relational.intersect_distinct(a, b)) == [(2,)]
+
+
+def test_band_aggregate_equals_all_pairs(spark, rows):
+    import datetime as dt
+    import random
+    rnd = random.Random(4)
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    right = [(rnd.choice(["a", "b", None]), rnd.choice([None, *map(day, range(-40, 90))]), rnd.choice([None, *range(9)])) for _ in range(600)]
+    left = [(rnd.choice(["a", "b", "c", None]), rnd.choice([None, *map(day, range(60))])) for _ in range(80)]
+    df = spark.createDataFrame(left, "k string, at date")
+    events = spark.createDataFrame(right, "k string, seen date, v int")
+    measures = {"total": ("sum", "v"), "low": ("min", "v"), "high": ("max", "v"), "n": ("count", "v"), "mean": ("avg", "v")}
+    for first, last in ((-29, 0), (0, 0), (-3, 4), (5, 20)):
+        want = []
+        for k, at in left:
+            vs = [v for k2, seen, v in right if k is not None and k == k2 and at and seen and first <= (seen - at).days <= last and v is not None]
+            want.append((k, at, sum(vs) if vs else None, min(vs, default=None), max(vs, default=None), len(vs), sum(vs) / len(vs) if vs else None))
+        assert rows(relational.band_aggregate(df, events, ["k"], "at", "seen", first, last, measures)) == sorted(want, key=repr)
+    plan = relational.band_join(df, events.drop("v"), ["k"], "at", "seen", -29, 0)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_first_values_hold_no_whole_group(spark, rows):
+    df = spark.range(1000).selectExpr("id % 2 as k", "case when id % 5 > 0 then concat('v', lpad(id, 4, '0')) end as v", "-id as o")
+    got = relational.first_values(df, ["k"], "v", 2, "some")
+    assert rows(got) == [(0, "v0002,v0004"), (1, "v0001,v0003")]
+    assert rows(relational.first_values(df, ["k"], "v", 2, "some", "|", [F.col("o")])) == [(0, "v0998|v0996"), (1, "v0999|v0997")]
+    assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()

@@ -142,6 +142,22 @@ def test_seed_types(spark, tmp_path):
     df = catalog.load_seed(spark, str(tmp_path / "seed.csv"), {"b": "int"})
     assert df.first().asDict() == {"a": "x, y", "b": 7}
     assert catalog.load_seed(spark, str(tmp_path / "seed.csv")).first().b == "07"
+    assert catalog.load_seed(spark, str(tmp_path / "seed.csv"), infer=False).dtypes == [("a", "string"), ("b", "string")]
+
+
+def test_seed_types_are_inferred_from_all_rows(spark, tmp_path):
+    lines = ["n,x,yes,day,moment,code,long,text.1,none,late", "1,1.5,true,2024-01-31,2024-01-31 10:00:00,007,12345678901234567890,a,,1"]
+    lines += ["-20,2e3,FALSE,2024-02-01,2024-02-01T11:30,8,1,b,,2"] * 500 + [",,,,,,,,,x", "3,.25,true,2024-02-30,,,,,,3"]
+    (tmp_path / "seed.csv").write_text("\n".join(lines))
+    df = catalog.load_seed(spark, str(tmp_path / "seed.csv"))
+    assert dict(df.dtypes) == {"n": "bigint", "x": "double", "yes": "boolean", "day": "string", "moment": "timestamp_ntz", "code": "string",
+                               "long": "string", "text.1": "string", "none": "string", "late": "string"}
+    assert df.filter("n = 3").first().x == 0.25 and df.filter("n is null").count() == 1
+
+
+def test_listing_can_be_narrowed(spark, lake, rows):
+    files = landing.with_layout(landing.listing(spark, str(lake), run_date="2024-01-03"))
+    assert rows(files, "run_date", "file") == [("2024-01-03", "late.jsonl.gz")]
 
 
 def test_tables_views_and_clones(spark, tmp_path, rows):
@@ -328,6 +344,40 @@ def test_maintain_adds_batches_and_skips_a_replayed_one(spark, tmp_path, rows):
     assert run() == [("a", 7), ("b", 1), ("c", 1), ("d", 1)]
 
 
+def test_suite_verdicts_and_stored_failures(spark, rows):
+    t = spark.createDataFrame([(1, "a", 5), (1, "b", None), (2, "c", 9), (None, "c", 7), (3, None, 7)], "id int, kind string, ref int")
+    other = spark.createDataFrame([(7,), (5,), (None,)], "key int")
+    spec = [quality.Check("t", "id", "unique"), quality.Check("t", "id", "unique", where="kind <> 'b'"), quality.Check("t", "id", "not_null"),
+            quality.Check("t", "kind", "accepted_values", values=("a", "b"), severity="warn"),
+            quality.Check("t", "ref", "relationships", to="o", field="key"), quality.Check("t", "kind", "unique", fail_calc="max(n_records)", error_if="> 1"),
+            quality.Check("t", "id", "unique", fail_calc="sum(n_records)", limit=1, warn_if="> 5"), quality.Check("o", "key", "not_null", error_if="> 1"),
+            quality.Check("t", "kind", "accepted_values", values=("a", "b", "c"), fail_calc="sum(n_records)")]
+    got = [tuple(r) for r in quality.run_suite(spec, {"t": t, "o": other}, store_as="kept_failures").collect()]
+    assert sorted(got) == sorted([
+        ("t", "id", "unique", 1, True, True), ("t", "id", "unique", 0, False, False), ("t", "id", "not_null", 1, True, True),
+        ("t", "kind", "accepted_values", 1, True, False), ("t", "ref", "relationships", 1, True, True), ("t", "kind", "unique", 2, True, True),
+        ("t", "id", "unique", 2, False, True), ("o", "key", "not_null", 1, True, False), ("t", "kind", "accepted_values", 0, False, False)])
+    assert rows(spark.table("kept_failures"), "model", "column", "kind", "value", "n_records") == sorted([
+        ("t", "id", "unique", "1", 2), ("t", "id", "not_null", None, 1), ("t", "kind", "accepted_values", "c", 2),
+        ("t", "ref", "relationships", "9", 1), ("o", "key", "not_null", None, 1)], key=repr)
+    for wrong in ({"kind": "odd"}, {"kind": "unique", "severity": "odd"}):
+        with pytest.raises(ValueError):
+            quality.Check("t", "id", **wrong)
+
+
+def test_suite_reads_each_model_once_and_once_more_for_references(spark, tmp_path):
+    models = {}
+    for name in ("m", "parent"):
+        spark.range(20).selectExpr("id", "id as ref", "'x' as kind").write.parquet(str(tmp_path / name))
+        models[name] = spark.read.parquet(str(tmp_path / name))
+    spec = [quality.Check(m, c, k) for m in models for c in ("id", "ref") for k in ("unique", "not_null")]
+    spec += [quality.Check("m", c, "relationships", to="parent", field="id") for c in ("id", "ref")]
+    df = quality.run_suite(spec, models)
+    assert df.filter("failures > 0").count() == 0
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 3
+
+
 def test_quality_gate(spark):
     checks = [quality.Check("batch", "id", "not_null")]
     assert ingest.quality_gate(spark.range(3), "batch", checks)
