@@ -20,36 +20,16 @@ from ..streaming import ingest, refresh, totals
 from . import oracle
 from .model_queries import Query, paired
 from .shape import finish
-from .standins import AS_OF, FEEDS, StandIns
+from .standins import AS_OF, DOCUMENT_FIELDS, FEEDS, StandIns
 
 
 # --- staging: one query per staged table -----------------------------------------
 
 _KIND = {"string": "s", "number": "f0", "date": "d", "timestamp": "t", "variant": "s"}
-# Columns the documents of a stand-in lack; staging gives nulls for them.
-ABSENT = {
-    "intacct_customers": {"status"},
-    "intacct_gl_entries": {"description", "cost_center", "product"},
-    "sf_accounts": {"industry", "country", "billing_city", "billing_postcode", "employee_count"},
-    "sf_opportunities": {"product_plan", "billing_frequency", "discount_pct", "created_date", "renewal_date"},
-    "sf_users": {"slack_user_handle"},
-    "stripe_charges": {"status", "payment_method", "created_at"},
-    "stripe_disputes": {"reason"},
-    "stripe_invoice_line_items": {"description", "revenue_category", "quantity", "unit_price_gbp"},
-    "stripe_invoices": {"period_start", "period_end"},
-    "stripe_subscriptions": {"plan_id", "plan_name", "start_date", "current_period_end", "cancel_at_period_end"},
-    "zendesk_ticket_events": {"notes", "to_tier"},
-    "zendesk_tickets": {"tags", "updated_at"},
-}
-
-
 def stage_query(table: str) -> Query:
     fields = STAGING[table]
-    absent = ABSENT.get(table, set())
 
     def value(f) -> str:
-        if f.name in absent:
-            return f"NULL AS {f.name}"
         if f.kind == "variant":
             return f"REPLACE(props, ' ', '') AS {f.name}"
         if f.kind == "number":
@@ -62,7 +42,8 @@ def stage_query(table: str) -> Query:
         return staged.withColumns({v: F.to_json(v) for v in variants}) if variants else staged
 
     spec = " ".join(f"{f.name}:{_KIND[f.kind]}" for f in fields)
-    return paired(run, f"SELECT {', '.join(value(f) for f in fields)} FROM {FEEDS[table]}", spec)
+    more = "".join(f", {text} AS {name}" for name, text in DOCUMENT_FIELDS.get(table, {}).items())
+    return paired(run, f"SELECT {', '.join(value(f) for f in fields)} FROM (SELECT *{more} FROM {FEEDS[table]})", spec)
 
 
 def stg_events_variant(s: StandIns) -> DataFrame:

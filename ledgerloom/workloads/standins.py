@@ -37,6 +37,40 @@ FEEDS = {
 }
 
 
+# Fields of the landing documents that no model reads, as SQL over the stand-in's columns that both engines know.
+DOCUMENT_FIELDS = {
+    "intacct_customers": {"status": "CASE WHEN customer_id LIKE 'INTACCT_S%' THEN 'vendor' ELSE 'active' END"},
+    "intacct_gl_entries": {
+        "description": "account || ' of ' || customer_id", "cost_center": "'CC-' || department",
+        "product": "CASE WHEN account = 'R' THEN 'returns' END"},
+    "sf_accounts": {
+        "industry": "LOWER(segment)", "country": "CASE segment WHEN 'BUILDING' THEN 'GB' WHEN 'MACHINERY' THEN 'IE' END",
+        "billing_city": "'City ' || RIGHT(account_id, 1)", "billing_postcode": "'PC' || RIGHT(account_id, 3)",
+        "employee_count": "LENGTH(segment) * 10"},
+    "sf_opportunities": {
+        "product_plan": "CASE stage WHEN 'Closed Won' THEN 'pro' ELSE 'trial' END",
+        "billing_frequency": "CASE WHEN arr_booked_gbp > 100000 THEN 'annual' ELSE 'monthly' END",
+        "discount_pct": "CASE WHEN arr_booked_gbp > 200000 THEN 10 ELSE 0 END", "created_date": "close_date - 30",
+        "renewal_date": "contract_end_date + 1"},
+    "sf_users": {"slack_user_handle": "'@' || LOWER(full_name)"},
+    "stripe_charges": {
+        "status": "CASE WHEN amount_gbp > 100000 THEN 'pending' ELSE 'succeeded' END",
+        "payment_method": "CASE WHEN customer_id LIKE '%1' THEN 'bacs_debit' ELSE 'card' END",
+        "created_at": "DATE '2024-01-01' + CAST(FLOOR(amount_gbp % 28) AS INT)"},
+    "stripe_disputes": {"reason": "CASE status WHEN 'lost' THEN 'fraudulent' ELSE 'duplicate' END"},
+    "stripe_invoice_line_items": {
+        "description": "'line of ' || invoice_id", "revenue_category": "CASE WHEN amount_gbp > 20000 THEN 'services' ELSE 'subscription' END",
+        "quantity": "CASE WHEN amount_gbp > 1000 THEN 2 ELSE 1 END", "unit_price_gbp": "FLOOR(amount_gbp)"},
+    "stripe_invoices": {"period_start": "invoice_date - 30", "period_end": "invoice_date"},
+    "stripe_subscriptions": {
+        "plan_id": "'plan_' || status", "plan_name": "CASE WHEN mrr_gbp > 100000 THEN 'Enterprise' ELSE 'Team' END",
+        "start_date": "current_period_start - 365", "current_period_end": "current_period_start + 30",
+        "cancel_at_period_end": "CASE status WHEN 'past_due' THEN 1 ELSE 0 END"},
+    "zendesk_ticket_events": {"notes": "CASE actor WHEN 'agent' THEN 'by ' || actor END", "to_tier": "CASE event_type WHEN 'signup' THEN '2' END"},
+    "zendesk_tickets": {"tags": "status || ',' || priority", "updated_at": "created_at + INTERVAL 2 HOURS"},
+}
+
+
 def _id(prefix: str, column: str) -> Column:
     return F.expr(f"concat('{prefix}', cast({column} as string))")
 
@@ -220,7 +254,7 @@ class StandIns:
             F.col("l_quantity").cast(AMOUNT).alias("hours"),
             (F.col("l_discount") * 1000).cast(AMOUNT).alias("billable_rate_gbp_per_hour"),
             (F.col("l_tax") * 1000).cast(AMOUNT).alias("cost_rate_gbp_per_hour"),
-            F.lit(None).cast("string").alias("notes"), _day("l_shipdate").alias("date"))
+            F.when(F.col("l_returnflag") == "R", "rework").alias("notes"), _day("l_shipdate").alias("date"))
 
     @cached_property
     def support_time(self) -> DataFrame:
@@ -325,7 +359,7 @@ class StandIns:
 
     def documents(self, table: str) -> DataFrame:
         """The stand-in as JSON texts, one document per row, as the source systems write them."""
-        df = self.feed(table)
+        df = self.feed(table).withColumns({name: F.expr(text) for name, text in DOCUMENT_FIELDS.get(table, {}).items()})
         columns = [F.from_json("props", "k int").alias("properties") if f.name == "props"
                    else F.col(f.name).cast("string").alias(f.name)
                    if f.dataType.simpleString() in ("date", "timestamp_ntz") else F.col(f.name) for f in df.schema]

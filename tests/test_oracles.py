@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_DIR
 from ledgerloom.plans import finance
+from ledgerloom.schemas import STAGING
 from ledgerloom.workloads import data_queries, model_queries, standins
 from ledgerloom.workloads.standins import StandIns
 
@@ -60,6 +61,13 @@ def test_query_matches_its_oracle(spark, duck, name):
     assert len(got) > 0
 
 
+def test_every_staged_column_is_seen_with_values(duck):
+    for table in STAGING:
+        relation = duck.sql(entry.oracle_sql()[f"stg_{table}"])
+        counts = relation.aggregate(", ".join(f"count({c})" for c in relation.columns)).fetchall()[0]
+        assert all(counts), (table, [c for c, n in zip(relation.columns, counts, strict=True) if not n])
+
+
 # Joins that may be nested loops: a one-row side or the fixed date spine.
 @pytest.mark.parametrize("name", ["revenue_gap", "unified_revenue", "unified_cost", "customer_profitability", "customer_ltv",
                                   "product_usage", "issue_resolution", "customer_health_score", "fact_customer_health",
