@@ -308,7 +308,7 @@ def test_predictive_probabilities_sum_to_one():
     words = [b"a", b"ab", b"ba", b"abba", b""]
     keys, owner = pitman_yor.positions(words)
     distinct, place = np.unique(keys, return_inverse=True)
-    spelling = pitman_yor.Spelling.sampled(distinct, np.bincount(place).astype(np.int64) * 3, pitman_yor.Spelling(), np.random.default_rng(1))
+    spelling = pitman_yor.Spelling.sampled(distinct, np.bincount(place).astype(np.int64) * 3, pitman_yor.Spelling(), 1)
     for context in (0, 1, 33, 1 << 19):
         every = context * pitman_yor.SYMBOLS + np.arange(pitman_yor.SYMBOLS)
         assert spelling.probability(every, pitman_yor.LEVELS).sum() == pytest.approx(1)
@@ -316,9 +316,8 @@ def test_predictive_probabilities_sum_to_one():
 
 
 def test_seats_stay_in_bounds():
-    rng = np.random.default_rng(2)
     count = np.array([0, 1, 2, 50, 100_000])
-    tables = pitman_yor.seats(count, np.full(5, 0.01), 5.0, 0.5, 100.0, rng)
+    tables = pitman_yor.seats(count, np.full(5, 0.01), 5.0, 0.5, 100.0, np.arange(5), 3)
     assert (tables <= count).all() and (tables >= (count > 0)).all()
 
 
