@@ -28,6 +28,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from functools import cache
 
 from pyspark.sql import DataFrame
@@ -41,7 +42,10 @@ ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 # Element kinds (fixed values of HTML).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style template textarea svg iframe select title annotation annotation-xml".split())
-INLINE = frozenset(("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike "
+# Of these, elements that may hold others of their name; and form controls, which are left out too but may be left open.
+NESTED = frozenset("svg template".split())
+CONTROLS = frozenset("button label".split())
+INLINE = frozenset(("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike "
                     "strong sub sup time tt u var wbr "
                     "math maction menclose merror mfenced mfrac mi mlabeledtr mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
                     "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics").split())
@@ -96,6 +100,12 @@ class Page:
         run: list[str] = []
         linked = links = 0
         within: list[str] = []  # open elements of EITHER that belong to a line
+        opened: Counter[str] = Counter()  # tags on the stack, so that none is looked for in vain
+
+        def cut(at: int) -> None:
+            flush()
+            opened.subtract(t for t, _, _ in stack[at:])
+            del stack[at:]
 
         def flush() -> None:
             nonlocal run, linked
@@ -107,10 +117,11 @@ class Page:
                 run, linked = [], 0
 
         def close(tags: set[str], stops: set[str]) -> None:
+            if not any(opened[t] for t in tags):
+                return
             for at in range(len(stack) - 1, 0, -1):
                 if stack[at][0] in tags:
-                    flush()
-                    del stack[at:]
+                    cut(at)
                     return
                 if stack[at][0] in stops:
                     return
@@ -140,16 +151,12 @@ class Page:
                 if tag in within:
                     within.remove(tag)
                     continue
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == tag:
-                        flush()
-                        del stack[k:]
-                        break
+                if opened[tag]:
+                    cut(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag))
                 continue
-            if tag in RAW:
+            if tag in RAW or tag in CONTROLS:
                 if not attributes.endswith("/"):
-                    shut = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(source, at)
-                    at = shut.end() if shut else end
+                    at = past(source, tag, at, end if tag in RAW else at)
                 continue
             if tag == "a":
                 links = 1
@@ -168,10 +175,24 @@ class Page:
             if tag in VOID:
                 continue
             label = 0 if "data-off" in attributes else 1 if "data-main" in attributes else stack[-1][2]
+            opened[tag] += 1
             stack.append((tag, self._node(stack[-1][1], self._potential(tag, attributes), None, label), label))
         flush()
 
 
+def past(source: str, tag: str, at: int, without: int) -> int:
+    """Where an element that began before ``at`` ends, with those of the same name within NESTED ones; ``without`` if it has no end."""
+    depth = 1
+    for match in re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*>?", re.I).finditer(source, at):
+        if match[1]:
+            depth -= 1
+        elif tag in NESTED and not match[0].endswith("/>"):
+            depth += 1
+        if not depth:
+            return match.end()
+    return without
+
+
 def element_features(tag: str, attributes: str) -> list[str]:
     """Names of an element's features."""
     out = ["root"] if not tag else ["element"] if tag in PLAIN else ["element", f"tag {tag}"]
