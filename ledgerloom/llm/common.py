@@ -93,6 +93,25 @@ def _arrow_types(schema: str) -> list[pa.DataType]:
     return [known[field.split(None, 1)[1]] for field in _fields(schema)]
 
 
+def every(df: DataFrame) -> list[Column]:
+    """All columns, whatever their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many more underscores as it takes to clash with no column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def rows_mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """mapInArrow() of a function that keeps all columns; those whose names hold a dot or a backtick have others meanwhile."""
+    plain = df.toDF(*(free_name(df, f"_c{i}") if "." in c or "`" in c else c for i, c in enumerate(df.columns)))
+    return plain.mapInArrow(run, plain.schema).toDF(*df.columns)
+
+
 def texts(df: DataFrame, *others: str, column: str = "text") -> DataFrame:
     """The named columns and the whole text, null as empty; nothing else is read or clashes."""
     return df.select(*others, F.coalesce(F.col(column), F.lit("")).alias("text"))

@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, byte_texts, mapped, shipped
+from .common import alnum_words, byte_texts, mapped, pieces, rows_mapped, shipped
 
 WINDOW = 10
-# Text of test items in one automaton.
-BLOCK_BYTES = 32 << 20
+# Text of test items in one automaton, which takes about 125 times as much memory.
+BLOCK_BYTES = 768 << 10
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 SCHEMA = "doc_id long, n_words long, hit_words array<int>, spans array<struct<start:int,end:int>>, items array<long>"
-_SCANNERS: dict[int, Scanner] = {}
+_SCANNERS: dict[str, Scanner] = {}
 
 
 class Scanner:
@@ -127,11 +127,11 @@ def _scan(docs: DataFrame, items: list[tuple], window: int, key: bool = False) -
 
 def _shared_scanner(docs: DataFrame, items: list[tuple], window: int) -> Callable[[], Scanner]:
     """What gives a task the automaton of the items, built once in each Python worker."""
-    sent = docs.sparkSession.sparkContext.broadcast([(i, bytes(t)) for i, t in items])
-    number = sent.id if hasattr(sent, "id") else id(sent)
+    rows = sorted(((i, bytes(t)) for i, t in items), key=repr)
+    sent = docs.sparkSession.sparkContext.broadcast(rows)
+    name = hashlib.sha256(repr((window, rows)).encode()).hexdigest()
 
     def scanner() -> Scanner:
-        name = hash((number, window, len(sent.value)))
         if name not in _SCANNERS:
             _SCANNERS.clear()
             _SCANNERS[name] = Scanner(sent.value, window)
@@ -155,10 +155,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
 
         def clean(batches: Iterator[pa.RecordBatch], scanner=scanner) -> Iterator[pa.RecordBatch]:
             scan = scanner().scan
-            for batch in batches:
+            for batch in pieces(batches):
                 yield batch.filter(pa.array([not scan((t or "").encode())[1] for t in batch.column("text").to_pylist()], pa.bool_()))
 
-        docs = docs.select(*docs.columns).mapInArrow(clean, docs.schema)
+        docs = rows_mapped(docs, clean)
     return docs
 
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, mapped, scratch, shipped
+from .common import byte_texts, every, free_name, mapped, scratch, shipped
 
 SHINGLE = 5
 PERCENT = 80
@@ -279,9 +279,10 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
 
     Rows are numbered once, as an id may be null or repeated; each is compared by its own text.
     """
-    numbered = scratch(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    found = classes(numbered.select(F.col("_row").alias("doc_id"), "text"), size, percent).select(F.col("doc_id").alias("_row"), "component_id")
-    rows = scratch(found.join(numbered.select("_row", "doc_id"), "_row"), "rows")
-    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")).alias("first"))
-    gone = rows.select("_row").join(first.select("first._row"), "_row", "left_anti")
-    return numbered.join(gone, "_row", "left_anti").select(*docs.columns)
+    row = free_name(docs, "_row")
+    numbered = scratch(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = classes(numbered.select(F.col(row).alias("doc_id"), "text"), size, percent).select(F.col("doc_id").alias(row), "component_id")
+    rows = scratch(found.join(numbered.select(row, "doc_id"), row), "rows")
+    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.col(row).alias("row"))).alias("first"))
+    gone = rows.select(row).join(first.select(F.col("first.row").alias(row)), row, "left_anti")
+    return numbered.join(gone, row, "left_anti").select(*every(docs))

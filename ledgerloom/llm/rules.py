@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import WHITE, mapped, scratch, shipped
+from .common import every, mapped, pieces, scratch, shipped, WHITE
 
 RISK = 0.02
 CONFIDENCE = 0.05
@@ -230,16 +230,18 @@ def _judged(measured: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows without the rejected ones; each is judged by its own text, counted a second time as the row passes."""
-    measured = scratch(counts(docs), "counts")
-    row = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("_row"))
+    """The rows without the rejected ones; each is judged by its own text, which is counted once and written with its counts."""
+    row = docs.select(F.struct(*every(docs)).alias("_row"))
     names = [f.split()[0] for f in COUNTS.split(", ")][2:]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             rows = batch.column("_row")
             columns = list(zip(*(counts_of(t or "") for t in rows.field("text").to_pylist()), strict=True)) or [[] for _ in names]
             yield pa.RecordBatch.from_arrays([rows, rows.field("lang").cast(pa.string()), *(pa.array(c, pa.int64()) for c in columns)], ["_row", "lang", *names])
 
+    shipped(docs.sparkSession)
     schema = StructType([row.schema["_row"], StructField("lang", StringType()), *(StructField(n, LongType()) for n in names)])
-    return _judged(row.mapInArrow(count, schema), _wide(measured, labels, RISK, CONFIDENCE)).where("kept").select("_row.*")
+    counted = scratch(row.mapInArrow(count, schema), "counted")
+    measured = counted.select(F.col("_row.doc_id").alias("doc_id"), "lang", *names)
+    return _judged(counted, _wide(measured, labels, RISK, CONFIDENCE)).where("kept").select("_row.*")

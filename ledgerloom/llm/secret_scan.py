@@ -23,7 +23,7 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, shipped, texts
+from .common import mapped, pieces, rows_mapped, shipped, texts
 
 # A private key: its BEGIN line and all up to the END line; without that, header lines and lines of base64 (line ends may be written \\n) that follow.
 _KEY = r"[A-Z0-9 ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
@@ -34,6 +34,7 @@ _LAST = rf"(?:{_GAP}[A-Za-z0-9+/]++={{1,2}}+(?!\S)|(?:[\r\n]|\\[nr]){_GAP}[A-Za-
 _LINES = rf"{_RUN}(?:{_RUN})*+{_LAST}?+"
 PRIVATE_KEY = rf"-----BEGIN {_KEY}(?:(?:[^-]|-(?!----))*+-----END {_KEY}|{_HEADERS}(?:{_LINES})?+)"
 # kind, regex, least length, group the length is of. The first three are the base; the order breaks ties of spans.
+# Rules with a repeated class before what they require begin only where its run begins, so that a long run is read once.
 RULES = [
     ("assign", r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8, 2),
     ("access", r"AKIA[A-Z0-9]+", 16, 0),
@@ -41,11 +42,11 @@ RULES = [
     ("private_key", PRIVATE_KEY, 0, 0),
     ("source_host_token", r"(?:ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{36}", 0, 0),
     ("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
-    ("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
+    ("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
     ("maps_key", r"AIza[A-Za-z0-9_-]{35}", 0, 0),
     ("payment_key", r"[sr]k_(?:live|test)_[A-Za-z0-9]{16,}", 0, 0),
     ("bearer", r"(?ai)authorization: bearer [A-Za-z0-9._~+/=-]{16,}", 0, 0),
-    ("url_password", r"[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/:@]+@[^\s/]+", 0, 0),
+    ("url_password", r"(?<![a-z0-9+.-])[a-z0-9+.-]++://[^\s/:@]+:[^\s/:@]+@[^\s/]+", 0, 0),
 ]
 BASE = ("assign", "access", "hex")
 MASK = "[SECRET]"
@@ -166,14 +167,13 @@ def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 def redact(docs: DataFrame, rules: list[tuple] = RULES) -> DataFrame:
     """The documents with masked secrets and n_chars of the new text; rows without secrets, and null texts, stay as they are."""
-    columns = docs.columns
     shipped(docs.sparkSession)
 
     def run(batches):
         import pyarrow as pa
 
         scan = scanner(rules)
-        for batch in batches:
+        for batch in pieces(batches):
             text = batch.column("text").to_pylist()
             spans = scan([t or "" for t in text])
             if any(spans):
@@ -186,4 +186,4 @@ def redact(docs: DataFrame, rules: list[tuple] = RULES) -> DataFrame:
                     batch = batch.set_column(at, "n_chars", pa.array(counts, batch.schema.field(at).type))
             yield batch
 
-    return docs.select(*columns).mapInArrow(run, docs.schema)
+    return rows_mapped(docs, run)
