@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Joins on business keys may meet a key that holds a large share of the rows. Adaptive
 # execution then splits that key's shuffle partition over many tasks.
+# Moments are UTC wherever a session runs.
 TUNING = {
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

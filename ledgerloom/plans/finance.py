@@ -269,11 +269,6 @@ def lifetime_cost(cost: DataFrame) -> DataFrame:
         sums["shared"].alias("total_engineering_shared_cost_gbp"), F.sum("hours").alias("total_hours"))
 
 
-def shared_pool(costs: DataFrame) -> DataFrame:
-    """One row: shared engineering cost over the whole ledger, from :func:`lifetime_cost`."""
-    return costs.agg(F.sum("total_engineering_shared_cost_gbp").alias("shared_engineering_pool_gbp"))
-
-
 def acquisition(opportunities: DataFrame, idmap: DataFrame) -> DataFrame:
     """First closed-won date and number of won opportunities."""
     return closed_won(opportunities, idmap).groupBy(CUSTOMER).agg(
@@ -298,18 +293,17 @@ def ltv_calculation(idmap: DataFrame, revenue: DataFrame, cost: DataFrame, snaps
     once: their sums over all customers come from these rows, not from the ledgers again.
     """
     customers = tenure(idmap, as_of)
-    costs = cut_lineage(lifetime_cost(cost))
-    mrr = cut_lineage(mrr_metrics(commercial_mrr_monthly(snapshots), as_of))
-    joined = (customers.join(lifetime_revenue(revenue), CUSTOMER, "left").join(mrr, CUSTOMER, "left")
-              .join(costs, CUSTOMER, "left").join(acquisition(opportunities, idmap), CUSTOMER, "left"))
+    spent = cut_lineage(lifetime_cost(cost).join(mrr_metrics(commercial_mrr_monthly(snapshots), as_of), CUSTOMER, "full_outer"))
+    joined = (customers.join(lifetime_revenue(revenue), CUSTOMER, "left").join(spent, CUSTOMER, "left")
+              .join(acquisition(opportunities, idmap), CUSTOMER, "left"))
     amounts = ["gaap_total_revenue_gbp", "gaap_total_recognized_revenue_gbp", "gaap_total_deferred_revenue_gbp",
                "commercial_current_mrr_gbp", "commercial_avg_monthly_mrr_gbp", "total_direct_cost_gbp",
                "total_delivery_cost_gbp", "total_support_cost_gbp", "total_engineering_direct_cost_gbp",
                "total_engineering_shared_cost_gbp", "total_hours"]
     filled = joined.withColumns({"__has_revenue": F.col("gaap_total_revenue_gbp") > 0,
                                  **{a: zero_if_null(a) for a in amounts}})
-    totals = shared_pool(costs).crossJoin(F.broadcast(
-        mrr.agg(F.sum("commercial_current_mrr_gbp").alias("__all_mrr"))))
+    totals = spent.agg(F.sum("total_engineering_shared_cost_gbp").alias("shared_engineering_pool_gbp"),
+                       F.sum("commercial_current_mrr_gbp").alias("__all_mrr"))
     rows = filled.crossJoin(F.broadcast(totals))  # one row
     mrr, revenue_total = F.col("commercial_current_mrr_gbp"), F.col("gaap_total_revenue_gbp").cast("double")
     direct, months = F.col("total_direct_cost_gbp").cast("double"), F.col("tenure_months_safe")

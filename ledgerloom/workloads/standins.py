@@ -363,7 +363,8 @@ class StandIns:
         columns = [F.from_json("props", "k int").alias("properties") if f.name == "props"
                    else F.col(f.name).cast("string").alias(f.name)
                    if f.dataType.simpleString() in ("date", "timestamp_ntz") else F.col(f.name) for f in df.schema]
-        return df.select(F.to_json(F.struct(*columns)).alias("value"))
+        dealt = df.select(*columns).repartition(self.spark.sparkContext.defaultParallelism)  # a feed lands in many files
+        return dealt.select(F.to_json(F.struct(*dealt.columns)).alias("value"))
 
     def landing(self, table: str) -> DataFrame:
         return self.documents(table).select(F.parse_json("value").alias("record_content"))
