@@ -23,15 +23,20 @@ def drawn(rows: DataFrame, count: int) -> DataFrame:
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(count)
 
 
-def features(docs: DataFrame, ids: DataFrame, of: Callable[[bytes], list], kind: str) -> list:
-    """(grade, features) of the documents that a drawn sample names; the sample is small, so it is broadcast.
+def examples(docs: DataFrame, ids: DataFrame, of: Callable[[bytes], list], kind: str) -> DataFrame:
+    """grade and features of the documents that a drawn sample names; the sample is small, so it is broadcast.
 
-    A repeated doc_id gives an example for each different text.
+    Of several texts with one doc_id the least counts, so there are as many rows as ids at most.
     """
-    chosen = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "grade", "text").distinct()
-    rows = mapped(byte_texts(chosen, "doc_id", "grade"), lambda: lambda b: [(g, of(t)) for g, t in zip(b["grade"], b["text"], strict=True)],
+    named = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
+    chosen = named.groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
+    return mapped(byte_texts(chosen, "doc_id", "grade"), lambda: lambda b: [(g, of(t)) for g, t in zip(b["grade"], b["text"], strict=True)],
                   f"grade int, features {kind}")
-    return sorted((r["grade"], list(r["features"])) for r in rows.collect())
+
+
+def features(docs: DataFrame, ids: DataFrame, of: Callable[[bytes], list], kind: str) -> list:
+    """The (grade, features) of :func:`examples` on the driver, in an order of their own."""
+    return sorted((r["grade"], list(r["features"])) for r in examples(docs, ids, of, kind).collect())
 
 
 def scored(docs: DataFrame, score: Callable[[], Callable[[list[bytes]], list[float]]], threshold: float) -> DataFrame:

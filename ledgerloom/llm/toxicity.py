@@ -5,12 +5,14 @@ A text's distinct words are hashed to 2^18 terms. The model is
     w0 + sum_i w_i + sum_{i<j} <v_i, v_j>   over the text's terms,
 
 whose last part learns pairs, such as an insult with the mention of a group, that added
-weights miss. Only terms that are associated with the label (likelihood ratio of their
-document counts) have weights; each is seen in several labelled documents, so that the
+weights miss. Terms have weights that are associated with the label (likelihood ratio of their
+document counts), and terms that are so only together: for each pair of the ``PAIRED`` most
+frequent terms, how much the association of one with the label differs between the
+documents with and without the other. Each is seen in several labelled documents, so that the
 thousands of chance words of a long text do not add up.
 
 Training: a bounded sample (``SAMPLE`` labelled documents) by adaptive gradient steps on
-the driver. Scoring: one map over all documents, whole texts.
+the driver. The sample's terms are counted in Spark; only those that may get a weight come to the driver. Scoring: one map over all documents, whole texts.
 
 Defined cases: null or empty text has no terms and the score of the intercept; without
 labels every score is 0; labels of one kind only give that kind's rate; repeated rows are
@@ -24,15 +26,18 @@ import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import alnum_words
-from .samples import drawn, features, graded, scored
+from .common import alnum_words, mapped, scratch
+from .samples import drawn, examples, graded, scored
 
 BITS = 18
 SAMPLE = 24_000
 THRESHOLD = 0.3
 # Terms with weights at most, and their least likelihood ratio and document count.
 TERMS, LEAST_RATIO, LEAST_DOCUMENTS = 8192, 12.0, 3
+# Terms whose pairs are looked at, least likelihood ratio of a pair, and terms that pairs add at most.
+PAIRED, LEAST_PAIR, PARTNERS = 1024, 40.0, 512
 FACTORS, EPOCHS, BATCH, RATE, PENALTY = 8, 12, 64, 0.1, 1e-4
 
 
@@ -52,10 +57,35 @@ def _ratio(a: np.ndarray, b: np.ndarray, na: int, nb: int) -> np.ndarray:
     return 2 * (part(a, na, a / na) + part(b, nb, b / nb) - part(a, na, (a + b) / (na + nb)) - part(b, nb, (a + b) / (na + nb)))
 
 
+def _partners(rows: list[np.ndarray], grades: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Of the frequent terms those whose association with the label depends on another one, strongest first."""
+    place = np.full(1 << BITS, -1, np.int32)
+    place[frequent] = np.arange(len(frequent))
+    pairs = {}
+    for grade in (0, 1):
+        mine = [place[r] for r, g in zip(rows, grades, strict=True) if g == grade]
+        seen = np.zeros((len(mine), len(frequent)), np.float32)
+        for k, at in enumerate(mine):
+            seen[k, at[at >= 0]] = 1
+        pairs[grade] = (seen.T @ seen).astype(np.float64), len(mine)  # counts below 2^24 are exact
+    (bad, na), (good, nb) = pairs[1], pairs[0]
+    a, b = np.diag(bad), np.diag(good)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        within = _ratio(bad, good, a[:, None], b[:, None])  # the column's term, in documents with the row's term
+        without = _ratio(a[None, :] - bad, b[None, :] - good, na - a[:, None], nb - b[:, None])
+        gain = np.nan_to_num(within + without - _ratio(a, b, na, nb)[None, :])
+    np.fill_diagonal(gain, 0)
+    both = np.minimum(gain, gain.T)
+    both[bad + good < LEAST_DOCUMENTS] = 0
+    best = both.max(axis=1, initial=0)
+    order = np.argsort(-best, kind="stable")[:PARTNERS]
+    return frequent[order[best[order] >= LEAST_PAIR]]
+
+
 class Machine:
     """Weights of the chosen terms; slot 0 of every array is for all others and stays 0."""
 
-    def __init__(self, examples: list[tuple[int, list[int]]], seed: int = 7):
+    def __init__(self, examples: list[tuple[int, list[int] | np.ndarray]], seed: int = 7):
         self.slot = np.zeros(1 << BITS, np.int32)
         grades = np.array([g for g, _ in examples], np.float64)
         na, nb = int(grades.sum()), int(len(grades) - grades.sum())
@@ -69,6 +99,10 @@ class Machine:
         ratio = np.where(a + b >= LEAST_DOCUMENTS, _ratio(a, b, na, nb), 0)
         chosen = np.flatnonzero(ratio >= LEAST_RATIO)
         chosen = chosen[np.argsort(-ratio[chosen], kind="stable")][:TERMS]
+        frequent = np.argsort(-(a + b), kind="stable")[:PAIRED]
+        frequent = frequent[(a + b)[frequent] >= LEAST_DOCUMENTS]
+        partners = _partners([np.asarray(found, np.int64) for _, found in examples], grades, frequent)
+        chosen = np.concatenate([chosen, partners[~np.isin(partners, chosen)]])
         self.slot[chosen] = np.arange(1, len(chosen) + 1)
         rng = np.random.default_rng(seed)
         self.weight = np.zeros(len(chosen) + 1)
@@ -77,7 +111,7 @@ class Machine:
         self._fit([self.active(found) for _, found in examples], grades, rng)
 
     def active(self, found: list[int]) -> np.ndarray:
-        slots = self.slot[found] if found else self.slot[:0]
+        slots = self.slot[found] if len(found) else self.slot[:0]
         return slots[slots > 0]
 
     def _raw(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -120,7 +154,25 @@ class Machine:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     """A machine from at most ``sample`` labelled documents outside the held-out fold."""
-    return Machine(features(docs, drawn(graded(labels, "toxic"), sample), terms, "array<int>"))
+    rows = scratch(examples(docs, drawn(graded(labels, "toxic"), sample), terms, "array<int>"), "examples")
+    counts = rows.select("grade", F.explode("features").alias("term")).groupBy("term").agg(
+        F.sum("grade").alias("a"), F.sum(1 - F.col("grade")).alias("b")).where(F.col("a") + F.col("b") >= LEAST_DOCUMENTS).toArrow()  # 2^18 terms at most
+    na, nb = (int(x or 0) for x in rows.agg(F.sum("grade"), F.sum(1 - F.col("grade"))).first())
+    term, a, b = (counts.column(c).to_numpy().astype(np.int64) for c in ("term", "a", "b"))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        wanted = np.nan_to_num(_ratio(a, b, na, nb)) >= LEAST_RATIO
+    by_count = np.lexsort((term, -(a + b)))[:PAIRED]
+    wanted[by_count] = True
+    mask = np.zeros(1 << BITS, bool)
+    mask[term[wanted]] = True
+    sent = docs.sparkSession.sparkContext.broadcast(mask)
+    few = mapped(rows, lambda: lambda batch: [(g, [t for t in f if sent.value[t]]) for g, f in zip(batch["grade"], batch["features"], strict=True)],
+                 "grade int, features array<int>").toArrow()
+    lists = few.column("features").combine_chunks()
+    offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    grades = few.column("grade").to_pylist()
+    found = [(g, flat[offsets[k]:offsets[k + 1]]) for k, g in enumerate(grades)]
+    return Machine(sorted(found, key=lambda x: (x[0], x[1].tobytes())))
 
 
 def score(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> DataFrame:

@@ -1,10 +1,12 @@
 """Reproducible seating, stages over any column names, and long or deep inputs in linear time."""
 
+import math
+import random
 import time
 
 import numpy as np
 import pytest
-from ledgerloom.llm import contamination, html_text, neardup, pitman_yor, rules, secret_scan
+from ledgerloom.llm import contamination, html_text, neardup, pitman_yor, rules, samples, secret_scan, toxicity
 
 DIR = "/root/testdata/sf0.001"
 
@@ -104,3 +106,39 @@ def test_scanners_are_known_by_their_items(spark):
     for item, hit in ((("one two three four five six seven eight nine ten"), True), ("ten nine eight seven six five four three two one", False)):
         bench = spark.createDataFrame([(1, item)], "item_id long, text string")
         assert contamination.digest(contamination.find(docs, bench)).first()["contaminated"] is hit
+
+
+def test_labels_of_pairs_alone_are_learnt():
+    """Toxic if both or neither of two words is there; neither word says anything by itself."""
+    rng = random.Random(4)
+    examples = []
+    for _ in range(4000):
+        one, two = rng.random() < 0.5, rng.random() < 0.5
+        words = {f"noise{rng.randrange(3000)}" for _ in range(20)} | ({"alpha"} if one else set()) | ({"beta"} if two else set())
+        examples.append((int(one == two), toxicity.terms(" ".join(words).encode())))
+    machine = toxicity.Machine(examples)
+    low, high = machine.score([b"alpha noise1", b"beta noise2", b"alpha beta noise1", b"noise2 noise9"])[:2], machine.score([b"alpha beta noise1", b"noise2 noise9"])
+    assert max(low) < 0.3 < 0.7 < min(high)
+
+
+def brute_raw(machine, text):
+    """All pairs of the text's terms, one after the other."""
+    slots = [int(machine.slot[t]) for t in toxicity.terms(text) if machine.slot[t]]
+    pairs = sum(float(machine.factor[a] @ machine.factor[b]) for i, a in enumerate(slots) for b in slots[:i])
+    return machine.bias + sum(float(machine.weight[s]) for s in slots) + pairs
+
+
+def test_scores_equal_all_pairs_and_do_not_depend_on_partitions(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    machine = toxicity.train(docs, labels)
+    texts = [(r["text"] or "").encode() for r in docs.limit(50).collect()]
+    for text, score in zip(texts, machine.score(texts), strict=True):
+        assert score == pytest.approx(1 / (1 + math.exp(-brute_raw(machine, text))), rel=1e-6, abs=1e-12)
+    again = toxicity.train(docs.repartition(5), labels.repartition(2))
+    assert np.array_equal(machine.slot, again.slot) and np.allclose(machine.weight, again.weight)
+
+
+def test_many_texts_of_one_id_are_one_example(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(300)] + [(2, "b"), (None, "c")], "doc_id long, text string")
+    ids = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, grade int")
+    assert samples.examples(docs, ids, toxicity.terms, "array<int>").count() == 2
