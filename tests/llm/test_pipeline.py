@@ -1,12 +1,28 @@
 """Each stage of the corpus pipeline against brute force on its own input, and the whole of it."""
 
+import re
+
 import corpus_pipeline
 from ledgerloom.llm import contamination, neardup, rules, secret_scan
-from test_operators import brute_components, brute_hits, brute_spans
+from test_operators import brute_components, brute_counts, brute_hits, brute_spans
 
 DIR = "/root/testdata/sf0.001"
 
 
+def brute_kept(text, lang, chosen):
+    """The base rule, and no statistic above the cutoff of the language, or of the pooled ones where it has none of its own."""
+    n, chars, symbols, dup, repeated = brute_counts(text)
+    if n < 10 or 100 * repeated > 20 * n:
+        return False
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    values = {"symbols_per_word": symbols / n, "bangs_per_word": text.count("!") / n, "upper_share": len(re.findall("[A-Z]", text)) / chars,
+              "duplicate_lines_per_line": dup / len(lines), "repeated_words_per_word": repeated / n}
+    stratum = (lang or "") if any(c["stratum"] == (lang or "") for c in chosen) else None
+    cutoffs = {c["statistic"]: c["cutoff"] for c in chosen if c["stratum"] == stratum}
+    assert set(cutoffs) <= set(values)
+    return all(cutoffs.get(k) is None or v <= cutoffs[k] for k, v in values.items())
+
+
 def test_stages(spark):
     docs = spark.read.parquet(f"{DIR}/documents.parquet")
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{DIR}/benchmark.parquet").collect()]
@@ -17,8 +33,8 @@ def test_stages(spark):
         after = {r["doc_id"]: r for r in out.collect()}
         texts = {i: r["text"] or "" for i, r in before.items()}
         if name == "quality_rules":
-            kept = {r["doc_id"] for r in rules.judge(docs, spark.read.parquet(f"{DIR}/labels.parquet")).where("kept").collect()}
-            assert set(after) == kept < set(before)
+            chosen = rules.cutoffs(rules.scratch(rules.counts(docs), "counts"), spark.read.parquet(f"{DIR}/labels.parquet")).collect()
+            assert set(after) == {i for i, r in before.items() if brute_kept(r["text"] or "", r["lang"], chosen)} < set(before)
         elif name == "near_dedup":
             assert set(after) == {i for i, _, _, keep in brute_components(list(texts.items()), 5, 80) if keep} < set(before)
         elif name == "decontamination":
