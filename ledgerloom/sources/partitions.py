@@ -118,6 +118,10 @@ def merge_by_key(source: DataFrame, path: str, keys: Sequence[str], merge: Calla
     once = scratch_path(spark, "change")
     with_bucket(source, keys, buckets).write.parquet(once)
     change = spark.read.parquet(once)
-    part = within(stored, by, touched(change, by)).drop(by)
-    replace(with_bucket(merge(part, change.drop(by)), keys, buckets), path, by, batch=batch)
+    values = touched(change, by)
+    if values:
+        part = within(stored, by, values).drop(by)
+        replace(with_bucket(merge(part, change.drop(by)), keys, buckets), path, by, batch=batch)
+    elif batch:
+        _remember(spark, path, *batch)
     remove_path(spark, once)
