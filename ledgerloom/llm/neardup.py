@@ -9,8 +9,10 @@ similarity 0.8 share none of the 32 bands with probability (1 - 0.8^4)^32 < 5e-8
 Texts with equal sets are one class, which enters once, by its smallest doc_id. Texts that
 share a band are candidates. A bucket (the texts of one band value) is not paired all with
 all: its smallest member is compared with the others, which joins most of a group at once.
-Then members of a bucket that are still in different components are compared, in blocks.
-So every candidate pair is confirmed, refused, or within one component already.
+Then the members of buckets that still hold different components are joined exactly, by
+the rarest shingles of each (a prefix filter): two texts that are similar enough share one
+of these, texts that share a page's boilerplate alone do not. So every candidate pair is
+confirmed, refused, or within one component already.
 
 Confirmation compares full shingle sets. For each hub the members' texts are sent to its
 task, salted, so a hub with very many members is spread; the sets are built there.
@@ -27,14 +29,14 @@ text have the smallest id that either text reaches only if that id is theirs.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, every, free_name, mapped, scratch, shipped
+from .common import byte_texts, every, free_name, mapped, pieces, scratch, shipped
 
 SHINGLE = 5
 PERCENT = 80
@@ -42,8 +44,11 @@ HASHES = 64
 ROWS = 4
 # A hub's members are spread over so many tasks.
 SALTS = 32
-# Members of a bucket that are compared with another at once.
+# Texts with a shingle that are held at once, and those that pass by them in one task.
 BLOCK = 256
+SLICE = 8192
+# Counters that tell frequent shingles from rare ones.
+SLOTS = 1 << 20
 # Hash evaluations and bytes of words held at once.
 CELLS = 1 << 20
 CHUNK = 1 << 20
@@ -213,31 +218,98 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _across(shared: DataFrame, found: DataFrame, bodies: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links between members of a bucket that the first comparison left in different components.
+def _slots(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two counters of each shingle."""
+    return (shingles & np.uint64(SLOTS - 1)).astype(np.int64), (shingles >> np.uint64(40) & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def commonness(bodies: DataFrame, size: int) -> np.ndarray:
+    """Counters over the shingles of some texts; whatever the input, at most ``SLOTS`` rows reach the driver."""
+    shipped(bodies.sparkSession)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(SLOTS, np.int64)
+        for batch in pieces(batches):
+            for text in batch.column("text").to_pylist():
+                for slots in _slots(shingle_set(text, size)):
+                    np.add.at(sums, slots, 1)
+        used = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(sums[used], pa.int64())], ["slot", "count"])
 
-    The hub was compared with all members. Of the others, those outside the component with
-    the smallest root are dealt into blocks of about ``BLOCK``; each block is held in a
-    task while all members of the bucket but the hub pass by, and is compared with each at
-    once. No pair is ever a row, and a bucket costs one row for each member and block.
+    rows = bodies.select("text").mapInArrow(count, "slot long, count long").groupBy("slot").agg(F.sum("count").alias("count")).toArrow()
+    out = np.zeros(SLOTS, np.int64)
+    out[rows.column("slot").to_numpy()] = rows.column("count").to_numpy()
+    return out
+
+
+def prefix(shingles: np.ndarray, common: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """The rarest shingles of a set, rarest first, of which two similar sets share one, and how many it offers to larger sets.
+
+    Sets x and y with |x| <= |y| and that similarity have at least p |y| / 100 and
+    2 p |x| / (100 + p) shingles in common. So under any order of all shingles, one is
+    among the first |y| - p |y| / 100 + 1 of y and the first |x| - 2 p |x| / (100 + p) + 1 of x.
     """
+    one, two = _slots(shingles)
+    order, n = np.lexsort((shingles, np.minimum(common[one], common[two]))), len(shingles)
+    return shingles[order[:n + percent * n // -100 + 1]], n + 2 * percent * n // -(100 + percent) + 1
+
+
+def _across(shared: DataFrame, found: DataFrame, bodies: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between members of a bucket that the first comparison left in different components."""
     parts = (shared.where("id <> hub").join(found, F.col("id") == F.col("node"), "left").select("band", "id", F.coalesce("root", "id").alias("root")))
-    split = parts.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band", "low")
-    mixed = scratch(parts.join(split, "band"), "mixed")
-    blocks = mixed.where("root <> low").groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    held = mixed.where("root <> low").join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    passing = mixed.join(blocks, "band").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = held.select("band", "block", "id", "root", F.lit(0).alias("role")).unionByName(passing.select("band", "block", "id", "root", F.lit(1).alias("role")))
-    dealt = rows.join(bodies, "id").repartition(F.col("band"), F.col("block")).sortWithinPartitions("band", "block", "role")
-    shipped(shared.sparkSession)
+    split = parts.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
+    left = scratch(parts.join(split, "band", "left_semi").select("id", "root").distinct(), "left")
+    return _compared(_meetings(left, bodies, size, percent), bodies, size, percent)
+
+
+def _meetings(left: DataFrame, bodies: DataFrame, size: int, percent: int) -> DataFrame:
+    """token, block, slice, id, root, role (0 held, 1 passing) of texts that share a rare shingle across components.
+
+    Each text offers the shingles of its prefix(); texts that share what is frequent among
+    them, and little else, do not meet. Texts that offer a shingle to larger ones are held,
+    in blocks of about ``BLOCK``, all texts that look for it pass by, in slices of about
+    ``SLICE``: each block meets each slice in a task of its own.
+    """
+    mine = scratch(bodies.join(left, "id"), "mine")
+    common = left.sparkSession.sparkContext.broadcast(commonness(mine, size))
+
+    def tokens() -> Callable[[dict], list[tuple]]:
+        def run(batch: dict) -> list[tuple]:
+            out = []
+            for i, root, text in zip(batch["id"], batch["root"], batch["text"], strict=True):
+                found, offered = prefix(shingle_set(text, size), common.value, percent)
+                out.append((i, root, found.view(np.int64).tolist(), offered))
+            return out
+
+        return run
+
+    rows = mapped(mine, tokens, "id long, root long, tokens array<long>, offered int")
+    rows = rows.select("id", "root", "offered", F.posexplode("tokens").alias("at", "token")).select("token", "id", "root", (F.col("at") < F.col("offered")).alias("offers"))
+    groups = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count_if("offers").alias("held"), F.count("*").alias("passing"))
+    groups = groups.where("low < high and held > 0").select(
+        "token", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("passing") / SLICE).cast("int").alias("slices"))
+    rows = scratch(rows.join(groups, "token"), "tokens")
+    dealt = lambda into: F.pmod(F.xxhash64("id"), F.col(into)).cast("int")
+    every_one = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    held = rows.where("offers").select("token", dealt("blocks").alias("block"), every_one("slices").alias("slice"), "id", "root", F.lit(0).alias("role"))
+    passing = rows.select("token", every_one("blocks").alias("block"), dealt("slices").alias("slice"), "id", "root", F.lit(1).alias("role"))
+    return held.unionByName(passing)
+
+
+def _compared(meetings: DataFrame, bodies: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (hub, id) between those held and those passing by. No pair is ever a row."""
+    dealt = meetings.join(bodies, "id").repartition(F.col("token"), F.col("block"), F.col("slice")).sortWithinPartitions("token", "block", "slice", "role")
+    shipped(bodies.sparkSession)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, held_ids, held_roots, held_sets, index = None, [], [], [], None
-        for batch in batches:
+        for batch in pieces(batches):
             linked = ([], [])
-            for *key, role, i, root, text in zip(*(batch.column(c).to_pylist() for c in ("band", "block", "role", "id", "root", "text")), strict=True):
+            for *key, role, i, root, text in zip(*(batch.column(c).to_pylist() for c in ("token", "block", "slice", "role", "id", "root", "text")), strict=True):
                 if key != here:
                     here, held_ids, held_roots, held_sets, index = key, [], [], [], None
+                if role == 1 and all(r == root for r in held_roots):
+                    continue
                 own = shingle_set(text, size)
                 if role == 0:
                     held_ids.append(i)
