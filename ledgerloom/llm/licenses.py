@@ -1,13 +1,14 @@
 """License scans by a positional index of rare words (operator 1), in DataFrame functions only.
 
-Each template is a passage with mandatory key phrases. The index holds postings (word ->
-template, position) of the key phrases' words. Per template the look-up goes by its lead,
-the word of its key phrases with the highest IDF over all documents, so a text is touched
-only where its rarest licence words stand. A hit at word p of a posting at position q
-proposes the template at p - q; the postings of the other key phrases must agree with that
-relative position, and then the key phrases are verified word by word. As a template
-stands only where all its key phrases stand, the lead finds every place: the IDF decides
-on the cost, never on the result.
+Each template is a passage with mandatory key phrases. The index holds, for each template,
+the postings (word -> template, position) of the rarest words of its key phrases: those
+with the highest IDF over all documents, rarest first; equal ones by word, then position.
+A file is looked up by its own words. Where one of its words is a template's rarest, at
+word p for a posting at position q, the template is proposed at p - q. If there are any
+proposals, the file's next words by IDF are looked up likewise, and the postings are
+intersected by template and relative position. What is left is verified word by word
+against all key phrases. As a template stands only where all words of its key phrases do,
+the intersection holds every place.
 
 score is the largest share of a template's words found at their positions (0 without a
 match). Base phrases are templates that consist of their key phrase.
@@ -56,6 +57,8 @@ NOTICES = {
     "mpl-2.0": ("mozilla public license v 2 0", ("mozilla public license",)),
     "unlicense": ("this is free and unencumbered software released into the public domain", ("free and unencumbered software", "public domain")),
 }
+# Postings of a template that are intersected.
+DEPTH = 2
 # Starts are stored from here, as a passage may begin before the text does.
 SHIFT = 1024
 STEP = 1 << 40
@@ -102,37 +105,44 @@ def rarity(docs: DataFrame, templates: list[Template] = TEMPLATES) -> dict[str,
     return {w: log((1 + count.get("", 0)) / (1 + count.get(w, 0))) for w in vocabulary}
 
 
-def _lead(t: Template, idf: dict[str, float]) -> tuple[str, int]:
-    return max(((w, at + k) for at, phrase in t.keys for k, w in enumerate(phrase)), key=lambda x: (idf[x[0]], x[0], -x[1]))
+def index(templates: list[Template], idf: dict[str, float], depth: int = DEPTH) -> list[dict[str, list[tuple[int, int]]]]:
+    """Postings word -> (template, position), first of each template's rarest key word, then of the next ones."""
+    out: list[dict[str, list[tuple[int, int]]]] = [{} for _ in range(depth)]
+    for number, t in enumerate(templates):
+        rarest = sorted(((w, at + k) for at, phrase in t.keys for k, w in enumerate(phrase)), key=lambda x: (-idf[x[0]], *x))
+        for level, postings in enumerate(out):
+            word, at = rarest[min(level, len(rarest) - 1)]
+            postings.setdefault(word, []).append((number, at))
+    return out
 
 
 def find(docs: DataFrame, templates: list[Template] = TEMPLATES, idf: dict[str, float] | None = None) -> DataFrame:
     """doc_id, n_words and places (template, start) with all key phrases, of every row."""
-    idf = rarity(docs, templates) if idf is None else idf
-    postings: dict[str, list[tuple[int, int]]] = {}
-    for number, t in enumerate(templates):
-        word, at = _lead(t, idf)
-        postings.setdefault(word, []).append((number, at))
+    first, *others = index(templates, rarity(docs, templates) if idf is None else idf)
     rows = docs.select("doc_id", words_of(F.col("text")).alias("words"))
-    at_leads = F.filter(F.transform("words", lambda w, i: F.when(w.isin(*postings), i)), lambda i: i.isNotNull())
-    rows = rows.select("doc_id", "words", at_leads.alias("hits"))
-    proposals = [F.transform(F.filter("hits", _is(word)), _propose(number, at)) for word, entries in postings.items() for number, at in entries]
-    verified = F.filter(F.concat(*proposals), lambda c: reduce(lambda a, b: a | b, [
-        (_number(c) == number) & _stands(t, _start(c)) for number, t in enumerate(templates)]))
-    places = F.when(F.size("hits") > 0, verified).otherwise(F.array().cast("array<bigint>"))
+    rows = rows.select("doc_id", "words", _hits(first).alias("hits"))
+    nowhere = F.array().cast("array<bigint>")
+    met = F.when(F.size("hits") > 0, reduce(F.array_intersect, [_proposed(F.col("hits"), first), *(_proposed(_hits(p), p) for p in others)])).otherwise(nowhere)
+    rows = rows.select("doc_id", "words", met.alias("met"))
+    verified = F.filter("met", lambda c: reduce(lambda a, b: a | b, [(_number(c) == number) & _stands(t, _start(c)) for number, t in enumerate(templates)]))
+    places = F.when(F.size("met") > 0, verified).otherwise(nowhere)
     return rows.select("doc_id", "words", F.size("words").cast("long").alias("n_words"), places.alias("places"))
 
 
-def _word(at: Column) -> Column:
-    return F.get("words", at)
+def _hits(postings: dict[str, list[tuple[int, int]]]) -> Column:
+    """Where the file has words with postings."""
+    return F.filter(F.transform("words", lambda w, i: F.when(w.isin(*postings), i)), lambda i: i.isNotNull())
 
 
-def _is(word: str):
-    return lambda i: _word(i) == F.lit(word)
+def _proposed(hits: Column, postings: dict[str, list[tuple[int, int]]]) -> Column:
+    """Templates and starts, as one number each, that the postings of the words there name."""
+    lookup = F.create_map(*(x for word, entries in postings.items() for x in (
+        F.lit(word), F.array(*(F.lit(number * STEP + SHIFT - at).cast("long") for number, at in entries)))))
+    return F.flatten(F.transform(hits, lambda i: F.transform(F.element_at(lookup, _word(i)), lambda base: base + i)))
 
 
-def _propose(number: int, at: int):
-    return lambda i: F.lit(number * STEP + SHIFT - at) + i
+def _word(at: Column) -> Column:
+    return F.get("words", at)
 
 
 def _number(place: Column) -> Column:
@@ -144,8 +154,8 @@ def _start(place: Column) -> Column:
 
 
 def _stands(t: Template, start: Column) -> Column:
-    """The other key phrases' first words agree in position, then every word of them."""
-    checks = [(at, phrase[0]) for at, phrase in t.keys] + [(at + k, w) for at, phrase in t.keys for k, w in enumerate(phrase) if k]
+    """Every word of the key phrases is there."""
+    checks = [(at + k, w) for at, phrase in t.keys for k, w in enumerate(phrase)]
     return reduce(lambda a, b: a & b, [F.coalesce(_word(start + at) == F.lit(w), F.lit(False)) for at, w in checks])
 
 

@@ -78,6 +78,16 @@ def test_licence_index_is_exact_for_any_lead(odd):
     assert [(i, sorted(p)) for i, p in same[0]] == [(i, sorted(p)) for i, p in same[1]]
 
 
+def test_licence_postings_are_of_the_rarest_words(spark):
+    """Ties of IDF go by the word; a rare word alone, or at another distance, proposes nothing that stays."""
+    one = [licenses.template("x", "of the blue whale of old", ("blue whale", "of old"))]
+    assert licenses.index(one, {"blue": 2.0, "whale": 2.0, "of": 0.1, "old": 1.0}, 3) == [{"blue": [(0, 2)]}, {"whale": [(0, 3)]}, {"old": [(0, 5)]}]
+    assert licenses.index([licenses.template("y", "b b", ("b b",))], {"b": 1.0}, 3) == [{"b": [(0, 0)]}, {"b": [(0, 1)]}, {"b": [(0, 1)]}]
+    docs = spark.createDataFrame([(1, "blue whale of old, of the blue whale of old"), (2, "blue old whale"), (3, "whale of old"), (4, "blue whale of new")], "doc_id long, text string")
+    places = {r["doc_id"]: [p % licenses.STEP - licenses.SHIFT for p in r["places"]] for r in licenses.find(docs, one).collect()}
+    assert places == {1: [-2, 4], 2: [], 3: [], 4: []}
+
+
 # --- 2, 8 --------------------------------------------------------------------------
 
 @pytest.mark.parametrize(("module", "column", "least"), [(toxicity, "toxic", 0.9), (quality, "quality", 0.9)])
