@@ -142,56 +142,3 @@ def test_many_texts_of_one_id_are_one_example(spark):
     docs = spark.createDataFrame([(1, f"text {k}") for k in range(300)] + [(2, "b"), (None, "c")], "doc_id long, text string")
     ids = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, grade int")
     assert samples.examples(docs, ids, toxicity.terms, "array<int>").count() == 2
-
-
-def boilerplate(count, common, own):
-    page = " ".join(f"page{j}" for j in range(common))
-    return [(k, " ".join(f"own{k}x{j}" for j in range(own)) + " " + page) for k in range(count)]
-
-
-def test_shared_boilerplate_is_no_meeting(spark):
-    """Pages of one site, six tenths alike: no text is sent to be compared, however many there are."""
-    frame = lambda rows: spark.createDataFrame(rows, "id long, text string")
-    for count in (150, 600):
-        docs = frame(boilerplate(count, 300, 100))
-        left = docs.select("id", docs.id.alias("root"))
-        assert neardup._meetings(left, docs.select("id", docs.text.cast("binary").alias("text")), 5, 80).isEmpty()
-    assert neardup.classes(docs.withColumnRenamed("id", "doc_id")).where("not kept").isEmpty()
-
-
-def test_texts_meet_across_components_in_blocks_and_slices(spark, monkeypatch):
-    """All links between different components are found, also when one shingle has many blocks and slices."""
-    monkeypatch.setattr(neardup, "BLOCK", 4)
-    monkeypatch.setattr(neardup, "SLICE", 16)
-    rng = random.Random(9)
-    base = [f"w{k}" for k in range(80)]
-    rows = []
-    for k in range(90):
-        words = list(base[:rng.choice([60, 66, 72, 80])])
-        for at in rng.sample(range(60), rng.choice([0, 1, 2, 3, 5])):
-            words[at] = f"r{rng.randrange(40)}"
-        rows.append((k, " ".join(words)))
-    docs = spark.createDataFrame(rows, "id long, text string")
-    bodies, root = docs.select("id", docs.text.cast("binary").alias("text")), {k: k % 7 for k, _ in rows}
-    left = spark.createDataFrame(list(root.items()), "id long, root long")
-    got = {frozenset(r) for r in neardup._compared(neardup._meetings(left, bodies, 4, 80), bodies, 4, 80).collect()}
-    sets = {k: {tuple(x[i:i + 4]) for i in range(len(x) - 3)} for k, x in ((k, t.split()) for k, t in rows)}
-    want = {frozenset((a, b)) for a in sets for b in sets if root[a] != root[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
-    assert got == want and len(want) > 200
-
-
-@pytest.mark.parametrize("percent", [50, 80, 95, 100])
-def test_similar_sets_share_a_rare_shingle(percent):
-    rng = np.random.default_rng(3)
-    common = rng.integers(0, 5, neardup.SLOTS)
-    checked = 0
-    for _ in range(3000):
-        pool = rng.integers(0, 1 << 63, int(rng.integers(1, 60))).astype(np.uint64)
-        x, y = (np.unique(rng.choice(pool, rng.integers(max(1, len(pool) * 2 // 3), len(pool) + 1), replace=False)) for _ in range(2))
-        x, y = sorted((x, y), key=len)
-        both = len(np.intersect1d(x, y))
-        if 100 * both >= percent * (len(x) + len(y) - both):
-            checked += 1
-            rare, offered = neardup.prefix(x, common, percent)
-            assert np.intersect1d(rare[:offered], neardup.prefix(y, common, percent)[0]).size
-    assert checked > 20
