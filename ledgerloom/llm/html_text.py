@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import mapped
-from .labelled_pages import PAGES
+from .labelled_pages import PAGES, varied
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)(>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
@@ -258,9 +258,9 @@ class Model:
 
 
 @cache
-def trained(rounds: int = 400, rate: float = 0.1, penalty: float = 0.01) -> Model:
-    """Maximum-likelihood weights of the labelled pages, by gradient ascent with a penalty on their squares."""
-    pages = [Page(source) for source in PAGES]
+def trained(rounds: int = 150, rate: float = 0.1, penalty: float = 0.01, more: int = 100) -> Model:
+    """Maximum-likelihood weights of the labelled pages and as many ``more``, by gradient ascent with a penalty on their squares."""
+    pages = [Page(source) for source in [*PAGES, *varied(more, 1)]]
     weights = {n: 0.0 for page in pages for names in page.features for n in names}
     pair = [0.0, 0.0, 0.0, 0.0]
     past: dict = {}

@@ -1,4 +1,31 @@
-"""Labelled pages that train the HTML extraction: data-main marks content, data-off what is none within it."""
+"""Labelled pages that train the HTML extraction: data-main marks content, data-off what is none within it.
+
+``PAGES`` are written by hand. ``varied`` makes others from parts that pages have, in
+random order, each with a telling tag or name or, as often, with none, so that length,
+links and neighbours must tell. Other seeds give pages to measure on.
+"""
+
+from __future__ import annotations
+
+import random
+import re
+from collections.abc import Callable
+
+SUBJECTS = "the council, a small team, our reporter, the museum, every farmer, the old mill, her sister, one engineer, the river, a new law".split(", ")
+VERBS = "opened, measured, described, lost, repaired, crossed, remembered, planted, sold, counted".split(", ")
+OBJECTS = "the bridge, three maps, a field of rye, the northern road, ten boats, the first machine, an answer, the harbour, its own garden, a letter".split(", ")
+ENDS = "in spring, after the storm, without any help, for the second time, near the coast, before noon, as planned, with great care, last year, by hand".split(", ")
+LINKS = "Home, World, Sport, Arts, Science, Shop, Help, Contact, Jobs, About us, Archive, Maps, Weather, Log in".split(", ")
+NOTES = ("We use cookies, accept or change your settings.", "Sale: two for the price of one until Sunday.", "All rights reserved.", "Sign up for our letter.",
+         "Open every day from nine to five.", "Buy a garden chair now and save a third.", "Read also: ten walks along the coast")
+# Tags and attributes that a part may have: telling ones, then none.
+MAIN = ("article", "main", "div class=entry-content", "div id=content", "section class=post-body", "div class=story", "td class=text")
+MENU = ("nav", "div class=menu", "ul class=navbar", "div id=toolbar")
+SIDE = ("aside", "div class=sidebar", "div class=related", "section class=widget")
+EDGE = ("footer", "header", "div class=footer", "div id=masthead")
+NOTICE = ("div class=ad", "div class='promo banner'", "div id=cookie-notice", "div class=newsletter", "section class=sponsored")
+COMMENTS = ("div class=comments", "section id=respond", "div class=reader-feedback", "ol class=comment-list")
+NAMELESS = ("div", "div class=c7", "section", "div class=x-row", "div class=col")
 
 PAGES = [
     """<html><head><title>Bridge reopens</title></head><body><header class="site-header"><div class="logo">The Daily</div></header>
@@ -35,3 +62,60 @@ PAGES = [
     """<html><body><div class="ad">En passant.</div><article class="article-body" data-main><h1>Travel</h1><p>We left at dawn.<br>It was cold.</p><p>Prices: bread &amp; milk, $2 | tea, $1 *** all fresh ###</p>
 <p>OLD!! AND!! LOUD!! WORDS!! STILL!! BELONG!! HERE!!</p><div class="cookie-consent" data-off><p>This site uses cookies for statistics and for advertising.</p></div></article><footer>&copy; travel.example</footer></body></html>""",
 ]
+
+
+def _sentence(rng: random.Random) -> str:
+    parts = [rng.choice(x) for x in (SUBJECTS, VERBS, OBJECTS, ENDS)[:rng.choice((3, 4, 4))]]
+    return " ".join(parts).capitalize() + "."
+
+
+def _paragraph(rng: random.Random) -> str:
+    inline = rng.choice(("{}", "{}", "{}", "<b>Note.</b> {}", "{} <a href=/n>More.</a>", "<em>{}</em>"))
+    return "<p>" + inline.format(" ".join(_sentence(rng) for _ in range(rng.choice((1, 2, 2, 3, 5))))) + "</p>"
+
+
+def _content(rng: random.Random) -> str:
+    items = lambda: "".join(f"<li>{_sentence(rng)}</li>" for _ in range(rng.randint(2, 4)))
+    extra = (lambda: f"<h2>{rng.choice(OBJECTS).capitalize()}</h2>", lambda: f"<ul>{items()}</ul>", lambda: f"<blockquote>{_sentence(rng)}</blockquote>",
+             lambda: "<p>Yes.</p>", lambda: f"<figure><figcaption>{rng.choice(OBJECTS).capitalize()} {rng.choice(ENDS)}</figcaption></figure>")
+    blocks = [rng.choice(extra)() if rng.random() < 0.3 else _paragraph(rng) for _ in range(rng.randint(2, 7))]
+    return "".join([f"<h1>{rng.choice(SUBJECTS).capitalize()} and {rng.choice(OBJECTS)}</h1>"] * (rng.random() < 0.7) + [_paragraph(rng), *blocks])
+
+
+def _menu(rng: random.Random) -> str:
+    links = [f"<a href=/{k}>{x}</a>" for k, x in enumerate(rng.sample(LINKS, rng.randint(3, 7)))]
+    return rng.choice(("<ul>" + "".join(f"<li>{x}</li>" for x in links) + "</ul>", " ".join(links), "<p>" + " | ".join(links) + "</p>"))
+
+
+def _comments(rng: random.Random) -> str:
+    return "".join(f"<div class=comment><p>{_sentence(rng)}</p></div>" for _ in range(rng.randint(1, 4)))
+
+
+def _part(rng: random.Random, names: tuple[str, ...], inner: str, telling: bool, mark: str = "") -> str:
+    name = rng.choice(names if telling else NAMELESS)
+    return f"<{name}{mark}>{inner}</{name.split()[0]}>"
+
+
+def varied(count: int, seed: int) -> list[str]:
+    """So many labelled pages; the same for the same seed."""
+    rng, out = random.Random(seed), []
+    note = lambda: f"<p>{rng.choice(NOTES)}</p>"
+    around: list[Callable[[bool], str]] = [
+        lambda t: _part(rng, MENU, _menu(rng), t), lambda t: _part(rng, EDGE, note() if rng.random() < 0.5 else _menu(rng), t),
+        lambda t: _part(rng, SIDE, "<h3>Most read</h3>" + _menu(rng), t), lambda t: _part(rng, NOTICE, note(), True),
+        lambda t: _part(rng, COMMENTS, _comments(rng), True), lambda t: "<form><p>Search this site</p></form>"]
+    for _ in range(count):
+        telling = rng.random() < 0.5
+        inner = _content(rng)
+        for part in rng.sample((_part(rng, NOTICE, note(), True, " data-off"), _part(rng, COMMENTS, _comments(rng), True, " data-off"),
+                                _part(rng, SIDE[:3], note(), True, " data-off")), rng.choice((0, 0, 1, 2))):
+            inner += part
+        parts = [rng.choice(around)(rng.random() < 0.6) for _ in range(rng.randint(2, 6))]
+        if rng.random() < 0.25:  # no element of its own
+            main = re.sub("<(h1|h2|p|ul|blockquote|figure)>", r"<\1 data-main>", _content(rng))
+        else:
+            main = _part(rng, MAIN, inner, telling, " data-main")
+        parts.insert(rng.randint(0, len(parts)), main)
+        body = "".join(parts)
+        out.append(f"<html><head><title>x</title></head><body>{f'<div>{body}</div>' if rng.random() < 0.4 else body}</body></html>")
+    return out
