@@ -8,7 +8,8 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_DIR
-from ledgerloom.plans import finance
+from ledgerloom.plans import build, finance
+from ledgerloom.plans.suite import MODEL_KEYS
 from ledgerloom.schemas import STAGING
 from ledgerloom.workloads import data_queries, model_queries, standins
 from ledgerloom.workloads.standins import StandIns
@@ -120,3 +121,22 @@ def test_health_plans_multiply_no_rows(spark, name):
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_declared_suite_parses_each_feed_once_and_writes_each_model_once(spark, monkeypatch):
+    """What is written instead of run: documents are parsed for the staged tables alone, and shared models are not written again."""
+    plans = []
+
+    def note(df):
+        plans.append(df._jdf.queryExecution().analyzed().toString())
+        return spark.createDataFrame([], df.schema)
+
+    for module in (build, finance, model_queries, standins):
+        monkeypatch.setattr(module, "cut_lineage", note)
+    monkeypatch.setattr(model_queries, "run_suite", lambda checks, models: models)
+    models = model_queries.declared_suite(StandIns(spark, SF_DIR))
+    assert set(models) == set(MODEL_KEYS)
+    parsed = [p for p in plans if "parse_json" in p]
+    assert len(parsed) == len(set(STAGING) - model_queries.UNREAD)
+    assert not any("parse_json" in m._jdf.queryExecution().analyzed().toString() for m in models.values())
+    assert not any(p.startswith(("LocalRelation", "LogicalRDD")) for p in plans)  # what was written is not written again
