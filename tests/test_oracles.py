@@ -5,10 +5,11 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF_DIR
-from ledgerloom.plans import build, finance
+from ledgerloom.plans import build, finance, ledgers
 from ledgerloom.plans.suite import MODEL_KEYS
 from ledgerloom.schemas import STAGING
 from ledgerloom.workloads import data_queries, model_queries, standins
@@ -140,3 +141,18 @@ def test_declared_suite_parses_each_feed_once_and_writes_each_model_once(spark,
     assert len(parsed) == len(set(STAGING) - model_queries.UNREAD)
     assert not any("parse_json" in m._jdf.queryExecution().analyzed().toString() for m in models.values())
     assert not any(p.startswith(("LocalRelation", "LogicalRDD")) for p in plans)  # what was written is not written again
+
+
+def test_sums_of_the_cost_ledger_send_no_entry_ids(spark):
+    """Entries are spread before their joins by what the sums read as well."""
+    entries = spark.createDataFrame([], "entry_id string, project_id string, person string, role string, linked_jira_issue_id string, notes string, "
+                                    "hours decimal(18,2), billable_rate_gbp_per_hour decimal(18,2), cost_rate_gbp_per_hour decimal(18,2), date date")
+    entries = entries.unionByName(spark.range(3).select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name != "entry_id" else F.col("id").cast("string").alias(
+        "entry_id") for f in entries.schema]))
+    projects = spark.range(3).selectExpr("cast(id as string) project_id", "cast(id as string) client_id")
+    idmap = spark.range(3).selectExpr("cast(id as string) harvest_client_id", "cast(id as string) master_customer_id")
+    issues = spark.range(3).selectExpr("cast(id as string) issue_id", "cast(id as string) master_customer_id")
+    sums = finance.cost_monthly(ledgers.unified_cost(ledgers.delivery_costs(entries, projects, idmap, issues)))
+    plan = sums._jdf.queryExecution().optimizedPlan().toString()
+    joins = [i for i, line in enumerate(plan.splitlines()) if "Join LeftOuter" in line]
+    assert joins and "entry_id" not in "".join(plan.splitlines()[:joins[-1] + 1])
