@@ -236,6 +236,20 @@ def test_profitability_pool_and_margin(spark, idmap):
     assert (two.shared_engineering_pool_gbp, two.allocated_shared_engineering_cost_gbp, two.gross_margin_pct) == (0, 0, 100)
 
 
+def test_month_basis_is_the_allocation_basis(spark, rows):
+    """Null customers earn nothing, rows without a date have no month, repeated rows add up."""
+    cost = spark.createDataFrame([cost_row("M1", 40), cost_row("M3", 5), cost_row(None, 2)], LEDGER_COST)
+    cost = cost.unionByName(cost.limit(1).withColumn("activity_date", F.lit(None).cast("date")))
+    revenue = spark.createDataFrame([revenue_row("M1", 300), revenue_row("M1", 300), revenue_row("M2", 100), revenue_row(None, 7),
+                                     revenue_row("M2", 9, "DEFERRED"), revenue_row("M2", 4, day=dt.date(2024, 2, 2))], LEDGER_REVENUE)
+    months = finance.revenue_monthly(revenue)
+    expected = finance.allocation_basis(finance.active_spine(months, finance.cost_monthly(cost)), months)
+    got = finance.month_basis(revenue, cost)
+    assert rows(got, *expected.columns) == rows(expected) and got.schema["total_revenue_in_month_gbp"] == expected.schema["total_revenue_in_month_gbp"]
+    assert {r.master_customer_id: r.gaap_recognized_revenue_gbp for r in got.filter("profitability_month < date'2024-02-01'").collect()} == {
+        "M1": 600, "M2": 100, "M3": 0, None: 0}
+
+
 def test_ltv(spark, staged, idmap):
     cost = spark.createDataFrame([cost_row("M1", 500), cost_row("M1", 50, "ENGINEERING")], LEDGER_COST)
     revenue = spark.createDataFrame([revenue_row("M1", 2000), revenue_row("M1", 100, "DEFERRED"),
