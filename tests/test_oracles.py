@@ -89,7 +89,7 @@ def test_plans_have_no_cross_products_or_single_task_windows(spark, name):
 
 # The ledgers' tables are read by what a query writes once and by its last plan; here are the scans of all of them.
 SCANS = {"customer_profitability": {"lineitem": 4, "orders": 5}, "customer_ltv": {"lineitem": 4, "orders": 7}, "unified_cost": {"lineitem": 3, "orders": 2},
-         "allocation_basis": {"lineitem": 4, "orders": 5},
+         "allocation_basis": {"lineitem": 4, "orders": 5}, "cost_month_pool": {"lineitem": 3, "orders": 2},
          "revenue_at_risk": {"events": 3, "lineitem": 1}, "fact_customer_health": {"events": 4}}
 
 
