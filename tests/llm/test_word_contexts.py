@@ -65,11 +65,12 @@ def test_tables_of_contexts_fit_together(spark, rows, frequent):
     words = contexts.words.collect()
     assert {bytes(r["word"]): (r["followers"], r["contexts"]) for r in words} == {bytes(r["word"]): (follow[r["word"]], precede[r["word"]]) for r in words}
     samples = pitman_yor.gibbs(contexts.customers(0), sum(precede.values()), 1, 0, contexts=contexts)
-    state = {bytes(w["word"]): r for r in contexts.state(contexts.words, samples).collect() for w in words if w["id"] == r["id"]}
+    left = contexts.state(contexts.words, spark.sparkContext.broadcast(samples))
+    state = {bytes(w["word"]): r for r in left.collect() for w in words if w["id"] == r["id"]}
     less, strength = contexts.less, pitman_yor.STRENGTH
     names = list(state)
     hashed = np.array([pitman_yor.word_hash(w) for w in names])
-    states = pitman_yor.States(contexts.state(contexts.words, samples).limit(0).toArrow(), hashed[:0], len(samples))
+    states = pitman_yor.States(left.limit(0).toArrow(), hashed[:0], len(samples))
     for k in (1, 2):
         tables = collections.Counter()
         for (u, w), n in pairs.items():
