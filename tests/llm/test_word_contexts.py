@@ -1,9 +1,13 @@
 """The restaurants of the words before: order counts, every word has them, and their tables fit together."""
 
 import collections
+import glob
+import os
+import tempfile
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from ledgerloom.llm import pitman_yor
 from ledgerloom.llm.common import scratch
@@ -89,3 +93,24 @@ def test_cells_hold_every_pair_of_words():
         pair = frequent * frequent - 1
         assert pair // cells.cells < 1 << 31
         assert [x.item() for x in cells.words(pair % cells.cells, np.array([pair // cells.cells]))] == [frequent - 1, frequent - 1]
+
+
+def shuffled():
+    return set(glob.glob(f"{tempfile.gettempdir()}/blockmgr-*/*/shuffle_*.data"))
+
+
+def test_shuffles_of_stored_rows_are_gone(spark):
+    spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().write.format("noop").mode("overwrite").save()
+    settings, before = [spark.conf.get(k) for k in pitman_yor.WRITING], shuffled()
+    kept = pitman_yor.stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "kept")
+    assert kept.count() == 7 and sum(r["count"] for r in kept.collect()) == 1000
+    assert not [f for f in shuffled() - before if os.path.getsize(f) > 200]
+    assert settings == [spark.conf.get(k) for k in pitman_yor.WRITING]
+
+
+def test_words_are_those_between_white_space():
+    texts = [b"", b" A\tb\x0b\x0cC \r\n", "Ä b X".encode(), b"\x1c\x1dx\x85", b"one"]
+    for kind in (pa.binary(), pa.large_binary()):
+        owner, words = pitman_yor.words_of(pa.array([b"cut", *texts], kind)[1:])
+        want = [(k, w) for k, t in enumerate(texts) for w in bytes(b + 32 if 65 <= b <= 90 else b for b in t).split()]
+        assert list(zip(owner.tolist(), words.to_pylist(), strict=True)) == want
