@@ -114,3 +114,41 @@ def test_words_are_those_between_white_space():
         owner, words = pitman_yor.words_of(pa.array([b"cut", *texts], kind)[1:])
         want = [(k, w) for k, t in enumerate(texts) for w in bytes(b + 32 if 65 <= b <= 90 else b for b in t).split()]
         assert list(zip(owner.tolist(), words.to_pylist(), strict=True)) == want
+
+
+def test_frequent_words_are_taken_without_a_sort(spark):
+    words = [(f"w{k}".encode(), 9 + k) for k in range(10)] + [(f"t{k}".encode(), 2) for k in range(2000)] + [(f"held{k}".encode(), 0) for k in range(50)]
+    found = []
+    for parts in (1, 5):
+        top, n, v = pitman_yor.most_frequent(spark.createDataFrame(words, "word binary, count long").repartition(parts), 500)
+        assert (n, v) == (sum(c for _, c in words), 2010)
+        assert top.column("count").to_pylist()[:11] == [*range(18, 8, -1), 2] and 420 < top.num_rows < 580
+        found.append(top.column("word").to_pylist())
+    assert found[0] == found[1]
+    for asked, got in ((0, 0), (10, 10), (2010, 2010), (10 ** 6, 2010)):
+        assert pitman_yor.most_frequent(spark.createDataFrame(words, "word binary, count long"), asked)[0].num_rows == got
+
+
+def test_rare_pairs_move_packed(spark, rows):
+    """A row for each part and some documents, not for each pair, and every pair is there as often as in the texts."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("held_out", F.lit(False)).coalesce(1)
+    names = [b"", b"w1", b"w3", b"w7"]
+    known = spark.sparkContext.broadcast({w: k for k, w in enumerate(names)})
+    coded, numbers, want = scratch(pitman_yor.coded(docs, known), "coded"), pitman_yor.Numbers(known.value), collections.Counter()
+    for _, t in rows:
+        ids = numbers.of(pa.array([b"", *(t or "").lower().encode().split(), b""], pa.binary())).tolist()
+        want.update(p for p in zip(ids, ids[1:], strict=False) if max(p) >= len(names))
+    for kinds in ((None,), (False, True)):
+        found, parts = collections.Counter(), 5
+        for both in kinds:
+            table = pitman_yor.rare_pairs(coded, len(names), parts, both).toArrow()
+            assert 0 < table.num_rows <= parts
+            found.update(zip(*(pitman_yor.unpacked(table.column(c), np.int64).tolist() for c in ("before", "word")), strict=True))
+        assert found == want
+
+
+def test_no_broadcast_stays_in_the_driver(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = set(os.listdir(spark.sparkContext._temp_dir))
+    assert pitman_yor.score(docs, 7).count() == len(rows)
+    assert not set(os.listdir(spark.sparkContext._temp_dir)) - before
