@@ -48,7 +48,7 @@ def build_dag(spark: SparkSession, staged: Mapping[str, DataFrame], seed: DataFr
     ``map_usage`` switch two quirks of the models off: issues matched to customers by
     account id, and usage mapped to customers in the health score.
     """
-    tune(spark)
+    tune(spark, hashed=True)
     day = as_date(as_of)
     stamp = loaded_at or f"{day} 00:00:00"
     dag = Dag(spark, dict(staged), {"as_of": day, "rates": rates, "thresholds": thresholds})
