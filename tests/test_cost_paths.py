@@ -1,4 +1,4 @@
-"""Delivery costs: each entry is sent once, to the one customer it takes, also where the filter of projects errs."""
+"""Delivery costs: each entry is sent once, to the one customer it takes, also where the filter of projects errs. Plans of the declared suite."""
 
 import re
 from decimal import Decimal
@@ -6,9 +6,12 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_DIR
 from ledgerloom.operators import relational
+from ledgerloom.operators.quality import Check, failing_values
 from ledgerloom.plans import ledgers
 from ledgerloom.schemas import staged_schema
+from ledgerloom.workloads.standins import StandIns
 
 # Projects of a customer, of an owner without a customer (one of them twice), of both, of nobody.
 PROJECTS = [("own", "c1"), ("twice", "c1"), ("twice", "c2"), ("null", "n1"), ("null2", "n2"), ("both", "b"), ("none", "x"), (None, "c1"), ("open", None)]
@@ -72,3 +75,33 @@ def test_entries_are_shuffled_once(spark):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     keys = re.findall(r"Exchange hashpartitioning\((\w+)#", plan.split("== Initial Plan ==")[0])
     assert keys.count("__owner") == 1 and "__on" not in keys
+
+
+def test_feeds_are_dealt_without_a_sort(spark, tmp_path):
+    """Rows of a feed go to many files by their hash; repeated and null rows stay as many as they are."""
+    spark.range(400).selectExpr("if(id % 7 = 0, null, id % 90) c_custkey", "if(id % 5 = 0, null, 'c') c_name", "cast(id % 3 as double) c_acctbal", "'BUILDING' c_mktsegment").write.parquet(
+        str(tmp_path / "customer.parquet"))
+    source = StandIns(spark, str(tmp_path))
+    texts = source.documents("stripe_customers")
+    assert "RoundRobinPartitioning" not in texts._jdf.queryExecution().executedPlan().toString()
+    assert texts.count() == 400 and texts.select(F.spark_partition_id()).distinct().count() > 1
+    assert texts.distinct().count() == source.feed("stripe_customers").distinct().count()
+
+
+def test_usage_parts_are_united_once(spark):
+    """A sum over a union below the union would keep the small partitions of all its inputs apart."""
+    plan = StandIns(spark, SF_DIR).usage_plan._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"\bUnion\b", plan)) == 1
+
+
+def test_checks_and_revenue_branches_are_compiled(spark):
+    """Functions with a lambda are interpreted for every row: none picks the pairs of a row."""
+    rows = spark.createDataFrame([("a", None), ("a", "x"), (None, None)], "k string, v string")
+    spec = [Check("m", "k", "unique"), Check("m", "k", "not_null"), Check("m", "v", "not_null")]
+    found = failing_values(spec, {"m": rows})
+    assert sorted(map(tuple, found.collect()), key=str) == [(0, "a", 2), (1, None, 1), (2, None, 2)]
+    revrec = spark.createDataFrame([("r", "c", "2024-01", 1, 2, 3), ("s", "c", "2024-01", 1, None, 0)],
+                                   "revrec_id string, customer_id string, month string, booked_arr_gbp int, recognized_revenue_gbp int, deferred_revenue_gbp int")
+    events = ledgers.gaap_events(revrec)
+    assert sorted((r.source_record_id, r.revenue_category) for r in events.collect()) == [("r", "RECOGNIZED"), ("r_deferred", "DEFERRED")]
+    assert not any("lambda" in df._jdf.queryExecution().optimizedPlan().toString() for df in (found, events))
